@@ -129,14 +129,18 @@ DAY_COLS = ("point_of_delivery_ean, profile_category_code, sja, sj_unit_of_measu
 
 
 def _hourly(days: str, curve: str = "curve") -> str:
-    """Target columns of ``days`` joined to ``curve`` on (category, day)."""
+    """Target columns of ``days`` joined to ``curve`` on (category, day).
+
+    Energy goes double -> VARCHAR -> decimal: Spark casts a double to a
+    decimal through its shortest decimal string and rounds that half-up,
+    which decides ties such as 62.6095 * 9.769 = 611.6322055."""
     return f"""
 SELECT d.point_of_delivery_ean, d.profile_category_code, d.sja, d.sj_unit_of_measure,
        c.supply_start_date_time_utc,
        c.supply_start_date_time_utc + INTERVAL 1 HOUR AS supply_end_date_time_utc,
        c.supply_hour, c.profile_fraction,
        CAST(d.sja * c.profile_fraction AS DECIMAL(38,6)) AS offtake_volume_m3,
-       CAST(CAST(CAST(d.sja * c.profile_fraction AS DECIMAL(38,6)) AS DOUBLE) * 9.769 AS DECIMAL(38,6)) AS offtake_volume_kwh,
+       CAST(CAST(CAST(CAST(d.sja * c.profile_fraction AS DECIMAL(38,6)) AS DOUBLE) * 9.769 AS VARCHAR) AS DECIMAL(38,6)) AS offtake_volume_kwh,
        c.supply_year, c.supply_month, d.__record_timestamp
 FROM {days} d JOIN {curve} c
   ON d.profile_category_code = c.profile_category_code AND d.supply_date = c.supply_date"""

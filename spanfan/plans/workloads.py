@@ -55,7 +55,7 @@ LO, HI = f"{YEAR}-01-01", f"{YEAR}-12-31"
 ZONE = "Europe/Amsterdam"
 CHANGED_EVERY = 50      # every 50th customer is edited in v2
 NEW_KEY_OFFSET = 1_000_000
-N_BUCKETS = 16
+N_BUCKETS = 4
 
 
 # ---------------------------------------------------------------- inputs

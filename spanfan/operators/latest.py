@@ -13,9 +13,11 @@
 
 "Latest" is the largest sequence value; ties are broken by the remaining
 columns, so the winner is repeatable. All three use aggregation
-(``max`` of a struct) rather than a window: the aggregate combines map-side
-before the shuffle, so a key holding a large share of the rows is reduced in
-every map task instead of landing whole in one reducer.
+(``max`` of a struct) rather than a window. ``per_day`` and ``per_segment``
+group on (key, category, year, month, ...), which the month-piece
+partitioning of ``expand_months`` already satisfies: the only shuffle moves
+month pieces, and a key holding a large share of the rows is spread over its
+months. ``per_record`` combines map-side before its shuffle of range rows.
 """
 
 from __future__ import annotations
@@ -37,8 +39,12 @@ def _winner(order_first: str, others: list[str]):
 
 
 def latest_per_day(days: DataFrame, cols: RangeCols = RANGE, day_col: str = "supply_date") -> DataFrame:
-    """W1 on an expanded frame: one row per (key, category, day)."""
-    group = [cols.key, cols.category, day_col]
+    """W1 on an expanded frame: one row per (key, category, day).
+
+    Year and month (functions of the day) join the grouping keys when
+    present, so the partitioning of ``expand_days`` already satisfies the
+    aggregate and no second shuffle is planned."""
+    group = [cols.key, cols.category, *[c for c in ("supply_year", "supply_month") if c in days.columns], day_col]
     others = [c for c in days.columns if c not in group and c != cols.seq]
     agg = days.groupBy(*group).agg(_winner(cols.seq, others))
     return agg.select(*group, F.col("_w._o").alias(cols.seq), *[F.col(f"_w.{c}").alias(c) for c in others]).select(
@@ -73,7 +79,7 @@ def latest_segments(
     Each piece then yields the segments it covers, and the latest record per
     segment wins. Output: key, category, payload, ``seg_from``, ``seg_to``."""
     payload = cols.payload
-    grp = [cols.key, cols.category, "month"]
+    grp = [cols.key, cols.category, "supply_year", "supply_month"]
     pieces = expand_months(ranges, cols, lo, hi, as_of, horizon_days, keep=[cols.key, cols.category, *payload])
     bounds = pieces.groupBy(*grp).agg(
         F.array_sort(
@@ -88,6 +94,7 @@ def latest_segments(
         F.slice("bounds", 2, F.size("bounds") - 1).alias("n"),
     )
     covered = F.filter(segs, lambda z: (z["s"] >= F.col("piece_from")) & (z["s"] <= F.col("piece_to")))
+    # pieces and bounds share the partitioning on grp: no exchange for the join
     seg_rows = pieces.join(bounds, grp).select(
         *grp, *payload, F.explode(covered).alias("_z")
     ).select(

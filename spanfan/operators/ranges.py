@@ -88,6 +88,14 @@ def clipped_days(cols_from: str = CLIP_FROM, cols_to: str = CLIP_TO) -> Column:
     return F.datediff(F.col(cols_to), F.col(cols_from)) + F.lit(1)
 
 
+def fanout_partitions(df: DataFrame, partitions: int | None = None) -> int:
+    """Partitions to spread an expansion over: explicit, else the session's
+    ``spark.sql.shuffle.partitions`` (sized by the operator for the cluster)."""
+    if partitions:
+        return int(partitions)
+    return int(df.sparkSession.conf.get("spark.sql.shuffle.partitions", "200"))
+
+
 def expand_days(
     ranges: DataFrame,
     cols: RangeCols = RANGE,
@@ -97,19 +105,28 @@ def expand_days(
     horizon_days: int | None = HORIZON_DAYS,
     keep: list[str] | None = None,
     day_col: str = "supply_date",
+    partitions: int | None = None,
 ) -> DataFrame:
     """One row per day of every valid range.
 
     Columns: ``keep`` (default key, category, quantity, unit, sequence), the
-    day, and its year and month. Only the kept columns enter the Generate, so
-    the explode moves no unused bytes."""
+    day, and its year and month. Only the kept columns enter the Generate.
+
+    A range table is small next to its expansion (hundreds of days per row),
+    and few input splits would otherwise explode everything in few tasks.
+    Ranges are therefore cut into calendar-month pieces (about d/30 + 1 rows)
+    and hash-partitioned on (key, category, year, month) *before* the days
+    are generated: the shuffle moves pieces, not days, the day rows are
+    produced in parallel, a hot key is spread over its months, and a later
+    grouping on (key, category, year, month, day) needs no second shuffle."""
     keep = keep if keep is not None else [cols.key, cols.category, *cols.payload]
-    v = valid_ranges(ranges, cols, lo, hi, as_of, horizon_days)
-    return (
-        v.select(*keep, F.explode(day_sequence(F.col(CLIP_FROM), F.col(CLIP_TO))).alias(day_col))
-        .withColumn("supply_year", F.year(day_col))
-        .withColumn("supply_month", F.month(day_col))
-    )
+    pieces = expand_months(ranges, cols, lo, hi, as_of, horizon_days, keep, partitions)
+    return pieces.select(
+        *keep,
+        "supply_year",
+        "supply_month",
+        F.explode(day_sequence(F.col("piece_from"), F.col("piece_to"))).alias(day_col),
+    ).select(*keep, day_col, "supply_year", "supply_month")
 
 
 def expand_months(
@@ -120,17 +137,26 @@ def expand_months(
     as_of=None,
     horizon_days: int | None = HORIZON_DAYS,
     keep: list[str] | None = None,
+    partitions: int | None = None,
 ) -> DataFrame:
     """One row per touched calendar month of every valid range: ``month``
-    (first day) and the piece ``piece_from..piece_to`` of the range inside it.
-    A range of d days yields about d/30 + 1 rows instead of d."""
+    (first day), ``supply_year``, ``supply_month`` and the piece
+    ``piece_from..piece_to`` of the range inside it. A range of d days yields
+    about d/30 + 1 rows instead of d. The pieces are hash-partitioned on
+    (key, category, year, month); ``partitions=0`` skips that shuffle."""
     keep = keep if keep is not None else [cols.key, cols.category, *cols.payload]
     v = valid_ranges(ranges, cols, lo, hi, as_of, horizon_days)
     m = F.col("month")
-    return v.select(*keep, CLIP_FROM, CLIP_TO,
-                    F.explode(month_sequence(F.col(CLIP_FROM), F.col(CLIP_TO))).alias("month")).select(
+    pieces = v.select(*keep, CLIP_FROM, CLIP_TO,
+                      F.explode(month_sequence(F.col(CLIP_FROM), F.col(CLIP_TO))).alias("month")).select(
         *keep,
         "month",
+        F.year(m).alias("supply_year"),
+        F.month(m).alias("supply_month"),
         F.greatest(F.col(CLIP_FROM), m).alias("piece_from"),
         F.least(F.col(CLIP_TO), F.last_day(m)).alias("piece_to"),
     )
+    if partitions == 0:
+        return pieces
+    return pieces.repartition(fanout_partitions(ranges, partitions), cols.key, cols.category,
+                              "supply_year", "supply_month")

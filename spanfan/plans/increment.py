@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 from ..config import CURVE, HORIZON_DAYS, M3_TO_KWH, RANGE, RELEVANCE, CurveCols, RangeCols
 from ..functions.predicates import relevant
 from ..operators.allocate import build_window
+from ..session import ensure_checkpoint_dir
 from ..sources.target import PART_COLS, Target, key_bucket
 
 
@@ -62,11 +63,17 @@ def apply_increment(
     changed key are rewritten: their rows of other keys are carried over,
     the changed keys' rows are replaced, and a partition left without rows
     is committed empty. Applying the same keys again gives the same table."""
+    ensure_checkpoint_dir(target.spark)
     gen = target.next_gen()
     key = cols.key
-    k = keys.select(key).filter(F.col(key).isNotNull()).distinct()
+    # both are used twice (partitions to rewrite, rows to write): checkpoint
+    # them to the shared checkpoint folder once, which also cuts the lineage
+    # back to the change log against lost executors
+    k = keys.select(key).filter(F.col(key).isNotNull()).distinct().checkpoint()
     old = target.read(before_gen=gen, with_bucket=True)
-    rebuilt = rebuild_changed(ranges, curve, k, policy, strategy, as_of, horizon_days, relevance, factor, cols, cc)
+    rebuilt = rebuild_changed(
+        ranges, curve, k, policy, strategy, as_of, horizon_days, relevance, factor, cols, cc
+    ).checkpoint()
     rebuilt_b = rebuilt.withColumn("key_bucket", key_bucket(key, target.n_buckets))
     affected = (
         old.join(k, key, "left_semi").select(*PART_COLS)

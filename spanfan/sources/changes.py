@@ -50,22 +50,25 @@ def snapshot_diff(old: DataFrame, new: DataFrame, key: str = RANGE.key, version:
                   commit_ts=None) -> DataFrame:
     """The commit that turns ``old`` into ``new``.
 
-    Rows only in ``new`` (multiset) are inserts, rows only in ``old`` are
-    deletes; when the entity key occurs on both sides of the commit the pair
-    is labelled as update pre-/post-image."""
-    new = new.select(*old.columns)
-    added = new.exceptAll(old)
-    removed = old.exceptAll(new)
-    added_keys = added.select(F.col(key).alias("_k")).distinct()
-    removed_keys = removed.select(F.col(key).alias("_k")).distinct()
-    both = added_keys.intersect(removed_keys).withColumn("_both", F.lit(True))
-
-    def label(df: DataFrame, if_both: str, otherwise: str) -> DataFrame:
-        j = df.join(both, df[key].eqNullSafe(both["_k"]), "left")
-        return j.select(*df.columns, F.when(F.col("_both"), if_both).otherwise(otherwise).alias(CHANGE_TYPE))
-
-    out = label(added, "update_postimage", "insert").unionByName(label(removed, "update_preimage", "delete"))
-    return _stamp(out, F.col(CHANGE_TYPE), version, commit_ts)
+    One signed count per distinct row (``new`` +1, ``old`` -1, summed with a
+    map-side combine) gives the multiset difference in a single shuffle:
+    positive counts are inserts, negative ones deletes, each row repeated by
+    its count. When the entity key has both kinds in the commit the rows are
+    labelled update pre-/post-image. The key flags are one row per key,
+    joined back (a key with many changes is streamed, never buffered)."""
+    cols = old.columns
+    signed = old.select(*cols, F.lit(-1).alias("_v")).unionByName(new.select(*cols, F.lit(1).alias("_v")))
+    net = signed.groupBy(*cols).agg(F.sum("_v").alias("_n")).filter(F.col("_n") != 0)
+    flags = net.groupBy(F.col(key).alias("_k")).agg(
+        F.max(F.col("_n") > 0).alias("_add"), F.max(F.col("_n") < 0).alias("_rem")
+    )
+    j = net.join(flags, net[key].eqNullSafe(flags["_k"]), "left")
+    both = F.col("_add") & F.col("_rem")
+    label = F.when(F.col("_n") > 0, F.when(both, "update_postimage").otherwise("insert")).otherwise(
+        F.when(both, "update_preimage").otherwise("delete")
+    )
+    out = j.select(*cols, label.alias(CHANGE_TYPE), F.explode(F.sequence(F.lit(1), F.abs(F.col("_n")))).alias("_r"))
+    return _stamp(out.drop("_r"), F.col(CHANGE_TYPE), version, commit_ts)
 
 
 def as_of(log: DataFrame, version: int) -> DataFrame:

@@ -128,7 +128,10 @@ class Target:
         (
             out.withColumn("gen", F.lit(int(gen)).cast("long"))
             .hint("rebalance", *PART_COLS)
-            .sortWithinPartitions(self.key, "supply_start_date_time_utc")
+            # partition columns first: this is the order the partitioned
+            # writer needs, so it adds no sort of its own; then key and hour,
+            # so files are clustered by key (row-group skipping on the key)
+            .sortWithinPartitions("gen", *PART_COLS, self.key, "supply_start_date_time_utc")
             .write.mode("overwrite")
             .option("partitionOverwriteMode", "dynamic")
             .partitionBy("gen", *PART_COLS)

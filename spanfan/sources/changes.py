@@ -34,10 +34,13 @@ REMOVING = ("delete", "update_preimage")
 
 def _stamp(df: DataFrame, change_type, version: int, commit_ts) -> DataFrame:
     ts = commit_ts if commit_ts is not None else dt.datetime(2000, 1, 1) + dt.timedelta(days=int(version))
+    # via an ISO string: a Python datetime literal would pass through the
+    # session time zone before becoming timestamp_ntz
+    ts_lit = ts.isoformat(sep=" ") if isinstance(ts, dt.datetime) else str(ts)
     return (
         df.withColumn(CHANGE_TYPE, change_type if not isinstance(change_type, str) else F.lit(change_type))
         .withColumn(VERSION, F.lit(int(version)).cast("bigint"))
-        .withColumn(COMMIT_TS, F.lit(ts).cast("timestamp_ntz"))
+        .withColumn(COMMIT_TS, F.lit(ts_lit).cast("timestamp_ntz"))
     )
 
 

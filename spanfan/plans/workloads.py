@@ -32,7 +32,7 @@ from ..operators.checks import (
     reconcile,
     row_counts_by,
 )
-from ..operators.latest import latest_days, latest_per_day, latest_per_record
+from ..operators.latest import latest_days
 from ..operators.merge import merge_actions, merge_summary, retracted_rows, retracting_merge
 from ..operators.ranges import CLIP_FROM, CLIP_TO, expand_days, valid_ranges
 from ..functions.predicates import relevant

@@ -46,3 +46,18 @@ def test_entry_smoke(spark):
 def test_every_query_has_oracle_or_is_listed():
     no_oracle = set(E.queries()) - set(E.oracle_sql())
     assert no_oracle == {"entity_table"}
+
+
+def test_results_do_not_depend_on_session_zone(spark, con):
+    """Timestamps are zone-free (timestamp_ntz / dates): the same digest as
+    the oracle under a non-UTC session zone."""
+    old = spark.conf.get("spark.sql.session.timeZone")
+    try:
+        spark.conf.set("spark.sql.session.timeZone", "America/New_York")
+        for name in ("snapshot_diff", "allocate_local_day", "curve_from_events"):
+            df = E.queries()[name](spark, SF)
+            res = con.execute(E.oracle_sql()[name])
+            assert digest(df.columns, [tuple(r) for r in df.collect()]) == digest(
+                [d[0] for d in res.description], res.fetchall()), name
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", old)

@@ -2,12 +2,16 @@
 
 from __future__ import annotations
 
-from spanfan.llm import quality_rules
+from spanfan.llm import chat_format, packing, quality_rules, sharding
 
 QUERIES = {
     "op1_quality_rules": quality_rules.op1_quality_rules,
+    "op3_packing": packing.op3_packing,
+    "op6_sharding": sharding.op6_sharding,
+    "op8_chat_format": chat_format.op8_chat_format,
 }
 
 SQL = {
     "op1_quality_rules": quality_rules.OP1_SQL,
+    "op8_chat_format": chat_format.OP8_SQL,
 }

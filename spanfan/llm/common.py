@@ -83,69 +83,82 @@ def _labelled(members: DataFrame, comp: DataFrame) -> DataFrame:
     )
 
 
-def _split_buckets(members: DataFrame) -> DataFrame:
+def _split_components(members: DataFrame) -> DataFrame:
     """Members of the buckets that still hold several components."""
     spans = members.groupBy("bucket").agg(F.min("comp").alias("lo"), F.max("comp").alias("hi")).filter("lo <> hi")
     return members.join(spans.select("bucket"), "bucket", "left_semi")
 
 
-def _distinct_pairs(df: DataFrame) -> DataFrame:
-    return df.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
+def small(df: DataFrame, max_rows: int = 200_000) -> DataFrame:
+    """``df`` (a few narrow columns), marked for broadcast if a count shows that it has at
+    most ``max_rows`` rows; otherwise as it is, so that the join shuffles."""
+    return F.broadcast(df) if df.count() <= max_rows else df
+
+
+def split_buckets(members: DataFrame) -> DataFrame:
+    """Rows of the buckets that hold more than one node."""
+    spans = members.groupBy("bucket").agg(F.min("node").alias("lo"), F.max("node").alias("hi")).filter("lo <> hi")
+    return members.join(spans.select("bucket"), "bucket", "left_semi").distinct()
 
 
 def resolve(
     members: DataFrame,
     verify: Callable[[DataFrame], DataFrame],
     may_link: Callable[[str, str], F.Column] | None = None,
-    rounds: int = 3,
+    rounds: int = 4,
     name: str = "links",
 ) -> DataFrame:
     """Components over the verified links between nodes that share a bucket.
 
     ``members(bucket, node, ...)``; ``verify(pairs(a, b))`` returns the rows
-    of ``pairs`` that are links. Each round compares every member with one
-    pivot of its bucket (a star, linear in the members) and drops buckets
-    whose members are then in one component; pivots differ by round. What is
-    left is settled exactly: in a bucket that still holds several
-    components, every member outside the largest of them is compared with all
-    members of other components. So every pair that shares a bucket is
-    either compared or already connected. ``may_link(l, r)`` is a necessary
-    condition on two aliases of ``members``, applied before pairs are kept.
+    of ``pairs`` that are links. In a round every bucket has one pivot and
+    every node is compared with the first pivot among its buckets (a star: at
+    most one pair per node); buckets whose members are then in one component
+    are done, and pivots differ by round. What is left is settled exactly: in
+    a bucket that still holds several components, every member outside the
+    largest of them is compared with all members of other components. So
+    every pair that shares a bucket is either compared or already connected.
+    ``may_link(l, r)`` is a necessary condition on two aliases of ``members``,
+    applied before pairs are kept.
     """
     cond = may_link or (lambda left, right: F.lit(True))
     members = members.withColumn("comp", F.col("node"))
-    members = stored(_split_buckets(members), f"{name}-buckets")
     links = None
     comp = None
     for r in range(rounds + 1):
-        if r:
-            members = stored(_split_buckets(_labelled(members, comp)), f"{name}-split{r}")
-        if members.isEmpty():
-            break
+        if comp is not None:
+            members = stored(_split_components(_labelled(members, comp)), f"{name}-split{r}")
+            if members.isEmpty():
+                break
         if r < rounds:
+            others = [c for c in members.columns if c != "bucket"]
             pivot = (
                 members.groupBy("bucket")
-                .agg(F.min(F.struct(F.xxhash64("node", F.lit(r)).alias("h"), *[c for c in members.columns if c != "bucket"])).alias("p"))
+                .agg(F.min(F.struct(F.xxhash64("node", F.lit(r)).alias("h"), *others)).alias("p"))
                 .select("bucket", "p.*")
-                .drop("h")
             )
         else:
-            size = members.groupBy("bucket", "comp").agg(F.count("*").alias("n"))
-            main = size.groupBy("bucket").agg(F.max(F.struct("n", "comp")).alias("x")).select("bucket", F.col("x.comp").alias("main"))
-            pivot = members.join(main, "bucket").filter("comp <> main").drop("main")
+            size = members.groupBy("bucket", "comp").agg(F.count("*").alias("n_comp"))
+            main = size.groupBy("bucket").agg(F.max(F.struct("n_comp", "comp")).alias("x"))
+            main = main.select("bucket", F.col("x.comp").alias("main"))
+            pivot = members.join(main, "bucket").filter("comp <> main").drop("main").withColumn("h", F.lit(0))
         pairs = (
             members.alias("l")
             .join(pivot.alias("r"), F.col("l.bucket") == F.col("r.bucket"))
             .filter((F.col("l.comp") != F.col("r.comp")) & cond("l", "r"))
-            .select(F.col("l.node").alias("a"), F.col("r.node").alias("b"))
+            .select(F.col("l.node").alias("a"), F.col("r.node").alias("b"), F.col("r.h").alias("h"))
+        )
+        if r < rounds:
+            pairs = pairs.groupBy("a").agg(F.min(F.struct("h", "b")).alias("p")).select("a", F.col("p.b").alias("b"))
+        pairs = stored(
+            pairs.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct(), f"{name}-pairs{r}"
         )
-        found = stored(verify(stored(_distinct_pairs(pairs), f"{name}-pairs{r}")), f"{name}-found{r}")
+        found = stored(verify(pairs), f"{name}-found{r}")
         links = found if links is None else links.unionByName(found)
-        if r < rounds or not found.isEmpty():
+        if not found.isEmpty():
             comp = stored(components(links), f"{name}-comp{r}")
     if comp is None:
-        spark = members.sparkSession
-        return spark.createDataFrame([], "node long, comp long")
+        return members.sparkSession.createDataFrame([], "node long, comp long")
     return comp
 
 

@@ -8,8 +8,9 @@ stage's ``docs``.
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from spanfan.llm import quality_rules
+from spanfan.llm import decontaminate, line_dedup, minhash_near, packing, quality_rules
 from spanfan.llm.common import read_table, stored
 
 
@@ -18,8 +19,35 @@ def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return quality_rules.keep(docs)
 
 
+def lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Repeated lines go (the first of each component stays), and with them
+    documents that have no other line; ``n_chars`` follows the text."""
+    out = line_dedup.dedup_lines(docs)
+    n_chars = F.length("text").cast(docs.schema["n_chars"].dataType) if "n_chars" in docs.columns else None
+    return out.select(*[n_chars.alias(c) if c == "n_chars" else F.col(f"`{c}`") for c in docs.columns])
+
+
+def near(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """One document of each group of near copies."""
+    return minhash_near.keep_one(docs)
+
+
+def benchmark(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that hold no benchmark item."""
+    return decontaminate.clean(docs, read_table(spark, sf_dir, "benchmark"))
+
+
+def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Token windows of what is left, as pieces with their ids."""
+    return packing.pack(docs)
+
+
 STAGES = [
     ("quality rules", quality),
+    ("line dedup", lines),
+    ("near dedup", near),
+    ("decontamination", benchmark),
+    ("packing", pack),
 ]
 
 # line dedup, near-dedup and packing have no SQL form: tests/llm holds the brute-force versions

@@ -96,9 +96,11 @@ def small(df: DataFrame, max_rows: int = 200_000) -> DataFrame:
 
 
 def split_buckets(members: DataFrame) -> DataFrame:
-    """Rows of the buckets that hold more than one node."""
-    spans = members.groupBy("bucket").agg(F.min("node").alias("lo"), F.max("node").alias("hi")).filter("lo <> hi")
-    return members.join(spans.select("bucket"), "bucket", "left_semi").distinct()
+    """Rows of the buckets that hold more than one node. One shuffle: the
+    aggregate and the join use the same partitioning by bucket."""
+    dealt = members.repartition("bucket")
+    spans = dealt.groupBy("bucket").agg(F.min("node").alias("lo"), F.max("node").alias("hi")).filter("lo <> hi")
+    return dealt.join(spans.select("bucket"), "bucket", "left_semi").distinct()
 
 
 def resolve(

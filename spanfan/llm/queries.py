@@ -2,14 +2,16 @@
 
 from __future__ import annotations
 
-from spanfan.llm import chat_format, decontaminate, line_dedup, minhash_near, packing, quality_rules, sharding
+from spanfan.llm import chat_format, decontaminate, line_dedup, minhash_near, packing, pii_surrogates, quality_rules, secret_scan, sharding
 
 QUERIES = {
     "op1_quality_rules": quality_rules.op1_quality_rules,
     "op2_line_dedup": line_dedup.op2_line_dedup,
     "op3_packing": packing.op3_packing,
+    "op4_pii_surrogates": pii_surrogates.op4_pii_surrogates,
     "op5_minhash_near": minhash_near.op5_minhash_near,
     "op6_sharding": sharding.op6_sharding,
+    "op7_secret_scan": secret_scan.op7_secret_scan,
     "op8_chat_format": chat_format.op8_chat_format,
     "op9_decontaminate": decontaminate.op9_decontaminate,
 }

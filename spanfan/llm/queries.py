@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from spanfan.llm import chat_format, decontaminate, line_dedup, minhash_near, packing, pii_surrogates, quality_rules, secret_scan, sharding
+from spanfan.llm import chat_format, decontaminate, line_dedup, minhash_near, packing, pii_surrogates, quality_rules, secret_scan, sharding, suffix_dedup
 
 QUERIES = {
     "op1_quality_rules": quality_rules.op1_quality_rules,
@@ -14,6 +14,7 @@ QUERIES = {
     "op7_secret_scan": secret_scan.op7_secret_scan,
     "op8_chat_format": chat_format.op8_chat_format,
     "op9_decontaminate": decontaminate.op9_decontaminate,
+    "op10_suffix_dedup": suffix_dedup.op10_suffix_dedup,
 }
 
 SQL = {

@@ -60,20 +60,21 @@ class CurveCols:
 RANGE = RangeCols()
 CURVE = CurveCols()
 
-# output columns of the hourly target, in table order
-TARGET_COLUMNS = [
-    "point_of_delivery_ean",
-    "profile_category_code",
-    "sja",
-    "sj_unit_of_measure",
-    "supply_start_date_time_utc",
-    "supply_end_date_time_utc",
-    "supply_hour",
-    "profile_fraction",
-    "offtake_volume_m3",
-    "offtake_volume_kwh",
-    "supply_year",
-    "supply_month",
-    "__record_timestamp",
-]
+# columns and fixed types of the hourly target, in table order
+TARGET_TYPES = (
+    ("point_of_delivery_ean", "STRING"),
+    ("profile_category_code", "STRING"),
+    ("sja", QUANTITY_TYPE),
+    ("sj_unit_of_measure", "STRING"),
+    ("supply_start_date_time_utc", "TIMESTAMP_NTZ"),
+    ("supply_end_date_time_utc", "TIMESTAMP_NTZ"),
+    ("supply_hour", "INT"),
+    ("profile_fraction", FRACTION_TYPE),
+    ("offtake_volume_m3", VOLUME_TYPE),
+    ("offtake_volume_kwh", VOLUME_TYPE),
+    ("supply_year", "INT"),
+    ("supply_month", "INT"),
+    ("__record_timestamp", "TIMESTAMP_NTZ"),
+)
+TARGET_COLUMNS = [name for name, _ in TARGET_TYPES]
 TARGET_KEY = ["point_of_delivery_ean", "profile_category_code", "supply_start_date_time_utc"]

@@ -21,6 +21,3 @@ def energy(quantity: Column, fraction: Column, factor: float = M3_TO_KWH) -> Col
     vol = quantity.cast(QUANTITY_TYPE) * fraction.cast(FRACTION_TYPE)
     return (vol * F.lit(float(factor))).cast(VOLUME_TYPE)
 
-
-def energy_from_volume(vol: Column, factor: float = M3_TO_KWH) -> Column:
-    return (vol.cast(VOLUME_TYPE) * F.lit(float(factor))).cast(VOLUME_TYPE)

@@ -76,6 +76,5 @@ def curve_columns(hour_start: Column, offset: Column, noise: Column | None = Non
         (frac * (F.lit(1.0) + F.greatest(F.lit(0.0), F.lit(RER_THRESHOLD) - temp) * F.lit(RER_STEP)))
         .cast(FRACTION_TYPE)
         .alias("profile_fraction_rer"),
-        F.lit(RER_THRESHOLD).cast(FRACTION_TYPE).alias("rer_temperature_threshold_celcius"),
         temp.cast(FRACTION_TYPE).alias("realized_temperature"),
     ]

@@ -72,10 +72,6 @@ def day_sequence(start: Column, end: Column) -> Column:
     return F.sequence(start, end, F.expr("INTERVAL 1 DAY"))
 
 
-def month_start(day: Column) -> Column:
-    return F.trunc(day, "month")
-
-
 def month_sequence(start: Column, end: Column) -> Column:
     """Array of the first days of all months touched by ``start..end``."""
     return F.sequence(F.trunc(start, "month"), F.trunc(end, "month"), F.expr("INTERVAL 1 MONTH"))

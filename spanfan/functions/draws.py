@@ -1,76 +1,42 @@
-"""Deterministic and weighted draws used to synthesise range tables.
+"""Weighted draws as plain column expressions.
 
-All of these are plain column expressions, so a generator built from them is
-a single distributed projection over ``spark.range`` or an existing table.
+A draw is a number in [0, 1); the shares of the choices lie end to end on that
+interval, and the draw falls into one of them.
 """
 
 from __future__ import annotations
 
 from collections.abc import Sequence
+from itertools import accumulate
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-# modulus of the stable uniform (a prime just above 10^6)
-UNIF_MODULUS = 1_000_003
-
-
-def stable_unif(key: Column, salt: int) -> Column:
-    """Uniform in [0, 1) that depends only on ``key`` and ``salt``.
-
-    ``xxhash64`` + ``pmod`` instead of ``abs(hash(..))``: ``abs`` of the
-    smallest int raises under ANSI mode."""
-    return F.pmod(F.xxhash64(key, F.lit(salt)), F.lit(UNIF_MODULUS)).cast("double") / F.lit(float(UNIF_MODULUS))
-
 
 def arithmetic_unif(key: Column, mult: int, modulus: int) -> Column:
     """Uniform-ish draw ``(key * mult mod modulus) / modulus`` that any SQL
-    engine reproduces exactly (used where an oracle must agree)."""
+    engine reproduces exactly."""
     return F.pmod(key.cast("long") * F.lit(mult), F.lit(modulus)).cast("double") / F.lit(float(modulus))
 
 
-def stable_normal(key: Column, salt: int) -> Column:
-    """Approximately standard normal: sum of three stable uniforms, centred
-    and scaled (mean 1.5, sd 0.5)."""
-    u = [stable_unif(key, salt + off) for off in (0, 7919, 104729)]
-    return (u[0] + u[1] + u[2] - F.lit(1.5)) / F.lit(0.5)
-
+def share_index(draw: Column, shares: Sequence[float]) -> Column:
+    """0-based index of the share that ``draw`` falls into; ``shares`` sum to 1."""
+    if not shares or abs(sum(shares) - 1) > 1e-9:
+        raise ValueError("shares must sum to 1")
+    ends = F.array(*[F.lit(round(e, 9)) for e in accumulate(shares)][:-1])
+    return F.size(F.filter(ends, lambda end: end <= draw))
 
-def _cumulative(weights: Sequence[float]) -> list[float]:
-    total = float(sum(weights))
-    acc, out = 0.0, []
-    for w in weights:
-        acc += w / total
-        out.append(acc)
-    return out
 
-
-def weighted_pick(draw: Column, choices: Sequence, weights: Sequence[float]) -> Column:
-    """Pick ``choices[i]`` with probability ``weights[i] / sum(weights)`` for
-    a uniform ``draw`` in [0, 1)."""
-    if len(choices) != len(weights) or not choices:
-        raise ValueError("choices and weights must be non-empty and of equal length")
-    bounds = _cumulative(weights)
-    expr = F.lit(choices[-1])
-    for choice, bound in reversed(list(zip(choices[:-1], bounds[:-1]))):
-        expr = F.when(draw < F.lit(bound), F.lit(choice)).otherwise(expr)
-    return expr
+def weighted_pick(draw: Column, choices: Sequence, shares: Sequence[float]) -> Column:
+    """The choice whose share ``draw`` falls into."""
+    if len(choices) != len(shares):
+        raise ValueError("choices and shares must be of equal length")
+    return F.get(F.array(*[F.lit(c) for c in choices]), share_index(draw, shares))
 
 
 def bucketed_length(bucket_draw: Column, within_draw: Column, buckets: Sequence[tuple[float, int, int]]) -> Column:
-    """Length drawn from weighted buckets ``(weight, lo, hi)``: the bucket by
-    ``bucket_draw``, then ``lo + floor(within_draw * (hi - lo))`` inside it."""
-    bounds = _cumulative([b[0] for b in buckets])
-
-    def length(lo: int, hi: int) -> Column:
-        return (F.lit(lo) + F.floor(within_draw * F.lit(hi - lo))).cast("int")
-
-    expr = length(buckets[-1][1], buckets[-1][2])
-    for (_, lo, hi), bound in reversed(list(zip(buckets[:-1], bounds[:-1]))):
-        expr = F.when(bucket_draw < F.lit(bound), length(lo, hi)).otherwise(expr)
-    return expr
-
-
-def lognormal_floor(z: Column, log_mean: float, log_sigma: float, floor: float) -> Column:
-    """``greatest(floor, exp(log_mean + log_sigma * z))``."""
-    return F.greatest(F.lit(float(floor)), F.exp(F.lit(log_mean) + F.lit(log_sigma) * z))
+    """A whole number from the bucket ``(share, lowest, end)`` that ``bucket_draw``
+    falls into, placed inside it by ``within_draw``; ``end`` is excluded."""
+    bounds = F.array(*[F.struct(F.lit(lo).alias("lo"), F.lit(end - lo).alias("width")) for _, lo, end in buckets])
+    b = F.get(bounds, share_index(bucket_draw, [share for share, _, _ in buckets]))
+    return (b["lo"] + F.floor(within_draw * b["width"])).cast("int")

@@ -1,4 +1,4 @@
-"""Row predicates: relevance filter and range/window overlap."""
+"""Row predicates: the relevance filter."""
 
 from __future__ import annotations
 
@@ -8,7 +8,6 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 from ..config import RELEVANCE
-from .dates import as_date
 
 
 def relevant(spec: Iterable[tuple[str, str]] = RELEVANCE) -> Column:
@@ -22,16 +21,3 @@ def relevant(spec: Iterable[tuple[str, str]] = RELEVANCE) -> Column:
         cond = c if cond is None else cond & c
     return F.lit(True) if cond is None else cond
 
-
-def overlaps_window(start: str, end: str, lo=None, hi=None, open_end: bool = True) -> Column:
-    """Range ``[start, end]`` touches window ``[lo, hi]``. With ``open_end`` a
-    NULL end counts as open (the range reaches the window end)."""
-    cond = F.col(start).isNotNull()
-    if hi is not None:
-        cond = cond & (F.col(start).cast("date") <= as_date(hi))
-    if lo is not None:
-        end_ok = F.col(end).cast("date") >= as_date(lo)
-        cond = cond & ((F.col(end).isNull() | end_ok) if open_end else end_ok)
-    elif not open_end:
-        cond = cond & F.col(end).isNotNull()
-    return cond

@@ -12,7 +12,7 @@ from ..functions.allocation import energy, volume
 from ..functions.dates import next_hour
 from ..functions.predicates import relevant
 from .join import (
-    CURVE_BROADCAST_MAX_ROWS,
+    CURVE_BROADCAST_MAX_BYTES,
     STRATEGIES,
     broadcast_if_small,
     join_days,
@@ -21,7 +21,7 @@ from .join import (
     prune_curve,
 )
 from .latest import latest_days, latest_per_record, latest_segments
-from .ranges import CLIP_FROM, CLIP_TO, valid_ranges
+from .ranges import deal_pieces, month_pieces
 
 
 def target_columns(cols: RangeCols = RANGE, cc: CurveCols = CURVE, factor: float = M3_TO_KWH) -> list:
@@ -47,7 +47,7 @@ def target_columns(cols: RangeCols = RANGE, cc: CurveCols = CURVE, factor: float
 def allocate_days(days: DataFrame, curve: DataFrame, cols: RangeCols = RANGE, cc: CurveCols = CURVE,
                   factor: float = M3_TO_KWH, day_col: str = "supply_date") -> DataFrame:
     """J1 + projection: deduplicated day rows -> hourly target rows."""
-    return join_days(days, curve, cols.category, day_col, cc).select(*target_columns(cols, cc, factor))
+    return _target(join_days(days, curve, cols.category, day_col, cc), cols, cc, factor)
 
 
 def allocate_spans(spans: DataFrame, curve: DataFrame, strategy: str, span_from: str, span_to: str,
@@ -59,18 +59,24 @@ def allocate_spans(spans: DataFrame, curve: DataFrame, strategy: str, span_from:
         j = join_spans_by_month(spans, curve, cols.category, span_from, span_to, cc)
     else:
         raise ValueError(f"span strategy must be 'range' or 'months', not {strategy!r}")
-    return j.select(*target_columns(cols, cc, factor))
+    return _target(j, cols, cc, factor)
+
+
+def _target(joined: DataFrame, cols: RangeCols, cc: CurveCols, factor: float) -> DataFrame:
+    """Target columns, and the bucket when the rows carry one."""
+    bucket = ["key_bucket"] if "key_bucket" in joined.columns else []
+    return joined.select(*target_columns(cols, cc, factor), *bucket)
 
 
 def latest_spans(ranges: DataFrame, policy: str, cols: RangeCols = RANGE, lo=None, hi=None, as_of=None,
-                 horizon_days: int | None = HORIZON_DAYS) -> tuple[DataFrame, str, str]:
-    """Non-overlapping spans per (key, category) after dedup, and the names
-    of their bound columns."""
+                 horizon_days: int | None = HORIZON_DAYS, n_buckets: int | None = None) -> tuple[DataFrame, str, str]:
+    """Non-overlapping spans per (key, category) after dedup, each inside one
+    month, and the names of their bound columns."""
     if policy == "per_record":
-        v = valid_ranges(latest_per_record(ranges, cols), cols, lo, hi, as_of, horizon_days)
-        return v.select(cols.key, cols.category, *cols.payload, CLIP_FROM, CLIP_TO), CLIP_FROM, CLIP_TO
+        pieces = month_pieces(latest_per_record(ranges, cols), cols, lo, hi, as_of, horizon_days)
+        return deal_pieces(pieces, cols, n_buckets), "piece_from", "piece_to"
     if policy in ("per_day", "per_segment"):
-        return latest_segments(ranges, cols, lo, hi, as_of, horizon_days), "seg_from", "seg_to"
+        return latest_segments(ranges, cols, lo, hi, as_of, horizon_days, n_buckets), "seg_from", "seg_to"
     raise ValueError(f"unknown policy {policy!r}")
 
 
@@ -87,21 +93,30 @@ def build_window(
     factor: float = M3_TO_KWH,
     cols: RangeCols = RANGE,
     cc: CurveCols = CURVE,
-    broadcast_max_rows: int = CURVE_BROADCAST_MAX_ROWS,
+    broadcast_max_bytes: int = CURVE_BROADCAST_MAX_BYTES,
+    n_buckets: int | None = None,
 ) -> DataFrame:
     """Hourly target rows for the days ``lo..hi`` (``None``: unbounded).
 
     relevance filter -> guard and clip to window and horizon -> dedup under
     ``policy`` -> fan-out with ``strategy`` -> target columns. Windows are
-    independent, so loading window by window equals one load."""
+    independent, so loading window by window equals one load. With
+    ``n_buckets`` the rows carry ``key_bucket`` and lie as the target's
+    partitions want them: the pieces are dealt by (bucket, year, month) and
+    ordered by it before the hours are made, so a write needs neither a shuffle nor a
+    sort of hourly rows."""
     if strategy not in STRATEGIES:
         raise ValueError(f"unknown strategy {strategy!r}; expected one of {STRATEGIES}")
     r = ranges if relevance is None else ranges.filter(relevant(relevance))
-    c = broadcast_if_small(prune_curve(curve, lo, hi, cc), broadcast_max_rows)
+    c = broadcast_if_small(prune_curve(curve, lo, hi, cc), broadcast_max_bytes)
     if strategy == "days":
-        days = latest_days(r, policy, cols, lo, hi, as_of, horizon_days)
+        days = latest_days(r, policy, cols, lo, hi, as_of, horizon_days, n_buckets)
+        if n_buckets:
+            days = days.sortWithinPartitions("key_bucket", "supply_year", "supply_month", cols.key)
         return allocate_days(days, c, cols, cc, factor)
-    spans, sf, st = latest_spans(r, policy, cols, lo, hi, as_of, horizon_days)
+    spans, sf, st = latest_spans(r, policy, cols, lo, hi, as_of, horizon_days, n_buckets)
+    if n_buckets:
+        spans = spans.sortWithinPartitions("key_bucket", "supply_year", "supply_month", cols.key)
     return allocate_spans(spans, c, strategy, sf, st, cols, cc, factor)
 
 
@@ -112,10 +127,8 @@ def allocate_daily(days: DataFrame, day_curve: DataFrame, cols: RangeCols = RANG
     ``day_volume_m3 = quantity * sum(fraction of the day)``. Equal to the sum
     of the hourly volumes only up to rounding (hourly volumes are rounded to
     6 places one by one)."""
-    d = days.drop("supply_year", "supply_month")
-    if day_col != cc.day:
-        d = d.withColumnRenamed(day_col, cc.day)
-    j = d.join(day_curve, [cols.category, cc.day])
+    d = days if day_col == cc.day else days.withColumnRenamed(day_col, cc.day)
+    j = d.join(day_curve.drop("supply_year", "supply_month"), [cols.category, cc.day])
     return j.select(
         cols.key, cols.category, cols.quantity, cc.day, "supply_year", "supply_month", "n_hours",
         F.col("day_fraction"),

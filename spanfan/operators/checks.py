@@ -25,15 +25,24 @@ def duplicate_keys(df: DataFrame, key: list[str] = TARGET_KEY) -> DataFrame:
 
 def reconcile(hourly: DataFrame, cols: RangeCols = RANGE, tolerance: float = 0.02) -> DataFrame:
     """A4: per entity, category and year: hours, summed volume and energy,
-    and the volume as a share of the annual quantity (about 1 for a full
-    year covered by a normalised curve)."""
+    the volume as a ``share`` of the annual quantity (largest of the year), and a
+    verdict: ``partial`` when hours of the year are missing, else ``match`` if
+    the share is within ``tolerance`` of 1 and ``mismatch`` if not."""
     g = hourly.groupBy(cols.key, cols.category, "supply_year").agg(
         F.count(F.lit(1)).alias("n_hours"),
         F.sum("offtake_volume_m3").alias("sum_m3"),
         F.sum("offtake_volume_kwh").alias("sum_kwh"),
         F.max(cols.quantity).alias("max_quantity"),
     )
-    return g
+    year = F.col("supply_year")
+    leap = ((year % 4 == 0) & (year % 100 != 0)) | (year % 400 == 0)
+    share = F.round(F.col("sum_m3").cast("double") / F.col("max_quantity").cast("double"), 6)
+    return g.withColumn("year_hours", F.when(leap, 8784).otherwise(8760)).withColumn("share", share).withColumn(
+        "verdict",
+        F.when(F.col("n_hours") < F.col("year_hours"), "partial")
+        .when(F.abs(F.col("share") - 1) <= tolerance, "match")
+        .otherwise("mismatch"),
+    )
 
 
 def curve_normalisation(curve: DataFrame, cc: CurveCols = CURVE, tolerance: float = 0.02) -> DataFrame:
@@ -80,16 +89,8 @@ def range_status_counts(ranges: DataFrame, cols: RangeCols = RANGE, lo=None, hi=
     return c.groupBy(STATUS).agg(F.count(F.lit(1)).alias("n_ranges"), F.sum(days).cast("bigint").alias("n_days"))
 
 
-def table_fingerprint(df: DataFrame) -> DataFrame:
-    """Order-free fingerprint (rows and sum of row hashes). Two tables
-    with equal fingerprints are equal with high probability; ``tables_equal``
-    is the exact test."""
-    h = F.xxhash64(*[F.col(c) for c in sorted(df.columns)])
-    return df.agg(F.count(F.lit(1)).alias("n_rows"), F.sum(h.cast("decimal(38,0)")).alias("hash_sum"))
-
-
 def table_difference(a: DataFrame, b: DataFrame) -> DataFrame:
-    """A7 exact: rows (as a multiset) in one table and not the other, with
+    """Rows (as a multiset) in one table and not the other, with
     the side they are on. Empty means equal."""
     b = b.select(*a.columns)
     return a.exceptAll(b).withColumn("side", F.lit("left")).unionByName(

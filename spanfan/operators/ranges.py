@@ -96,7 +96,7 @@ def fanout_partitions(df: DataFrame, partitions: int | None = None) -> int:
     return int(df.sparkSession.conf.get("spark.sql.shuffle.partitions", "200"))
 
 
-def expand_days(
+def month_pieces(
     ranges: DataFrame,
     cols: RangeCols = RANGE,
     lo=None,
@@ -104,32 +104,50 @@ def expand_days(
     as_of=None,
     horizon_days: int | None = HORIZON_DAYS,
     keep: list[str] | None = None,
-    day_col: str = "supply_date",
-    partitions: int | None = None,
 ) -> DataFrame:
-    """One row per day of every valid range.
+    """One row per touched calendar month of every valid range:
+    ``supply_year``, ``supply_month`` and the piece ``piece_from..piece_to``
+    of the range inside it. A range of d days yields about d/30 + 1 rows
+    instead of d. No shuffle."""
+    keep = keep if keep is not None else [cols.key, cols.category, *cols.payload]
+    v = valid_ranges(ranges, cols, lo, hi, as_of, horizon_days)
+    m = F.col("month")
+    return v.select(*keep, CLIP_FROM, CLIP_TO,
+                    F.explode(month_sequence(F.col(CLIP_FROM), F.col(CLIP_TO))).alias("month")).select(
+        *keep,
+        F.year(m).alias("supply_year"),
+        F.month(m).alias("supply_month"),
+        F.greatest(F.col(CLIP_FROM), m).alias("piece_from"),
+        F.least(F.col(CLIP_TO), F.last_day(m)).alias("piece_to"),
+    )
 
-    Columns: ``keep`` (default key, category, quantity, unit, sequence), the
-    day, and its year and month. Only the kept columns enter the Generate.
 
-    A range table is small next to its expansion (hundreds of days per row),
-    and few input splits would otherwise explode everything in few tasks.
-    Ranges are therefore cut into calendar-month pieces (about d/30 + 1 rows)
-    and hash-partitioned on (key, category, year, month) *before* the days
-    are generated: the shuffle moves pieces, not days, the day rows are
-    produced in parallel, a hot key is spread over its months, and a later
-    grouping on (key, category, year, month, day) needs no second shuffle."""
-    keep = keep if keep is not None else [cols.key, cols.category, *cols.payload]
-    pieces = expand_months(ranges, cols, lo, hi, as_of, horizon_days, keep, partitions)
+def piece_group(cols: RangeCols, n_buckets: int | None) -> list[str]:
+    """Columns that say where a piece is dealt: its (key, category, month), or the
+    partition of a stored target."""
+    return (["key_bucket"] if n_buckets else [cols.key, cols.category]) + ["supply_year", "supply_month"]
+
+
+def deal_pieces(pieces: DataFrame, cols: RangeCols = RANGE, n_buckets: int | None = None,
+                partitions: int | None = None) -> DataFrame:
+    """Hash-partition month pieces by (key, category, year, month), or by the
+    target layout (``key_bucket`` is added) when ``n_buckets`` is given."""
+    if n_buckets:
+        pieces = pieces.withColumn("key_bucket", F.pmod(F.xxhash64(F.col(cols.key)), F.lit(n_buckets)).cast("int"))
+    return pieces.repartition(fanout_partitions(pieces, partitions), *piece_group(cols, n_buckets))
+
+
+def expand_pieces(pieces: DataFrame, day_col: str = "supply_date") -> DataFrame:
+    """Day rows of month pieces."""
+    rest = [c for c in pieces.columns if c not in ("piece_from", "piece_to", "supply_year", "supply_month", "key_bucket")]
+    bucket = ["key_bucket"] if "key_bucket" in pieces.columns else []
     return pieces.select(
-        *keep,
-        "supply_year",
-        "supply_month",
+        *rest, *bucket, "supply_year", "supply_month",
         F.explode(day_sequence(F.col("piece_from"), F.col("piece_to"))).alias(day_col),
-    ).select(*keep, day_col, "supply_year", "supply_month")
+    ).select(*rest, day_col, *bucket, "supply_year", "supply_month")
 
 
-def expand_months(
+def expand_days(
     ranges: DataFrame,
     cols: RangeCols = RANGE,
     lo=None,
@@ -137,26 +155,23 @@ def expand_months(
     as_of=None,
     horizon_days: int | None = HORIZON_DAYS,
     keep: list[str] | None = None,
+    day_col: str = "supply_date",
     partitions: int | None = None,
+    n_buckets: int | None = None,
 ) -> DataFrame:
-    """One row per touched calendar month of every valid range: ``month``
-    (first day), ``supply_year``, ``supply_month`` and the piece
-    ``piece_from..piece_to`` of the range inside it. A range of d days yields
-    about d/30 + 1 rows instead of d. The pieces are hash-partitioned on
-    (key, category, year, month); ``partitions=0`` skips that shuffle."""
-    keep = keep if keep is not None else [cols.key, cols.category, *cols.payload]
-    v = valid_ranges(ranges, cols, lo, hi, as_of, horizon_days)
-    m = F.col("month")
-    pieces = v.select(*keep, CLIP_FROM, CLIP_TO,
-                      F.explode(month_sequence(F.col(CLIP_FROM), F.col(CLIP_TO))).alias("month")).select(
-        *keep,
-        "month",
-        F.year(m).alias("supply_year"),
-        F.month(m).alias("supply_month"),
-        F.greatest(F.col(CLIP_FROM), m).alias("piece_from"),
-        F.least(F.col(CLIP_TO), F.last_day(m)).alias("piece_to"),
-    )
-    if partitions == 0:
-        return pieces
-    return pieces.repartition(fanout_partitions(ranges, partitions), cols.key, cols.category,
-                              "supply_year", "supply_month")
+    """One row per day of every valid range.
+
+    Columns: ``keep`` (default key, category, quantity, unit, sequence), the
+    day, and its year and month. Only the kept columns enter the Generate.
+
+    A range table is small next to its expansion (hundreds of days per row),
+    and few input splits would otherwise explode everything in few tasks.
+    Ranges are therefore cut into calendar-month pieces first, and the pieces
+    are dealt out evenly, whatever their keys (or by the target layout with
+    ``n_buckets``), before the days are generated."""
+    pieces = month_pieces(ranges, cols, lo, hi, as_of, horizon_days, keep)
+    if n_buckets:
+        dealt = deal_pieces(pieces, cols, n_buckets, partitions)
+    else:
+        dealt = pieces.repartition(fanout_partitions(ranges, partitions))
+    return expand_pieces(dealt, day_col)

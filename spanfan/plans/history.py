@@ -2,13 +2,14 @@
 
 from __future__ import annotations
 
+import calendar
 from collections.abc import Iterable, Sequence
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..config import CURVE, HORIZON_DAYS, M3_TO_KWH, RANGE, RELEVANCE, CurveCols, RangeCols
-from ..functions.dates import as_date
+from ..functions.dates import as_date, day_of_hour
 from ..operators.allocate import build_window
 from ..sources.target import Target
 
@@ -18,12 +19,27 @@ def year_windows(years: Iterable[int]) -> list[tuple[str, str]]:
     return [(f"{y}-01-01", f"{y}-12-31") for y in years]
 
 
+def _bound(value) -> tuple[int, int, int] | None:
+    """(year, month, day) of a window bound."""
+    return None if value is None else tuple(int(x) for x in str(value)[:10].split("-"))
+
+
+def _edge_months(lo, hi) -> list[tuple[int, int]]:
+    """Months that a window covers in part."""
+    a, b = _bound(lo), _bound(hi)
+    edges = set()
+    if a and a[2] > 1:
+        edges.add(a[:2])
+    if b and b[2] < calendar.monthrange(b[0], b[1])[1]:
+        edges.add(b[:2])
+    return sorted(edges)
+
+
 def load_history(
     target: Target,
     ranges: DataFrame,
     curve: DataFrame,
     windows: Sequence[tuple] | None = None,
-    version: int | None = None,
     policy: str = "per_day",
     strategy: str = "days",
     as_of=None,
@@ -32,33 +48,37 @@ def load_history(
     factor: float = M3_TO_KWH,
     cols: RangeCols = RANGE,
     cc: CurveCols = CURVE,
-) -> int:
-    """Build the hourly rows of ``ranges`` (a snapshot pinned at ``version``)
-    window by window and commit them as one new generation.
+    zone: str = "UTC",
+) -> None:
+    """Build the hourly rows of ``ranges`` (a pinned snapshot) window by window.
 
-    ``windows=None`` loads everything in one job; a list of ``(lo, hi)``
-    bounds the shuffle per job. Partitions of a window that held rows
-    before and get none now are committed empty, so re-running a window (or
-    all of them: the reload) replaces instead of duplicating. Records
-    ``version`` as applied, the start point of the increment."""
-    gen = target.next_gen()
-    existing = target.current_partitions(before_gen=gen)
+    ``windows=None`` loads everything in one job; a list of ``(lo, hi)`` days
+    bounds the shuffle per job. Each window replaces exactly its own days and
+    is visible when it is done: partitions of its months that get no rows are
+    removed, and in a month that it covers in part the stored rows of the other
+    days are carried over. So windows may end on any day and be repeated.
+    ``zone`` is the zone of the curve's days."""
     for lo, hi in windows or [(None, None)]:
-        rows = build_window(ranges, curve, lo, hi, policy, strategy, as_of, horizon_days, relevance, factor, cols, cc)
-        month = F.make_date(F.col("supply_year"), F.col("supply_month"), F.lit(1))
-        stale = existing
-        if lo is not None:
-            stale = stale.filter(month >= F.trunc(as_date(lo), "month"))
-        if hi is not None:
-            stale = stale.filter(month <= as_date(hi))
-        target.write_generation(rows, gen, partitions=stale.select("key_bucket", "supply_year", "supply_month"))
-    if version is not None:
-        target.record_progress(gen, version)
-    return gen
+        rows = build_window(ranges, curve, lo, hi, policy, strategy, as_of, horizon_days, relevance, factor, cols, cc,
+                            n_buckets=target.n_buckets)
+        a, b = _bound(lo), _bound(hi)
+        touched = [p for p in target.partitions() if (a is None or p[1:] >= a[:2]) and (b is None or p[1:] <= b[:2])]
+        edges = [e for e in _edge_months(lo, hi) if any(p[1:] == e for p in touched)]
+        if edges:
+            day = day_of_hour(F.col(cc.hour_start), zone)
+            outside = F.lit(False)
+            if lo is not None:
+                outside = outside | (day < as_date(lo))
+            if hi is not None:
+                outside = outside | (day > as_date(hi))
+            months = [(F.col("supply_year") == y) & (F.col("supply_month") == m) for y, m in edges]
+            in_edge = months[0] if len(months) == 1 else months[0] | months[1]
+            rows = rows.unionByName(target.read(with_bucket=True).filter(in_edge & outside))
+        target.replace(rows, touched)
 
 
-def reload(target: Target, ranges: DataFrame, curve: DataFrame, version: int, **kw) -> int:
-    """M4: rebuild all history at a new pinned ``version``. Every committed
-    partition is rewritten or committed empty, so keys that no longer exist
-    disappear too (an increment only ever touches changed keys)."""
-    return load_history(target, ranges, curve, windows=None, version=version, **kw)
+def reload(target: Target, ranges: DataFrame, curve: DataFrame, **kw) -> None:
+    """M4: rebuild all history from another snapshot. Every partition is
+    replaced or removed, so keys that no longer exist disappear too (an
+    increment only ever touches changed keys)."""
+    load_history(target, ranges, curve, windows=None, **kw)

@@ -11,8 +11,19 @@ from pyspark.sql import functions as F
 from ..config import CURVE, HORIZON_DAYS, M3_TO_KWH, RANGE, RELEVANCE, CurveCols, RangeCols
 from ..functions.predicates import relevant
 from ..operators.allocate import build_window
-from ..session import ensure_checkpoint_dir
-from ..sources.target import PART_COLS, Target, key_bucket
+from ..operators.ranges import month_pieces
+from ..session import remove_dir, work_dir
+from ..sources.target import PART_COLS, Partition, Target, key_bucket
+
+# keys (one string and one int each) that may be broadcast, about 10 MB
+KEYS_BROADCAST_MAX_ROWS = 100_000
+
+
+def scoped_ranges(ranges: DataFrame, keys: DataFrame, relevance: Iterable[tuple[str, str]] | None = RELEVANCE,
+                  cols: RangeCols = RANGE) -> DataFrame:
+    """The relevant range rows of ``keys``."""
+    r = ranges if relevance is None else ranges.filter(relevant(relevance))
+    return r.join(keys.select(cols.key).distinct(), cols.key, "left_semi")
 
 
 def rebuild_changed(
@@ -30,24 +41,35 @@ def rebuild_changed(
 ) -> DataFrame:
     """Current hourly rows of the changed keys, from the current source.
 
-    The source is scoped by a semi join with the key DataFrame (AQE makes it
-    a broadcast when the key set is small), then built like history without
-    a window. A key with no current relevant record yields no rows, which the
-    merge turns into a full retraction.
+    The source is scoped by a semi join with the key DataFrame before anything
+    is expanded, then built like history without a window. A key with no
+    current relevant record yields no rows, which the merge turns into a full
+    retraction.
 
     ``policy="per_day"`` makes increment and history agree; ``per_record``
     is the single-latest-record rule for sources that append corrections."""
-    r = ranges if relevance is None else ranges.filter(relevant(relevance))
-    scoped = r.join(keys.select(cols.key).distinct(), cols.key, "left_semi")
+    scoped = scoped_ranges(ranges, keys, relevance, cols)
     return build_window(scoped, curve, None, None, policy, strategy, as_of, horizon_days, None, factor, cols, cc)
 
 
+def affected_partitions(target: Target, keys: DataFrame, scoped: DataFrame, buckets: list[int], as_of=None,
+                        horizon_days: int | None = HORIZON_DAYS, cols: RangeCols = RANGE) -> list[Partition]:
+    """Partitions with an old row of ``keys`` (key column of their buckets only)
+    or a month piece of their current ranges. At most one row per partition
+    of these buckets reaches the driver."""
+    old = target.read(buckets=buckets, with_bucket=True).join(keys, ["key_bucket", cols.key], "left_semi")
+    new = month_pieces(scoped, cols, None, None, as_of, horizon_days, keep=[cols.key]).withColumn(
+        "key_bucket", key_bucket(cols.key, target.n_buckets)
+    )
+    parts = old.select(*PART_COLS).distinct().unionByName(new.select(*PART_COLS).distinct()).distinct()
+    return sorted(tuple(r) for r in parts.collect())
+
+
 def apply_increment(
     target: Target,
     ranges: DataFrame,
     curve: DataFrame,
     keys: DataFrame,
-    through_version: int | None = None,
     policy: str = "per_day",
     strategy: str = "days",
     as_of=None,
@@ -56,31 +78,35 @@ def apply_increment(
     factor: float = M3_TO_KWH,
     cols: RangeCols = RANGE,
     cc: CurveCols = CURVE,
-) -> int:
-    """Merge the rebuilt rows of ``keys`` into ``target`` as a new generation.
-
-    Only (bucket, year, month) partitions holding an old or a new row of a
-    changed key are rewritten: their rows of other keys are carried over,
-    the changed keys' rows are replaced, and a partition left without rows
-    is committed empty. Applying the same keys again gives the same table."""
-    ensure_checkpoint_dir(target.spark)
-    gen = target.next_gen()
-    key = cols.key
-    # both are used twice (partitions to rewrite, rows to write): checkpoint
-    # them to the shared checkpoint folder once, which also cuts the lineage
-    # back to the change log against lost executors
-    k = keys.select(key).filter(F.col(key).isNotNull()).distinct().checkpoint()
-    old = target.read(before_gen=gen, with_bucket=True)
-    rebuilt = rebuild_changed(
-        ranges, curve, k, policy, strategy, as_of, horizon_days, relevance, factor, cols, cc
-    ).checkpoint()
-    rebuilt_b = rebuilt.withColumn("key_bucket", key_bucket(key, target.n_buckets))
-    affected = (
-        old.join(k, key, "left_semi").select(*PART_COLS)
-        .unionByName(rebuilt_b.select(*PART_COLS))
-        .distinct()
-    )
-    carried = old.join(affected, PART_COLS, "left_semi").join(k, key, "left_anti").drop("key_bucket")
-    rows = carried.unionByName(rebuilt)
-    target.write_generation(rows, gen, partitions=affected, through_version=through_version)
-    return gen
+) -> None:
+    """Merge the rebuilt rows of ``keys`` into ``target``.
+
+    The keys and the scoped range rows are written to the shared folder once:
+    both are used twice, and it cuts the lineage back to the change log. Only
+    the buckets of the keys are read (static partition pruning), and only
+    (bucket, year, month) partitions with an old or a new row of a changed key
+    are rewritten: rows of other keys are carried over, the changed keys' rows
+    are replaced, and a partition left without rows is removed. Applying the
+    same keys again gives the same table."""
+    spark, key = target.spark, cols.key
+    scratch = work_dir(spark, "increment")
+    keys.select(key).filter(F.col(key).isNotNull()).distinct().withColumn(
+        "key_bucket", key_bucket(key, target.n_buckets)
+    ).write.parquet(f"{scratch}/keys")
+    k = spark.read.parquet(f"{scratch}/keys")
+    scoped_ranges(ranges, k, relevance, cols).write.parquet(f"{scratch}/ranges")
+    scoped = spark.read.schema(ranges.schema).parquet(f"{scratch}/ranges")
+    if k.count() <= KEYS_BROADCAST_MAX_ROWS:
+        k = F.broadcast(k)
+    buckets = [r[0] for r in k.select("key_bucket").distinct().collect()]  # at most n_buckets
+    affected = affected_partitions(target, k, scoped, buckets, as_of, horizon_days, cols)
+    rows = build_window(scoped, curve, None, None, policy, strategy, as_of, horizon_days, None, factor, cols, cc,
+                        n_buckets=target.n_buckets)
+    if affected:
+        # bounded by the partitions of the buckets
+        parts = F.broadcast(spark.createDataFrame(affected, ", ".join(f"{c} int" for c in PART_COLS)))
+        old = target.read(years={p[1] for p in affected}, buckets=buckets, with_bucket=True)
+        carried = old.join(parts, PART_COLS, "left_semi").join(k, ["key_bucket", key], "left_anti")
+        rows = carried.unionByName(rows).repartition(*PART_COLS)
+    target.replace(rows, affected)
+    remove_dir(spark, scratch)

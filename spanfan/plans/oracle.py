@@ -11,7 +11,7 @@ from __future__ import annotations
 import math
 
 from ..functions import curve_shape as cs
-from .workloads import AS_OF, CHANGED_EVERY, HI, LO, NEW_KEY_OFFSET, ZONE
+from .workloads import AS_OF, CHANGED_EVERY, HI, LO, NEW_KEY_OFFSET, YEAR, ZONE
 
 CAP = f"(DATE '{AS_OF}' + INTERVAL 3650 DAY)::DATE"
 REL = "commodity_type ILIKE 'gas' AND allocation_method ILIKE 'PRF'"
@@ -82,7 +82,6 @@ curve AS (
          CAST(frac AS DECIMAL(36,8)) AS profile_fraction,
          CAST(frac * {cs.TOP_FACTOR} AS DECIMAL(36,8)) AS profile_fraction_top,
          CAST(frac * (1.0 + greatest(0.0, {cs.RER_THRESHOLD} - temp) * {cs.RER_STEP}) AS DECIMAL(36,8)) AS profile_fraction_rer,
-         CAST({cs.RER_THRESHOLD} AS DECIMAL(36,8)) AS rer_temperature_threshold_celcius,
          CAST(temp AS DECIMAL(36,8)) AS realized_temperature,
          CAST(year(supply_start_date_time_utc) AS INTEGER) AS supply_year,
          CAST(month(supply_start_date_time_utc) AS INTEGER) AS supply_month,
@@ -232,30 +231,20 @@ def _seg_days() -> str:
     return _with(RANGES_V1, _days("r1", "d0"), _dedup_day("d0", "d1")) + f"\nSELECT {DAY_COLS} FROM d1"
 
 
-def _weighted_pick_sql() -> str:
-    from ..functions.draws import _cumulative
-
-    b = _cumulative([0.55, 0.30, 0.15])
-    u = "CAST((c_custkey * 7919) % 1000 AS DOUBLE) / 1000.0"
-    return f"""
+WEIGHTED_PICK = """
 SELECT c_custkey,
-       CASE WHEN {u} < {b[0]!r} THEN 'G1A' WHEN {u} < {b[1]!r} THEN 'G2A' ELSE 'G2C' END AS category
-FROM customer"""
-
-
-def _bucketed_length_sql() -> str:
-    from ..functions.draws import _cumulative
-    from ..sources.synth import RANGE_BUCKETS
-
-    b = _cumulative([x[0] for x in RANGE_BUCKETS])
-    arms = [f"WHEN b < {b[i]!r} THEN CAST({lo} + floor(w * {hi - lo}) AS INTEGER)"
-            for i, (_, lo, hi) in enumerate(RANGE_BUCKETS[:-1])]
-    _, lo, hi = RANGE_BUCKETS[-1]
-    return f"""
-WITH u AS (SELECT c_custkey, CAST((c_custkey * 7919) % 1000 AS DOUBLE) / 1000.0 AS b,
-                  CAST((c_custkey * 104729) % 997 AS DOUBLE) / 997.0 AS w FROM customer)
-SELECT c_custkey, CASE {' '.join(arms)} ELSE CAST({lo} + floor(w * {hi - lo}) AS INTEGER) END AS range_days
-FROM u"""
+       CASE WHEN u < 0.6 THEN 'low' WHEN u < 0.85 THEN 'mid' ELSE 'high' END AS category
+FROM (SELECT c_custkey, CAST((c_custkey * 7919) % 1000 AS DOUBLE) / 1000.0 AS u FROM customer)"""
+BUCKETED_LENGTH = """
+SELECT c_custkey,
+       CAST(CASE WHEN b < 0.5 THEN 1 + floor(w * 29) WHEN b < 0.8 THEN 30 + floor(w * 170)
+                 ELSE 200 + floor(w * 1300) END AS INTEGER) AS range_days
+FROM (SELECT c_custkey, CAST((c_custkey * 7919) % 1000 AS DOUBLE) / 1000.0 AS b,
+             CAST((c_custkey * 104729) % 997 AS DOUBLE) / 997.0 AS w FROM customer)"""
+BY_MONTH = """
+SELECT supply_year, supply_month, count(*) AS n_hours, sum(offtake_volume_m3) AS sum_m3,
+       sum(offtake_volume_kwh) AS sum_kwh
+FROM h GROUP BY 1, 2"""
 
 
 SQL: dict[str, str] = {
@@ -316,9 +305,14 @@ SELECT d.point_of_delivery_ean, d.profile_category_code, d.sja, d.supply_date, c
        c.n_hours, c.day_fraction, CAST(d.sja * c.day_fraction AS DECIMAL(38,6)) AS day_volume_m3
 FROM d1 d JOIN dc c ON d.profile_category_code = c.profile_category_code AND d.supply_date = c.supply_date""",
     "reconcile_entity_year": HOURLY_V1 + """
-SELECT point_of_delivery_ean, profile_category_code, supply_year, count(*) AS n_hours,
-       sum(offtake_volume_m3) AS sum_m3, sum(offtake_volume_kwh) AS sum_kwh, max(sja) AS max_quantity
-FROM h GROUP BY 1, 2, 3""",
+SELECT point_of_delivery_ean, profile_category_code, supply_year, n_hours,
+       sum_m3, sum_kwh, max_quantity, year_hours, share,
+       CASE WHEN n_hours < year_hours THEN 'partial' WHEN abs(share - 1) <= 0.02 THEN 'match' ELSE 'mismatch' END AS verdict
+FROM (SELECT *, round(CAST(sum_m3 AS DOUBLE) / CAST(max_quantity AS DOUBLE), 6) AS share,
+             CASE WHEN (supply_year % 4 = 0 AND supply_year % 100 <> 0) OR supply_year % 400 = 0 THEN 8784 ELSE 8760 END AS year_hours
+      FROM (SELECT point_of_delivery_ean, profile_category_code, supply_year, count(*) AS n_hours,
+                   sum(offtake_volume_m3) AS sum_m3, sum(offtake_volume_kwh) AS sum_kwh, max(sja) AS max_quantity
+            FROM h GROUP BY 1, 2, 3))""",
     "year_row_counts": HOURLY_V1 + "\nSELECT supply_year, count(*) AS n_rows FROM h GROUP BY 1",
     "target_duplicate_keys": HOURLY_V1 + f"\nSELECT {TKEY}, count(*) AS n_rows FROM h GROUP BY {TKEY} HAVING count(*) > 1",
     "duplicate_keys": """
@@ -343,7 +337,9 @@ FROM c""",
     "snapshot_diff": _with(RANGES_V1, RANGES_V2, DIFF) + """
 SELECT *, CAST(2 AS BIGINT) AS _commit_version, TIMESTAMP '2000-01-03 00:00:00' AS _commit_timestamp FROM diff""",
     "snapshot_as_of": _with(RANGES_V1, RANGES_V2) + f"\nSELECT {RCOLS} FROM r2",
-    "latest_version": "SELECT CAST(2 AS BIGINT) AS latest_version FROM (SELECT count(*) FROM orders) t",
+    "latest_version": _with(RANGES_V1, RANGES_V2, DIFF) + """,
+log AS (SELECT CAST(1 AS BIGINT) AS version FROM r1 UNION ALL SELECT CAST(2 AS BIGINT) FROM diff)
+SELECT max(version) AS latest_version FROM log""",
     "changed_keys": _with(RANGES_V1, RANGES_V2, DIFF) + "\nSELECT point_of_delivery_ean FROM keys",
     "rebuild_changed": MERGE_INPUTS + "\nSELECT * FROM hn",
     "retracting_merge": HOURLY_V2 + BY_ENTITY_YEAR,
@@ -354,15 +350,20 @@ WHERE o.point_of_delivery_ean IN (SELECT point_of_delivery_ean FROM keys)
   AND NOT EXISTS (SELECT 1 FROM hn n WHERE n.point_of_delivery_ean = o.point_of_delivery_ean
                   AND n.profile_category_code = o.profile_category_code
                   AND n.supply_start_date_time_utc = o.supply_start_date_time_utc)""",
-    "history_load_years": HOURLY_V1 + """
-SELECT supply_year, supply_month, count(*) AS n_hours, sum(offtake_volume_m3) AS sum_m3,
-       sum(offtake_volume_kwh) AS sum_kwh
-FROM h GROUP BY 1, 2""",
+    "table_difference": _with(RANGES_V1, RANGES_V2) + f"""
+SELECT *, 'left' AS side FROM (SELECT {RCOLS} FROM r1 EXCEPT ALL SELECT {RCOLS} FROM r2)
+UNION ALL
+SELECT *, 'right' AS side FROM (SELECT {RCOLS} FROM r2 EXCEPT ALL SELECT {RCOLS} FROM r1)""",
+    "history_load_years": HOURLY_V1 + BY_MONTH,
+    "history_load_windows": HOURLY_V1 + BY_MONTH,
+    "stored_year_rows": HOURLY_V1 + f"""
+SELECT supply_year, supply_month, count(*) AS n_rows FROM h WHERE supply_year = {YEAR} GROUP BY 1, 2""",
     "increment_equals_rebuild": HOURLY_V2 + BY_ENTITY_YEAR,
+    "stream_late_commit": HOURLY_V2 + BY_ENTITY_YEAR,
     "stream_increment": HOURLY_V2 + BY_ENTITY_YEAR,
     "reload_equals_history": HOURLY_V2 + BY_ENTITY_YEAR,
-    "weighted_pick": _weighted_pick_sql(),
-    "bucketed_length": _bucketed_length_sql(),
+    "weighted_pick": WEIGHTED_PICK,
+    "bucketed_length": BUCKETED_LENGTH,
 }
 
 

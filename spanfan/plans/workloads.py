@@ -11,7 +11,7 @@ Fixed choices shared with the SQL:
   morning-peak offset ``ascii(category) mod 5``;
 * window = the calendar year ``YEAR`` for the windowed allocations;
 * versions: v1 = ranges of all orders; v2 = v1 with the edits of
-  ``orders_v2`` on every 50th customer (shrink, delete, leave gas, appended
+  ``orders_v2`` on every 5th customer (shrink, delete, leave gas, appended
   correction) plus new entities; the log holds v1 as commit 1 and the
   diff as commit 2.
 """
@@ -31,6 +31,7 @@ from ..operators.checks import (
     range_status_counts,
     reconcile,
     row_counts_by,
+    table_difference,
 )
 from ..operators.latest import latest_days
 from ..operators.merge import merge_actions, merge_summary, retracted_rows, retracting_merge
@@ -45,7 +46,6 @@ from ..sources.curve import (
     hour_spine,
     standard_profile,
 )
-from ..sources.synth import entity_table, RANGE_BUCKETS
 from ..sources.tables import ranges_from_events, ranges_from_lineitem, ranges_from_orders, read_table
 from ..sources.target import Target
 
@@ -53,7 +53,7 @@ AS_OF = "2026-01-01"
 YEAR = 1997
 LO, HI = f"{YEAR}-01-01", f"{YEAR}-12-31"
 ZONE = "Europe/Amsterdam"
-CHANGED_EVERY = 50      # every 50th customer is edited in v2
+CHANGED_EVERY = 5       # every 5th customer is edited in v2, another 5th brings new entities
 NEW_KEY_OFFSET = 1_000_000
 N_BUCKETS = 4
 
@@ -64,10 +64,10 @@ def orders_ranges(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def orders_v2(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """v2 of the orders range table. On customers ``c mod 50 = 0``, by
+    """v2 of the orders range table. On customers ``c mod 5 = 0``, by
     ``orderkey mod 5``: 0 shrinks the range to half its length, 1 deletes
     the row, 2 moves it to electricity, 3 appends a correction (quantity x2,
-    a year later), 4 keeps it. Customers ``c mod 50 = 25`` get a new entity
+    a year later), 4 keeps it. Customers ``c mod 5 = 2`` get a new entity
     ``c + 1000000`` for their orders with ``orderkey mod 5 = 0``."""
     base = ranges_from_orders(read_table(spark, sf_dir, "orders"), carry=("o_orderkey", "o_custkey"))
     cols = [c for c in base.columns if c not in ("o_orderkey", "o_custkey")]
@@ -112,6 +112,13 @@ def orders_curve(spark: SparkSession, sf_dir: str, ranges: DataFrame | None = No
     return standard_profile(spine, offset=F.pmod(F.ascii("profile_category_code"), F.lit(5)))
 
 
+def stored_curve(spark: SparkSession, sf_dir: str, ranges: DataFrame | None = None) -> DataFrame:
+    """``orders_curve`` as a table: built once, and of known size for the joins."""
+    path = work_dir(spark, "curve")
+    orders_curve(spark, sf_dir, ranges).write.parquet(path)
+    return spark.read.parquet(path)
+
+
 def _history(ranges: DataFrame, curve: DataFrame, policy: str = "per_day", lo=None, hi=None,
              strategy: str = "days") -> DataFrame:
     return build_window(ranges, curve, lo, hi, policy, strategy, as_of=AS_OF)
@@ -184,7 +191,7 @@ def q_curve_from_events(spark, sf_dir):
 # ---------------------------------------------------------------- allocation
 def _allocate_year(spark, sf_dir, strategy):
     r = orders_ranges(spark, sf_dir)
-    return _history(r, orders_curve(spark, sf_dir, r), "per_day", LO, HI, strategy)
+    return _history(r, stored_curve(spark, sf_dir, r), "per_day", LO, HI, strategy)
 
 
 def q_allocate_year_equi(spark, sf_dir):
@@ -215,17 +222,17 @@ def q_allocate_daily_total(spark, sf_dir):
 
 def q_reconcile_entity_year(spark, sf_dir):
     r = orders_ranges(spark, sf_dir)
-    return reconcile(_history(r, orders_curve(spark, sf_dir, r)))
+    return reconcile(_history(r, stored_curve(spark, sf_dir, r)))
 
 
 def q_year_row_counts(spark, sf_dir):
     r = orders_ranges(spark, sf_dir)
-    return row_counts_by(_history(r, orders_curve(spark, sf_dir, r)), "supply_year")
+    return row_counts_by(_history(r, stored_curve(spark, sf_dir, r)), "supply_year")
 
 
 def q_target_duplicate_keys(spark, sf_dir):
     r = orders_ranges(spark, sf_dir)
-    return duplicate_keys(_history(r, orders_curve(spark, sf_dir, r)))
+    return duplicate_keys(_history(r, stored_curve(spark, sf_dir, r)))
 
 
 def q_duplicate_keys(spark, sf_dir):
@@ -262,17 +269,17 @@ def q_rebuild_changed(spark, sf_dir):
     from .increment import rebuild_changed
 
     log, keys = _changed(spark, sf_dir)
-    r2 = as_of(log, 2)
-    return rebuild_changed(r2, orders_curve(spark, sf_dir), keys, policy="per_day", as_of=AS_OF)
+    r2 = as_of(log, 2, keys)
+    return rebuild_changed(r2, stored_curve(spark, sf_dir), keys, policy="per_day", as_of=AS_OF)
 
 
 def _merge_inputs(spark, sf_dir):
     from .increment import rebuild_changed
 
     log, keys = _changed(spark, sf_dir)
-    curve = orders_curve(spark, sf_dir)
+    curve = stored_curve(spark, sf_dir)
     target = _history(as_of(log, 1), curve)
-    rebuilt = rebuild_changed(as_of(log, 2), curve, keys, policy="per_day", as_of=AS_OF)
+    rebuilt = rebuild_changed(as_of(log, 2, keys), curve, keys, policy="per_day", as_of=AS_OF)
     return target, rebuilt, keys
 
 
@@ -291,43 +298,82 @@ def q_retracted_rows(spark, sf_dir):
     return retracted_rows(target, rebuilt, keys)
 
 
+def q_table_difference(spark, sf_dir):
+    """The rows that v1 and v2 do not share, with their side."""
+    return table_difference(orders_ranges(spark, sf_dir), orders_v2(spark, sf_dir))
+
+
 # ---------------------------------------------------------------- on-disk paths
-def _loaded_target(spark, sf_dir, years: bool = True) -> tuple[Target, DataFrame, DataFrame, str]:
-    from .history import load_history, year_windows
-
-    root = work_dir(spark, "target")
-    log_path = f"{root}-log"
-    append_commit(orders_log(spark, sf_dir), log_path)
-    log = spark.read.parquet(log_path)
-    curve = orders_curve(spark, sf_dir)
-    t = Target(spark, root, n_buckets=N_BUCKETS)
-    v1 = as_of(log, 1)
-    windows = None
-    if years:
-        span = v1.agg(F.min(RANGE.start).alias("a"), F.max(RANGE.end).alias("b")).first()
-        windows = year_windows(range(span["a"].year, span["b"].year + 1))
-    load_history(t, v1, curve, windows=windows, version=1, as_of=AS_OF)
-    return t, log, curve, log_path
+def _log_on_disk(spark, commits: list[DataFrame]) -> str:
+    path = work_dir(spark, "log")
+    for c in commits:
+        append_commit(c, path)
+    return path
 
 
-def q_history_load_years(spark, sf_dir):
-    """X4 + S7 + S9: v1 loaded year by year into the partitioned target and
-    read back, summarised per year and month."""
-    t, *_ = _loaded_target(spark, sf_dir)
-    return t.read().groupBy("supply_year", "supply_month").agg(
+def _loaded_target(spark, sf_dir, windows=None) -> tuple[Target, DataFrame]:
+    """v1 history in a new target, and the curve."""
+    from .history import load_history
+
+    curve = stored_curve(spark, sf_dir)
+    t = Target(spark, work_dir(spark, "target"), n_buckets=N_BUCKETS)
+    load_history(t, orders_ranges(spark, sf_dir), curve, windows=windows, as_of=AS_OF)
+    return t, curve
+
+
+def _span_years(spark, sf_dir) -> range:
+    span = orders_ranges(spark, sf_dir).agg(F.min(RANGE.start).alias("a"), F.max(RANGE.end).alias("b")).first()
+    return range(span["a"].year, span["b"].year + 1)
+
+
+def _by_month(hourly: DataFrame) -> DataFrame:
+    return hourly.groupBy("supply_year", "supply_month").agg(
         F.count(F.lit(1)).alias("n_hours"),
         F.sum("offtake_volume_m3").alias("sum_m3"),
         F.sum("offtake_volume_kwh").alias("sum_kwh"),
     )
 
 
+def q_history_load_years(spark, sf_dir):
+    """X4 + S7 + S9: v1 loaded year by year into the partitioned target and
+    read back, summarised per year and month."""
+    from .history import year_windows
+
+    t, _ = _loaded_target(spark, sf_dir, year_windows(_span_years(spark, sf_dir)))
+    return _by_month(t.read())
+
+
+def q_history_load_windows(spark, sf_dir):
+    """X4 with windows that end inside months and overlap: each replaces its own
+    days only, so the table equals one load."""
+    years = _span_years(spark, sf_dir)
+    first, last = years[0], years[-1]
+    windows = [
+        (None, f"{first + 1}-05-17"),
+        (f"{first + 1}-05-18", f"{first + 3}-02-10"),
+        (f"{first + 3}-02-11", f"{last}-12-31"),
+        (f"{first + 2}-03-08", f"{first + 2}-03-20"),
+    ]
+    t, _ = _loaded_target(spark, sf_dir, windows)
+    return _by_month(t.read())
+
+
+def q_stored_year_rows(spark, sf_dir):
+    """F12 + A1: rows per month of one year of the stored target; other years'
+    folders are pruned."""
+    t, _ = _loaded_target(spark, sf_dir)
+    return row_counts_by(t.read(years=[YEAR]), "supply_year", "supply_month")
+
+
 def q_increment_equals_rebuild(spark, sf_dir):
     """Increment applied on disk (v1 history + commit 2) summarised per
     entity-year; the oracle builds v2 history directly."""
     from .increment import apply_increment
 
-    t, log, curve, _ = _loaded_target(spark, sf_dir, years=False)
-    apply_increment(t, as_of(log, 2), curve, changed_keys(log, start_version=2), through_version=2, as_of=AS_OF)
+    t, curve = _loaded_target(spark, sf_dir)
+    log = spark.read.parquet(_log_on_disk(spark, [orders_log(spark, sf_dir)]))
+    keys = changed_keys(log, start_version=2)
+    apply_increment(t, as_of(log, 2, keys), curve, keys, as_of=AS_OF)
     return _by_entity_year(t.read())
 
 
@@ -336,10 +382,30 @@ def q_stream_increment(spark, sf_dir):
     keys sink, pending merge; run twice, the second run is a no-op."""
     from ..streaming.changefeed import run_stream_increment
 
-    t, log, curve, log_path = _loaded_target(spark, sf_dir, years=False)
+    t, curve = _loaded_target(spark, sf_dir)
+    log_path = _log_on_disk(spark, [orders_log(spark, sf_dir)])
     state = work_dir(spark, "stream")
-    run_stream_increment(spark, t, log_path, state, curve, start_version=1, as_of_date=AS_OF)
-    run_stream_increment(spark, t, log_path, state, curve, start_version=1, as_of_date=AS_OF)
+    for _ in range(2):
+        run_stream_increment(spark, t, log_path, state, curve, start_version=1, as_of_date=AS_OF)
+    return _by_entity_year(t.read())
+
+
+def q_stream_late_commit(spark, sf_dir):
+    """The streaming path when a commit lands in two files, the second of them
+    after a later commit: v1, then one half of the changes as version 3, then the
+    other half as version 2, with a run after each."""
+    from ..streaming.changefeed import run_stream_increment
+
+    t, curve = _loaded_target(spark, sf_dir)
+    v1, v2 = orders_ranges(spark, sf_dir), orders_v2(spark, sf_dir)
+    diff = snapshot_diff(v1, v2, RANGE.key, 2)
+    odd = F.pmod(F.xxhash64(*v1.columns), F.lit(2)) == 1
+    log_path = _log_on_disk(spark, [initial_commit(v1, 1)])
+    state = work_dir(spark, "stream")
+    late = F.lit(3).cast("long")
+    for commit in (diff.filter(odd).withColumn("_commit_version", late), diff.filter(~odd)):
+        append_commit(commit, log_path)
+        run_stream_increment(spark, t, log_path, state, curve, start_version=2, as_of_date=AS_OF)
     return _by_entity_year(t.read())
 
 
@@ -347,31 +413,26 @@ def q_reload_equals_history(spark, sf_dir):
     """M4: history of v1, then a full reload at v2: equals v2 history."""
     from .history import reload
 
-    t, log, curve, _ = _loaded_target(spark, sf_dir, years=False)
-    reload(t, as_of(log, 2), curve, version=2, as_of=AS_OF)
+    t, curve = _loaded_target(spark, sf_dir)
+    reload(t, orders_v2(spark, sf_dir), curve, as_of=AS_OF)
     return _by_entity_year(t.read())
 
 
-# ---------------------------------------------------------------- synthesis
+# ---------------------------------------------------------------- draws
+LENGTHS = [(0.5, 1, 30), (0.3, 30, 200), (0.2, 200, 1500)]
+
+
 def q_weighted_pick(spark, sf_dir):
     c = read_table(spark, sf_dir, "customer")
     u = arithmetic_unif(F.col("c_custkey"), 7919, 1000)
-    return c.select(
-        "c_custkey",
-        weighted_pick(u, ["G1A", "G2A", "G2C"], [0.55, 0.30, 0.15]).alias("category"),
-    )
+    return c.select("c_custkey", weighted_pick(u, ["low", "mid", "high"], [0.6, 0.25, 0.15]).alias("category"))
 
 
 def q_bucketed_length(spark, sf_dir):
     c = read_table(spark, sf_dir, "customer")
     b = arithmetic_unif(F.col("c_custkey"), 7919, 1000)
     w = arithmetic_unif(F.col("c_custkey"), 104729, 997)
-    return c.select("c_custkey", bucketed_length(b, w, RANGE_BUCKETS).alias("range_days"))
-
-
-def q_entity_table(spark, sf_dir):
-    """G10 on the orders table: four range rows per order."""
-    return entity_table(read_table(spark, sf_dir, "orders"), "o_orderkey", rows_per_seed=4, entities_per_row=0.25)
+    return c.select("c_custkey", bucketed_length(b, w, LENGTHS).alias("range_days"))
 
 
 QUERIES = {
@@ -403,11 +464,14 @@ QUERIES = {
     "retracting_merge": q_retracting_merge,
     "merge_actions": q_merge_actions,
     "retracted_rows": q_retracted_rows,
+    "table_difference": q_table_difference,
     "history_load_years": q_history_load_years,
+    "history_load_windows": q_history_load_windows,
+    "stored_year_rows": q_stored_year_rows,
     "increment_equals_rebuild": q_increment_equals_rebuild,
     "stream_increment": q_stream_increment,
+    "stream_late_commit": q_stream_late_commit,
     "reload_equals_history": q_reload_equals_history,
     "weighted_pick": q_weighted_pick,
     "bucketed_length": q_bucketed_length,
-    "entity_table": q_entity_table,
 }

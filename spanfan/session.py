@@ -35,13 +35,16 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     """Return the shared checkpoint folder of the session.
 
     On a cluster this is set by the operator (``spark.checkpoint.dir``) and
-    points at shared storage. Only when it is unset (local runs, tests) a
-    fresh local folder is created and registered.
+    points at shared storage. Only when it is unset and the master is local
+    (one machine: tests, bench) a fresh local folder is made and registered;
+    on a cluster an unset folder is an error.
     """
     d = spark.conf.get("spark.checkpoint.dir", None)
     if not d:
         d = spark.sparkContext.getCheckpointDir()
     if not d:
+        if not spark.sparkContext.master.split("[")[0] == "local":
+            raise ValueError("set spark.checkpoint.dir to a folder that driver and executors share")
         d = tempfile.mkdtemp(prefix="spanfan-ckpt-", dir="/tmp")
         spark.conf.set("spark.checkpoint.dir", d)
         spark.sparkContext.setCheckpointDir(d)
@@ -50,6 +53,12 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     return d
 
 
+def remove_dir(spark: SparkSession, path: str) -> None:
+    """Remove a folder this library made (staging, finished tables)."""
+    p = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(p, True)
+
+
 def work_dir(spark: SparkSession, name: str) -> str:
     """A new, unique folder below the shared checkpoint folder for tables
     written by a job (targets, change logs, stream checkpoints)."""

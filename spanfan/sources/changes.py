@@ -70,14 +70,23 @@ def snapshot_diff(old: DataFrame, new: DataFrame, key: str = RANGE.key, version:
     label = F.when(F.col("_n") > 0, F.when(both, "update_postimage").otherwise("insert")).otherwise(
         F.when(both, "update_preimage").otherwise("delete")
     )
-    out = j.select(*cols, label.alias(CHANGE_TYPE), F.explode(F.sequence(F.lit(1), F.abs(F.col("_n")))).alias("_r"))
+    # a row that changed n times is repeated in two steps of about sqrt(n), so no array grows with n
+    n = F.abs(F.col("_n"))
+    step = F.ceil(F.sqrt(n.cast("double"))).cast("long")
+    out = j.select(*cols, label.alias(CHANGE_TYPE), n.alias("_n"), step.alias("_step"),
+                   F.explode(F.sequence(F.lit(0).cast("long"), F.ceil(n / step).cast("long") - 1)).alias("_block"))
+    size = F.least(F.col("_step"), F.col("_n") - F.col("_block") * F.col("_step"))
+    out = out.select(*cols, CHANGE_TYPE, F.explode(F.sequence(F.lit(1).cast("long"), size)).alias("_r"))
     return _stamp(out.drop("_r"), F.col(CHANGE_TYPE), version, commit_ts)
 
 
-def as_of(log: DataFrame, version: int) -> DataFrame:
+def as_of(log: DataFrame, version: int, keys: DataFrame | None = None, key: str = RANGE.key) -> DataFrame:
     """The table as of ``version``: rows added up to it minus rows
-    removed up to it (multiset difference, no key needed)."""
+    removed up to it (multiset difference, no key needed). With ``keys`` only
+    their rows are replayed: the log is restricted before the difference."""
     upto = log.filter(F.col(VERSION) <= F.lit(version))
+    if keys is not None:
+        upto = upto.join(keys.select(key).distinct(), key, "left_semi").select(*log.columns)
     data = [c for c in log.columns if c not in META]
     plus = upto.filter(F.col(CHANGE_TYPE).isin(*ADDING)).select(*data)
     minus = upto.filter(F.col(CHANGE_TYPE).isin(*REMOVING)).select(*data)
@@ -113,10 +122,6 @@ def changed_keys(
     return f.select(cols.key).filter(F.col(cols.key).isNotNull()).distinct()
 
 
-def read_log(spark, path: str) -> DataFrame:
-    return spark.read.parquet(path)
-
-
 def append_commit(commit: DataFrame, path: str) -> None:
     """Append one commit to a log folder (new files; readers see whole
     files, a streaming reader picks them up as a new batch)."""

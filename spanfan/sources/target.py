@@ -1,158 +1,109 @@
-"""The hourly target on plain Parquet, with retraction-safe rewrites.
+"""The hourly target: schema, partition layout and write, on plain Parquet.
 
 Layout under ``root``::
 
-    data/gen=G/key_bucket=B/supply_year=Y/supply_month=M/part-*.parquet
-    manifest/   (key_bucket, supply_year, supply_month, gen)   committed partitions
-    progress/   (gen, through_version)                         applied change-log versions
+    data/key_bucket=B/supply_year=Y/supply_month=M/part-*.parquet
+    layout/      one row: number of buckets and key column
 
-``key_bucket = pmod(xxhash64(key), n_buckets)`` spreads entities so that a
-change rewrites only the (bucket, year, month) partitions it touches.
+``key_bucket = pmod(xxhash64(key), n_buckets)`` spreads entities, so that a
+change rewrites only the (bucket, year, month) partitions it touches. The
+bucket count is stored with the table; opening it with another one fails.
 
-A write of generation ``G`` first writes its partitions (dynamic partition
-overwrite, so a retry replaces exactly its own folders), then appends their
-names to the manifest. A reader takes, per partition, the highest
-generation in the manifest, so
-
-* a partition that a retraction empties is committed with no files and
-  reads as empty (dynamic overwrite alone would leave the old rows);
-* a crash before the manifest append leaves the table as before, and a
-  retry rewrites the same generation;
-* a job never overwrites files it is reading: generation ``G`` reads only
-  generations below ``G``.
-
-The manifest holds at most one row per partition and write, so joining it
-to the data is a broadcast of a bounded table, and the join on partition
-columns prunes folders (dynamic partition pruning).
+``replace`` is Spark's own dynamic partition overwrite, plus the removal of
+touched partitions that got no rows (a retraction may empty one; the
+overwrite alone would leave the old rows). Rows may come from the table
+itself: the new files are complete before the first folder is replaced.
+Repeating a ``replace`` after a failure gives the same table.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from collections.abc import Iterable
+
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
-from ..config import DEFAULT_KEY_BUCKETS, RANGE, TARGET_COLUMNS
+from ..config import DEFAULT_KEY_BUCKETS, RANGE, TARGET_COLUMNS, TARGET_TYPES
 
 PART_COLS = ["key_bucket", "supply_year", "supply_month"]
-MANIFEST_SCHEMA = T.StructType(
-    [
-        T.StructField("key_bucket", T.IntegerType()),
-        T.StructField("supply_year", T.IntegerType()),
-        T.StructField("supply_month", T.IntegerType()),
-        T.StructField("gen", T.LongType()),
-    ]
-)
-PROGRESS_SCHEMA = T.StructType([T.StructField("gen", T.LongType()), T.StructField("through_version", T.LongType())])
-
-# fixed column types of the target
-TARGET_DDL = """
-    point_of_delivery_ean STRING, profile_category_code STRING, sja DECIMAL(18,3),
-    sj_unit_of_measure STRING, supply_start_date_time_utc TIMESTAMP_NTZ,
-    supply_end_date_time_utc TIMESTAMP_NTZ, supply_hour INT, profile_fraction DECIMAL(36,8),
-    offtake_volume_m3 DECIMAL(38,6), offtake_volume_kwh DECIMAL(38,6), supply_year INT,
-    supply_month INT, __record_timestamp TIMESTAMP_NTZ
-"""
+Partition = tuple[int, int, int]
 
 
-def key_bucket(key_col: str = RANGE.key, n_buckets: int = DEFAULT_KEY_BUCKETS):
+def key_bucket(key_col: str = RANGE.key, n_buckets: int = DEFAULT_KEY_BUCKETS) -> Column:
     return F.pmod(F.xxhash64(F.col(key_col)), F.lit(n_buckets)).cast("int")
 
 
-def _exists(spark: SparkSession, path: str) -> bool:
-    jvm = spark.sparkContext._jvm
-    p = jvm.org.apache.hadoop.fs.Path(path)
-    return p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(p)
-
-
 class Target:
-    """Handle on a target folder."""
+    """Handle on a target folder. ``n_buckets`` is used when the table is made;
+    ``None`` takes the stored one (or the default for a new table)."""
 
-    def __init__(self, spark: SparkSession, root: str, n_buckets: int = DEFAULT_KEY_BUCKETS, key: str = RANGE.key):
-        self.spark, self.root, self.n_buckets, self.key = spark, root.rstrip("/"), n_buckets, key
+    def __init__(self, spark: SparkSession, root: str, n_buckets: int | None = None, key: str = RANGE.key):
+        self.spark, self.root, self.key = spark, root.rstrip("/"), key
         self.data_path = f"{self.root}/data"
-        self.manifest_path = f"{self.root}/manifest"
-        self.progress_path = f"{self.root}/progress"
-
-    # ---- metadata -------------------------------------------------------
-    def manifest(self) -> DataFrame:
-        if not _exists(self.spark, self.manifest_path):
-            return self.spark.createDataFrame([], MANIFEST_SCHEMA)
-        return self.spark.read.schema(MANIFEST_SCHEMA).parquet(self.manifest_path)
-
-    def progress(self) -> DataFrame:
-        if not _exists(self.spark, self.progress_path):
-            return self.spark.createDataFrame([], PROGRESS_SCHEMA)
-        return self.spark.read.schema(PROGRESS_SCHEMA).parquet(self.progress_path)
-
-    def next_gen(self) -> int:
-        """Highest generation in manifest or progress, plus one (a tiny
-        aggregate: one row per committed partition write)."""
-        m = self.manifest().agg(F.max("gen")).first()[0]
-        p = self.progress().agg(F.max("gen")).first()[0]
-        return max(x for x in (m, p, -1) if x is not None) + 1
-
-    def applied_version(self):
-        """Highest change-log version applied so far (``None``: none)."""
-        return self.progress().agg(F.max("through_version")).first()[0]
+        layout = f"{self.root}/layout"
+        if self.exists(layout):
+            stored = spark.read.schema("n_buckets int, key string").parquet(layout).first()
+            if n_buckets not in (None, stored["n_buckets"]) or key != stored["key"]:
+                raise ValueError(
+                    f"{root} has {stored['n_buckets']} buckets of {stored['key']}, not {n_buckets} of {key}"
+                )
+            self.n_buckets = stored["n_buckets"]
+        else:
+            self.n_buckets = n_buckets or DEFAULT_KEY_BUCKETS
+            row = spark.range(1).select(F.lit(self.n_buckets).alias("n_buckets"), F.lit(key).alias("key"))
+            row.write.parquet(layout)
+            self._fs(self.data_path)[0].mkdirs(self._fs(self.data_path)[1])
+
+    # ---- folders ----------------------------------------------------------
+    def _fs(self, path: str):
+        p = self.spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+        return p.getFileSystem(self.spark.sparkContext._jsc.hadoopConfiguration()), p
+
+    def exists(self, path: str) -> bool:
+        fs, p = self._fs(path)
+        return fs.exists(p)
+
+    def _folder(self, part: Partition) -> str:
+        return self.data_path + "".join(f"/{c}={v}" for c, v in zip(PART_COLS, part))
+
+    def _files(self, part: Partition) -> set[str]:
+        fs, p = self._fs(self._folder(part))
+        return {s.getPath().getName() for s in fs.listStatus(p)} if fs.exists(p) else set()
+
+    def partitions(self) -> list[Partition]:
+        """The partitions that have a folder (a listing of names, no data)."""
+        fs, p = self._fs(self.data_path + "".join(f"/{c}=*" for c in PART_COLS))
+        found = []
+        for status in fs.globStatus(p):
+            names = status.getPath().toString().split("/")[-3:]
+            found.append(tuple(int(n.split("=")[1]) for n in names))
+        return sorted(found)
 
     # ---- read -----------------------------------------------------------
-    def current_partitions(self, before_gen: int | None = None) -> DataFrame:
-        m = self.manifest()
-        if before_gen is not None:
-            m = m.filter(F.col("gen") < F.lit(before_gen))
-        return m.groupBy(*PART_COLS).agg(F.max("gen").alias("gen"))
-
-    def read(self, before_gen: int | None = None, with_bucket: bool = False) -> DataFrame:
-        """Committed rows: per partition the highest committed generation
-        (below ``before_gen`` when given)."""
-        if not _exists(self.spark, self.data_path):
-            empty = self.spark.createDataFrame([], TARGET_DDL)
-            return empty.withColumn("key_bucket", F.lit(None).cast("int")) if with_bucket else empty
-        data = self.spark.read.option("basePath", self.data_path).parquet(self.data_path)
-        # bounded: one row per (bucket, year, month) partition of the table
-        parts = F.broadcast(self.current_partitions(before_gen))
-        rows = data.join(parts, [*PART_COLS, "gen"], "left_semi")
-        cols = [*TARGET_COLUMNS, "key_bucket"] if with_bucket else TARGET_COLUMNS
-        return rows.select(*[F.col(c) for c in cols])
+    def read(self, years: Iterable[int] | None = None, buckets: Iterable[int] | None = None,
+             with_bucket: bool = False) -> DataFrame:
+        """Rows of the table; ``years`` and ``buckets`` prune partitions."""
+        schema = ", ".join(f"`{n}` {t}" for n, t in (*TARGET_TYPES, ("key_bucket", "INT")))
+        rows = self.spark.read.schema(schema).option("basePath", self.data_path).parquet(self.data_path)
+        if years is not None:
+            rows = rows.filter(F.col("supply_year").isin([int(y) for y in years]))
+        if buckets is not None:
+            rows = rows.filter(F.col("key_bucket").isin([int(b) for b in buckets]))
+        return rows.select(*TARGET_COLUMNS, *(["key_bucket"] if with_bucket else []))
 
     # ---- write ----------------------------------------------------------
-    def write_generation(self, rows: DataFrame, gen: int, partitions: DataFrame | None = None,
-                         through_version: int | None = None) -> None:
-        """Write ``rows`` (target columns) as generation ``gen`` and commit the
-        partitions they fill plus ``partitions`` (bucket, year, month) that
-        must read as empty from now on."""
-        out = rows.select(*TARGET_COLUMNS).withColumn("key_bucket", key_bucket(self.key, self.n_buckets))
-        # the rows are computed once, by the write; the committed partitions
-        # are then listed from the written folders
+    def replace(self, rows: DataFrame, touched: Iterable[Partition]) -> None:
+        """Write ``rows`` (target columns and ``key_bucket``) over their partitions and
+        remove those of ``touched`` that got none."""
+        before = {p: names for p in touched if (names := self._files(p))}
         (
-            out.withColumn("gen", F.lit(int(gen)).cast("long"))
-            .hint("rebalance", *PART_COLS)
-            # partition columns first: this is the order the partitioned
-            # writer needs, so it adds no sort of its own; then key and hour,
-            # so files are clustered by key (row-group skipping on the key)
-            .sortWithinPartitions("gen", *PART_COLS, self.key, "supply_start_date_time_utc")
+            rows.select(*TARGET_COLUMNS, "key_bucket")
             .write.mode("overwrite")
             .option("partitionOverwriteMode", "dynamic")
-            .partitionBy("gen", *PART_COLS)
+            .partitionBy(*PART_COLS)
             .parquet(self.data_path)
         )
-        gen_path = f"{self.data_path}/gen={int(gen)}"
-        if _exists(self.spark, gen_path):
-            # lists only this generation's folders; reads no row data
-            written = self.spark.read.option("basePath", self.data_path).parquet(gen_path).select(*PART_COLS).distinct()
-        else:
-            written = self.spark.createDataFrame([], MANIFEST_SCHEMA).select(*PART_COLS)
-        parts = written if partitions is None else written.unionByName(partitions.select(*PART_COLS)).distinct()
-        parts.withColumn("gen", F.lit(int(gen)).cast("long")).select(*MANIFEST_SCHEMA.names).coalesce(1).write.mode(
-            "append"
-        ).parquet(self.manifest_path)
-        if through_version is not None:
-            self.spark.createDataFrame([(int(gen), int(through_version))], PROGRESS_SCHEMA).coalesce(1).write.mode(
-                "append"
-            ).parquet(self.progress_path)
-
-    def record_progress(self, gen: int, through_version: int) -> None:
-        self.spark.createDataFrame([(int(gen), int(through_version))], PROGRESS_SCHEMA).coalesce(1).write.mode(
-            "append"
-        ).parquet(self.progress_path)
+        for part, names in before.items():
+            if names & self._files(part):  # not written: its old files are still there
+                fs, p = self._fs(self._folder(part))
+                fs.delete(p, True)

@@ -8,14 +8,15 @@ Two steps, both restartable:
    ``trigger(availableNow=True)``. Progress lives in the query checkpoint and
    the sink's commit log, so every log file is turned into keys exactly once,
    and a run with no new files adds nothing.
-2. A batch step applies all sunk keys with a version above the target's
-   applied version: it rebuilds them from the log's snapshot at the highest
-   version seen and merges them (``apply_increment``), then records that
-   version. Re-running it after a failure repeats an idempotent merge.
+2. A batch step merges the keys of all sink files that it has not merged
+   before: it rebuilds them from the newest state of the log and records the
+   names of the files. A crash in between repeats an idempotent merge.
 
-The seam with the history load: history records the pinned version ``V``;
-the stream starts *at* ``V`` (re-reading ``V`` is harmless), and step 2
-skips versions already applied.
+Files, not versions, say what is done: a commit that lands in several files, or
+after a later one, brings its keys in a new sink file and is merged then. The
+log is read after the stream has drained, so it holds every row whose key was
+seen. History is loaded at a pinned version ``V`` and the stream starts *at*
+``V`` (reading ``V`` again is harmless).
 """
 
 from __future__ import annotations
@@ -26,11 +27,11 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
-from ..config import CURVE, HORIZON_DAYS, M3_TO_KWH, RANGE, RELEVANCE, CurveCols, RangeCols
+from ..config import RANGE, RELEVANCE, RangeCols
 from ..functions.predicates import relevant
 from ..plans.increment import apply_increment
 from ..sources.changes import VERSION, as_of
-from ..sources.target import Target, _exists
+from ..sources.target import Target
 
 
 def start_changed_keys_stream(
@@ -57,33 +58,27 @@ def start_changed_keys_stream(
     )
 
 
-def apply_pending(
-    target: Target,
-    log: DataFrame,
-    keys_sink: DataFrame,
-    curve: DataFrame,
-    start_version: int,
-    policy: str = "per_day",
-    strategy: str = "days",
-    as_of_date=None,
-    horizon_days: int | None = HORIZON_DAYS,
-    relevance: Iterable[tuple[str, str]] | None = RELEVANCE,
-    factor: float = M3_TO_KWH,
-    cols: RangeCols = RANGE,
-    cc: CurveCols = CURVE,
-) -> int | None:
-    """S12 + M3: merge all keys of versions not yet applied. Returns the new
-    applied version (``None`` when there was nothing to do)."""
-    applied = target.applied_version()
-    low = start_version if applied is None else applied + 1
-    pending = keys_sink.filter(F.col(VERSION) >= F.lit(int(low)))
-    top = pending.agg(F.max(VERSION)).first()[0]
-    if top is None:
+def pending_keys(target: Target, keys_path: str, merged_path: str, cols: RangeCols = RANGE) -> DataFrame:
+    """``(key, file)`` of the sink files that were not merged yet."""
+    spark = target.spark
+    sink = spark.read.parquet(keys_path).select(cols.key, F.col("_metadata.file_path").alias("file"))
+    if not target.exists(merged_path):
+        return sink
+    return sink.join(spark.read.schema("file string").parquet(merged_path), "file", "left_anti").select(cols.key, "file")
+
+
+def apply_pending(target: Target, log: DataFrame, keys_path: str, merged_path: str, curve: DataFrame,
+                  as_of_date=None, cols: RangeCols = RANGE, **kw) -> int | None:
+    """S12 + M3: merge the keys of all new sink files, rebuilt from the newest
+    version in ``log``. Returns that version (``None``: nothing to do)."""
+    pending = pending_keys(target, keys_path, merged_path, cols)
+    if pending.isEmpty():
         return None
-    current = as_of(log, int(top))
-    apply_increment(target, current, curve, pending.select(cols.key), int(top), policy, strategy, as_of_date,
-                    horizon_days, relevance, factor, cols, cc)
-    return int(top)
+    top = int(log.agg(F.max(VERSION)).first()[0])
+    keys = pending.select(cols.key).distinct()
+    apply_increment(target, as_of(log, top, keys, cols.key), curve, keys, as_of=as_of_date, cols=cols, **kw)
+    pending.select("file").distinct().write.mode("append").parquet(merged_path)
+    return top
 
 
 def run_stream_increment(
@@ -96,12 +91,13 @@ def run_stream_increment(
     **kw,
 ) -> int | None:
     """One scheduled run: drain the change log with ``availableNow``, then
-    apply the pending keys. Safe to repeat."""
-    log = spark.read.parquet(log_path)
-    keys_path, ckpt = f"{state_root}/keys", f"{state_root}/checkpoint"
-    q = start_changed_keys_stream(spark, log_path, log.schema, keys_path, ckpt, start_version,
-                                  kw.get("relevance", RELEVANCE), kw.get("cols", RANGE))
+    merge the pending keys. Safe to repeat."""
+    keys_path = f"{state_root}/keys"
+    q = start_changed_keys_stream(spark, log_path, spark.read.parquet(log_path).schema, keys_path,
+                                  f"{state_root}/checkpoint", start_version, kw.get("relevance", RELEVANCE),
+                                  kw.get("cols", RANGE))
     q.awaitTermination()
-    if not _exists(spark, keys_path):
+    if not target.exists(keys_path):
         return None
-    return apply_pending(target, log, spark.read.parquet(keys_path), curve, start_version, **kw)
+    # read now: the listing holds every file the stream has seen
+    return apply_pending(target, spark.read.parquet(log_path), keys_path, f"{state_root}/merged", curve, **kw)

@@ -121,3 +121,48 @@ def test_fanout_estimate_counts_days(spark):
                            row("C", "G1A", 5, 1)])
     e = fanout_estimate(df, as_of=AS_OF).first()
     assert (e["n_rows"], e["n_relevant"], e["n_expandable"], e["n_day_rows"], e["n_hour_rows"]) == (3, 2, 1, 10, 240)
+
+
+def test_hot_key_is_bounded_before_the_exchange(spark):
+    """A third of all ranges on one key, category and month: what is dealt by (key,
+    category, month) is at most its distinct pieces, and the winner is right."""
+    from spanfan.operators.latest import latest_pieces
+    from spanfan.operators.ranges import month_pieces
+
+    n = 9000
+    days = F.lit(dt.date(2024, 1, 1))
+    df = spark.range(n).select(
+        F.when(F.col("id") % 3 == 0, "HOT").otherwise(F.concat(F.lit("K"), F.col("id").cast("string"))).alias("point_of_delivery_ean"),
+        F.lit("G1A").alias("profile_category_code"),
+        F.col("id").cast("decimal(18,3)").alias("sja"), F.lit("m3").alias("sj_unit_of_measure"),
+        F.lit("gas").alias("commodity_type"), F.lit("PRF").alias("allocation_method"),
+        F.date_add(days, (F.col("id") % 13).cast("int")).alias("effective_from_date"),
+        F.date_add(days, (F.col("id") % 13 + F.col("id") % 11).cast("int")).alias("effective_to_date"),
+        F.timestamp_add("SECOND", F.col("id").cast("int"), F.lit(TS1).cast("timestamp_ntz")).alias("__record_timestamp"),
+    )
+    pieces = latest_pieces(month_pieces(df, as_of=AS_OF))
+    hot = pieces.filter("point_of_delivery_ean = 'HOT'").count()
+    assert hot <= 496 < n // 3
+    for policy in ("per_day", "per_segment"):
+        got = latest_days(df, policy, as_of=AS_OF).filter("point_of_delivery_ean = 'HOT'")
+        best = {r["supply_date"]: int(r["sja"]) for r in got.collect()}
+        for d, sja in best.items():
+            i = (d - dt.date(2024, 1, 1)).days
+            assert sja == max(x for x in range(0, n, 3) if x % 13 <= i <= x % 13 + x % 11)
+
+
+def test_segments_scan_once(spark):
+    df = ranges_df(spark, random_rows(4))
+    path = df.sparkSession.conf.get("spark.checkpoint.dir") + "/seg-scan"
+    df.write.mode("overwrite").parquet(path)
+    plan = latest_days(spark.read.parquet(path), "per_segment", as_of=AS_OF)._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("FileScan") == 1
+
+
+def test_draw_falls_into_its_share(spark):
+    from spanfan.functions.draws import bucketed_length, weighted_pick
+
+    df = spark.createDataFrame([(0.0, 0.0), (0.49, 0.99), (0.5, 0.0), (0.79, 0.5), (0.8, 0.0), (0.999, 0.999)], "b double, w double")
+    got = df.select(weighted_pick(F.col("b"), ["x", "y", "z"], [0.5, 0.3, 0.2]),
+                    bucketed_length(F.col("b"), F.col("w"), [(0.5, 1, 11), (0.3, 20, 30), (0.2, 100, 200)])).collect()
+    assert [tuple(r) for r in got] == [("x", 1), ("x", 10), ("y", 20), ("y", 25), ("z", 100), ("z", 199)]

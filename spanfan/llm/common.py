@@ -103,55 +103,99 @@ def split_buckets(members: DataFrame) -> DataFrame:
     return dealt.join(spans.select("bucket"), "bucket", "left_semi").distinct()
 
 
+BLOCKS = 32
+
+
+def profiles(elements: DataFrame) -> DataFrame:
+    """``node, n, m, blocks`` from ``elements(node, n, x)`` (the distinct set elements
+    of some nodes, ``n`` the size of the set): ``m`` elements are in two sets or
+    more, and ``blocks`` counts these by hash block. One shuffle by element
+    serves the count and the join."""
+    dealt = elements.repartition("x")
+    again = dealt.groupBy("x").agg(F.count("*").alias("sets")).filter("sets > 1").select("x")
+    shared = dealt.join(again, "x", "left_semi")
+    block = [F.sum((F.pmod("x", F.lit(BLOCKS)) == i).cast("int")).cast("int") for i in range(BLOCKS)]
+    return shared.groupBy("node").agg(F.max("n").alias("n"), F.count("*").alias("m"), F.array(*block).alias("blocks"))
+
+
+def _could_link(left: str, right: str, percent: int) -> F.Column:
+    """Exact upper bounds of the Jaccard similarity of two profiles: an element that
+    no other set has is in no intersection, and an intersection is at
+    most the smaller count in every block."""
+    n = F.col(f"{left}.n") + F.col(f"{right}.n")
+    m = F.least(F.col(f"{left}.m"), F.col(f"{right}.m"))
+    low = F.zip_with(F.col(f"{left}.blocks"), F.col(f"{right}.blocks"), lambda x, y: F.least(x, y))
+    o = F.aggregate(low, F.lit(0), lambda s, x: s + x)
+    return (100 * m >= percent * (n - m)) & (100 * o >= percent * (n - o))
+
+
 def resolve(
     members: DataFrame,
     verify: Callable[[DataFrame], DataFrame],
+    elements: Callable[[DataFrame], DataFrame],
+    percent: int,
     may_link: Callable[[str, str], F.Column] | None = None,
-    rounds: int = 4,
+    rounds: int = 2,
     name: str = "links",
 ) -> DataFrame:
     """Components over the verified links between nodes that share a bucket.
 
     ``members(bucket, node, ...)``; ``verify(pairs(a, b))`` returns the rows
-    of ``pairs`` that are links. In a round every bucket has one pivot and
-    every node is compared with the first pivot among its buckets (a star: at
-    most one pair per node); buckets whose members are then in one component
-    are done, and pivots differ by round. What is left is settled exactly: in
-    a bucket that still holds several components, every member outside the
-    largest of them is compared with all members of other components. So
-    every pair that shares a bucket is either compared or already connected.
-    ``may_link(l, r)`` is a necessary condition on two aliases of ``members``,
-    applied before pairs are kept.
+    of ``pairs`` that are links, that is, have a Jaccard similarity of
+    ``percent``; ``elements(nodes)`` gives the sets of some nodes.
+
+    In a round every bucket has one pivot and every node is compared with the
+    first pivot among its buckets (a star: at most one pair per node). The
+    first pivots are the nodes with the most bucket neighbours, later ones are drawn
+    from a bucket's largest component. Buckets whose members are then in one
+    component are done. What is left is settled exactly: in a bucket that
+    still holds several components, every member outside the largest of
+    them meets all members of other components, and is compared with those that an
+    exact bound allows. So every pair that shares a bucket is compared,
+    already connected, or too different. ``may_link(l, r)`` is a necessary
+    condition on two aliases of ``members`` for the stars.
     """
     cond = may_link or (lambda left, right: F.lit(True))
-    members = members.withColumn("comp", F.col("node"))
-    links = None
-    comp = None
-    for r in range(rounds + 1):
-        if comp is not None:
-            members = stored(_split_components(_labelled(members, comp)), f"{name}-split{r}")
-            if members.isEmpty():
-                break
-        if r < rounds:
-            others = [c for c in members.columns if c != "bucket"]
-            pivot = (
-                members.groupBy("bucket")
-                .agg(F.min(F.struct(F.xxhash64("node", F.lit(r)).alias("h"), *others)).alias("p"))
-                .select("bucket", "p.*")
-            )
+    size = members.groupBy("bucket").agg(F.count("*").alias("c"))
+    score = members.select("bucket", "node").join(size, "bucket").groupBy("node").agg(F.sum("c").alias("score"))
+    members = stored(members.join(score, "node").withColumn("comp", F.col("node")), f"{name}-scored")
+    links = comp = None
+
+    def star(r: int) -> DataFrame:
+        draw = F.xxhash64("node", F.lit(r))
+        own = [c for c in members.columns if c != "bucket"]
+        if r == 0:
+            ranked = members.withColumn("h", F.struct((-F.col("score")).alias("s"), draw.alias("d")))
         else:
-            size = members.groupBy("bucket", "comp").agg(F.count("*").alias("n_comp"))
-            main = size.groupBy("bucket").agg(F.max(F.struct("n_comp", "comp")).alias("x"))
-            main = main.select("bucket", F.col("x.comp").alias("main"))
-            pivot = members.join(main, "bucket").filter("comp <> main").drop("main").withColumn("h", F.lit(0))
-        pairs = (
-            members.alias("l")
-            .join(pivot.alias("r"), F.col("l.bucket") == F.col("r.bucket"))
+            of_comp = members.groupBy("bucket", "comp").agg(F.count("*").alias("c"))
+            ranked = members.join(of_comp, ["bucket", "comp"]).withColumn("h", F.struct((-F.col("c")).alias("s"), draw.alias("d")))
+        pivot = ranked.groupBy("bucket").agg(F.min(F.struct("h", *own)).alias("p")).select("bucket", "p.*")
+        met = (
+            members.alias("l").join(pivot.alias("r"), F.col("l.bucket") == F.col("r.bucket"))
             .filter((F.col("l.comp") != F.col("r.comp")) & cond("l", "r"))
             .select(F.col("l.node").alias("a"), F.col("r.node").alias("b"), F.col("r.h").alias("h"))
         )
-        if r < rounds:
-            pairs = pairs.groupBy("a").agg(F.min(F.struct("h", "b")).alias("p")).select("a", F.col("p.b").alias("b"))
+        return met.groupBy("a").agg(F.min(F.struct("h", "b")).alias("p")).select("a", F.col("p.b").alias("b"))
+
+    def rest() -> DataFrame:
+        nodes = members.select("node").distinct()
+        known = stored(profiles(elements(nodes)), f"{name}-profiles")
+        full = members.select("bucket", "node", "comp").join(known, "node")
+        of_comp = full.groupBy("bucket", "comp").agg(F.count("*").alias("c"))
+        main = of_comp.groupBy("bucket").agg(F.max(F.struct("c", "comp")).alias("x")).select("bucket", F.col("x.comp").alias("main"))
+        outside = full.join(main, "bucket").filter("comp <> main")
+        return (
+            full.alias("l").join(outside.alias("r"), F.col("l.bucket") == F.col("r.bucket"))
+            .filter((F.col("l.comp") != F.col("r.comp")) & _could_link("l", "r", percent))
+            .select(F.col("l.node").alias("a"), F.col("r.node").alias("b"))
+        )
+
+    for r in range(rounds + 1):
+        if comp is not None:
+            members = stored(_split_components(_labelled(members, comp)), f"{name}-split{r}")
+        if members.isEmpty():
+            break
+        pairs = star(r) if r < rounds else rest()
         pairs = stored(
             pairs.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct(), f"{name}-pairs{r}"
         )
@@ -160,7 +204,7 @@ def resolve(
         if not found.isEmpty():
             comp = stored(components(links), f"{name}-comp{r}")
     if comp is None:
-        return members.sparkSession.createDataFrame([], "node long, comp long")
+        return members.select("node", F.col("node").alias("comp")).limit(0)
     return comp
 
 

@@ -200,6 +200,21 @@ def verified(pairs: DataFrame, texts: DataFrame, percent: int = PERCENT) -> Data
     return rows.select("a", "b", "text_a", "text_b").mapInArrow(run, "a long, b long")
 
 
+def set_elements(nodes: DataFrame, texts: DataFrame) -> DataFrame:
+    """``node, n, x``: the shingles of the nodes, one row each."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        shingles = Shingles()
+        for b in slices(batches, max_bytes=1 << 18):
+            sets = shingles(text_column(b))
+            n = np.array([len(s) for s in sets], dtype=np.int64)
+            cols = [np.repeat(b.column(0).to_numpy(), n), np.repeat(n, n), np.concatenate(sets).view(np.int64)]
+            yield pa.RecordBatch.from_arrays([pa.array(c) for c in cols], names=["node", "n", "x"])
+
+    wanted = texts.join(small(nodes, 1_000_000), "node", "left_semi").select("node", "text")
+    return wanted.mapInArrow(run, "node long, n long, x long")
+
+
 def near_duplicates(docs: DataFrame, text: str = "text", doc_id: str = "doc_id") -> DataFrame:
     """``doc_id, tid, n_shingles, component_id, winner`` for every row; ``tid`` is the
     digest of the text, ``winner`` the (doc_id, tid) of the row that stands for the component."""
@@ -225,7 +240,9 @@ def near_duplicates(docs: DataFrame, text: str = "text", doc_id: str = "doc_id")
         differ = sum(F.bit_count(F.col(f"{left}.b{i}").bitwiseXOR(F.col(f"{right}.b{i}"))) for i in range(4))
         return (100 * F.least(n, m) >= PERCENT * F.greatest(n, m)) & (BANDS * ROWS - differ >= MIN_AGREE)
 
-    comp = resolve(members, lambda pairs: verified(pairs, texts), may_link, name="near")
+    comp = resolve(
+        members, lambda pairs: verified(pairs, texts), lambda nodes: set_elements(nodes, texts), PERCENT, may_link, name="near"
+    )
     label = nodes.join(comp, "node", "left").withColumn("comp", F.coalesce("comp", "node"))
     best = label.groupBy("comp").agg(F.min("who").alias("winner"))
     by_key = label.join(best, "comp").select("key", F.struct("winner.doc_id", "winner.tid").alias("winner"))

@@ -88,24 +88,31 @@ def pair_index(token: Column, i: Column) -> Column:
     return F.ascii(F.substr(token, i, F.lit(1))) * 128 + F.ascii(F.substr(token, i + 1, F.lit(1)))
 
 
-def train(samples: DataFrame, alphabet: int = 66, smooth: float = 0.5) -> list[int]:
+def train(samples: DataFrame, alphabet: int = 66, smooth: float = 0.5, weight: float = 5.0) -> list[int]:
     """128 x 128 log-likelihood ratios in thousandths from ``samples(token, secret)``.
 
-    Only counts of character pairs (at most 2 x 128 x 128 rows) reach the driver.
+    A transition's probability is its relative count, drawn towards the
+    probability of the second character alone by ``weight`` counts (which has
+    ``smooth`` counts for every character). Only counts of character pairs (at
+    most 2 x 128 x 128 rows) reach the driver.
     """
     import math
 
-    ascii_only = samples.filter("token rlike '^[\\\\x00-\\\\x7F]{2,}$'")
+    ascii_only = samples.filter(r"token rlike '^[\x00-\x7F]{2,}$'")
     pairs = ascii_only.select(
         "secret", F.explode(F.transform(F.sequence(F.lit(1), F.length("token") - 1), lambda i: pair_index(F.col("token"), i))).alias("p")
     )
     counts = [[0.0] * (128 * 128) for _ in range(2)]
     for r in pairs.groupBy("secret", "p").agg(F.count("*").alias("n")).collect():
         counts[int(r["secret"])][r["p"]] = float(r["n"])
-    rows = [[sum(c[a * 128 : a * 128 + 128]) for a in range(128)] for c in counts]
+    from_ = [[sum(c[a * 128 : a * 128 + 128]) for a in range(128)] for c in counts]
+    single = []
+    for c in counts:
+        to = [sum(c[b::128]) for b in range(128)]
+        single.append([(n + smooth) / (sum(to) + smooth * alphabet) for n in to])
 
     def log_p(k: int, a: int, b: int) -> float:
-        return math.log((counts[k][a * 128 + b] + smooth) / (rows[k][a] + smooth * alphabet))
+        return math.log((counts[k][a * 128 + b] + weight * single[k][b]) / (from_[k][a] + weight))
 
     return [round(1000 * (log_p(1, a, b) - log_p(0, a, b))) for a in range(128) for b in range(128)]
 

@@ -22,6 +22,7 @@ table gives no rows; other columns are not read.
 from __future__ import annotations
 
 import os
+import struct
 from collections.abc import Iterator
 
 import numpy as np
@@ -49,28 +50,57 @@ class Tokens:
     """Token ids of texts as little-endian uint32 bytes.
 
     The tokenizer drops white space and never joins across it, so ids are
-    kept per run between blanks and line ends (``max_words`` of them, then the
-    store starts anew; results do not depend on it).
+    kept per run between blanks and line ends. A new run whose characters are all
+    in Latin-1 is looked up in lower case and without one mark at its end
+    (the tokenizer lowers case and parts letters from marks itself). The kept
+    ids stay with the worker process from task to task; beyond ``max_words`` runs
+    they start anew. Results do not depend on what is kept.
     """
 
-    def __init__(self, path: str, max_words: int = 400_000):
+    MARKS = ".,;:!?"
+
+    def __init__(self, path: str, max_words: int = 800_000):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
-        from tokenizers import Tokenizer
+        import tokenizers
 
-        self.tokenizer = Tokenizer.from_file(path)
-        self.known: dict[str, bytes] = {"": b""}
+        kept = tokenizers.__dict__.setdefault("_kept_ids", {})  # outlives the task
+        if path not in kept:
+            kept[path] = (tokenizers.Tokenizer.from_file(path), {"": b""}, {})
+        self.tokenizer, self.known, self.stems = kept[path]
         self.max_words = max_words
 
+    def _stem(self, word: str) -> tuple[str, str]:
+        try:
+            word.encode("latin-1")
+        except UnicodeEncodeError:
+            return word, ""
+        if "<|" in word:
+            return word, ""
+        if len(word) > 1 and word[-1] in self.MARKS and word[-2].isalpha():
+            return word[:-1].lower(), word[-1]
+        return word.lower(), ""
+
+    def _learn(self, new: set[str]) -> None:
+        cut = {w: self._stem(w) for w in new}
+        ask = list({s for s, _ in cut.values() if s not in self.stems} | {m for m in self.MARKS if m not in self.stems})
+        for w, e in zip(ask, self.tokenizer.encode_batch_fast(ask, add_special_tokens=False)):
+            self.stems[w] = struct.pack(f"<{len(e.ids)}I", *e.ids)
+        for w, (stem, mark) in cut.items():
+            self.known[w] = self.stems[stem] + self.stems[mark] if mark else self.stems[stem]
+
     def __call__(self, texts: list[str]) -> list[bytes]:
         cut = [t.replace("\n", " ").split(" ") for t in texts]
-        if len(self.known) > self.max_words:
-            self.known = {"": b""}
-        known = self.known
-        new = list({w for words in cut for w in words if w not in known})
+        words = set().union(*cut)
+        new = words.difference(self.known)
         if new:
-            for w, e in zip(new, self.tokenizer.encode_batch(new, add_special_tokens=False)):
-                known[w] = np.asarray(e.ids, dtype="<u4").tobytes()
-        return [b"".join(map(known.__getitem__, words)) for words in cut]
+            if len(self.known) > self.max_words:
+                self.known.clear()
+                self.stems.clear()
+                self.known[""] = b""
+                new = words.difference(self.known)
+            self._learn(new)
+        get = self.known.__getitem__
+        return [b"".join(map(get, words)) for words in cut]
 
 
 class SumOfSquares:

@@ -96,11 +96,40 @@ def small(df: DataFrame, max_rows: int = 200_000) -> DataFrame:
 
 
 def split_buckets(members: DataFrame) -> DataFrame:
-    """Rows of the buckets that hold more than one node. One shuffle: the
-    aggregate and the join use the same partitioning by bucket."""
-    dealt = members.repartition("bucket")
-    spans = dealt.groupBy("bucket").agg(F.min("node").alias("lo"), F.max("node").alias("hi")).filter("lo <> hi")
-    return dealt.join(spans.select("bucket"), "bucket", "left_semi").distinct()
+    """The distinct ``(bucket, node)`` rows (longs) of buckets with more than one node.
+
+    One shuffle and sort; a task reads its rows in a stream and holds at most
+    the first node of a bucket, whatever the bucket's size."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held = (np.zeros(0, dtype=np.int64), np.zeros(0, dtype=np.int64))  # a bucket with one node so far
+        seen = None  # last row of a bucket that is known to have more
+        for b in batches:
+            bucket = np.concatenate([held[0], b.column(0).to_numpy()])
+            node = np.concatenate([held[1], b.column(1).to_numpy()])
+            fresh = np.ones(len(bucket), dtype=bool)
+            fresh[1:] = (bucket[1:] != bucket[:-1]) | (node[1:] != node[:-1])
+            if seen is not None and len(bucket):
+                fresh[0] = (bucket[0], node[0]) != seen
+            bucket, node = bucket[fresh], node[fresh]
+            if not len(bucket):
+                continue
+            new = np.ones(len(bucket), dtype=bool)
+            new[1:] = bucket[1:] != bucket[:-1]
+            run_of = np.cumsum(new) - 1
+            size = np.bincount(run_of)
+            if seen is not None and bucket[0] == seen[0]:
+                size[0] += 1
+            many = (size > 1)[run_of]
+            if many[-1]:
+                held, seen = (bucket[:0], node[:0]), (bucket[-1], node[-1])
+            else:
+                held, seen = (bucket[-1:], node[-1:]), None
+            if many.any():
+                yield pa.RecordBatch.from_arrays([pa.array(bucket[many]), pa.array(node[many])], names=["bucket", "node"])
+
+    dealt = members.select("bucket", "node").repartition("bucket").sortWithinPartitions("bucket", "node")
+    return dealt.mapInArrow(run, "bucket long, node long")
 
 
 BLOCKS = 32

@@ -276,3 +276,30 @@ def op5_minhash_near(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_duplicates(read_table(spark, sf_dir, "documents")).select(
         "doc_id", "n_shingles", "component_id", F.col("doc_id").eqNullSafe(F.col("component_id")).alias("kept")
     )
+
+
+OP5_SQL = r"""
+with recursive w as (
+  select doc_id, unnest(ws) as w, generate_subscripts(ws, 1) as i, len(ws) as n
+  from (select doc_id, regexp_extract_all(
+          translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x20\x09-\x0D]+') as ws
+        from documents)
+),
+win as (
+  select doc_id, concat_ws(' ', w, lead(w, 1) over p, lead(w, 2) over p, lead(w, 3) over p, lead(w, 4) over p) as g,
+         n < 5 and i = 1 or lead(w, 4) over p is not null as whole
+  from w window p as (partition by doc_id order by i)
+),
+g as (select distinct doc_id, g from win where whole),
+size as (select doc_id, count(*) as n from g group by 1),
+common as (select a.doc_id as x, b.doc_id as y, count(*) as c from g a join g b using (g) where a.doc_id <> b.doc_id group by 1, 2),
+links as (
+  select x, y from common join size s on s.doc_id = x join size t on t.doc_id = y where 100 * c >= 75 * (s.n + t.n - c)
+),
+reach(doc_id, node) as (
+  select doc_id, doc_id from documents union select r.doc_id, l.y from reach r join links l on l.x = r.node
+),
+label as (select doc_id, min(node) as component_id from reach group by 1)
+select d.doc_id, coalesce(n, 0) as n_shingles, component_id, d.doc_id = component_id as kept
+from documents d left join size using (doc_id) join label using (doc_id)
+"""

@@ -19,5 +19,7 @@ QUERIES = {
 
 SQL = {
     "op1_quality_rules": quality_rules.OP1_SQL,
+    "op2_line_dedup": line_dedup.OP2_SQL,
+    "op5_minhash_near": minhash_near.OP5_SQL,
     "op8_chat_format": chat_format.OP8_SQL,
 }

@@ -22,4 +22,5 @@ SQL = {
     "op2_line_dedup": line_dedup.OP2_SQL,
     "op5_minhash_near": minhash_near.OP5_SQL,
     "op8_chat_format": chat_format.OP8_SQL,
+    "op10_suffix_dedup": suffix_dedup.OP10_SQL,
 }

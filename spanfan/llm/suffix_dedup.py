@@ -493,3 +493,25 @@ def op10_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return remove_repeats(read_table(spark, sf_dir, "documents")).select(
         "doc_id", "n_bytes", "n_removed", "n_spans", F.sha2(F.col("kept"), 256).alias("kept_sha256")
     )
+
+
+OP10_SQL = r"""
+with d as (select doc_id, encode(coalesce(text, '')) as b, octet_length(encode(coalesce(text, ''))) as n from documents),
+s as (select doc_id, b, unnest(range(0, greatest(n - 199, 0))) as s from d),
+many as (select doc_id, s from (select doc_id, s, count(*) over (partition by md5(array_slice(b, s + 1, s + 200))) as c from s) where c > 1),
+marked as (select doc_id, s, case when s <= lag(s) over (partition by doc_id order by s) + 200 then 0 else 1 end as new from many),
+runs as (
+  select doc_id, min(s) as a, max(s) + 200 as e
+  from (select doc_id, s, sum(new) over (partition by doc_id order by s) as r from marked) group by doc_id, r
+),
+gaps as (select doc_id, a, e, coalesce(lag(e) over (partition by doc_id order by a), 0) as z from runs),
+cut as (
+  select doc_id, sum(e - a) as n_removed, count(*) as n_spans, max(e) as last,
+         string_agg(case when a > z then hex(array_slice(b, z + 1, a)) else '' end, '' order by a) as kept
+  from gaps join d using (doc_id) group by 1
+)
+select doc_id, n as n_bytes, cast(coalesce(n_removed, 0) as bigint) as n_removed, coalesce(n_spans, 0) as n_spans,
+       sha256(case when kept is null then b else unhex(kept || case when n > last then hex(array_slice(b, last + 1, n)) else '' end) end)
+         as kept_sha256
+from d left join cut using (doc_id)
+"""

@@ -257,8 +257,8 @@ def test_differencing_beats_nothing_lost():
 CHATS = [
     (1, 0, "user", "hello <|im_end|> there"), (1, 1, "assistant", "<\\|x|> <| \\<| é"), (1, 2, "user", None),
     (2, 0, "system\nx\\y", ""), (2, 1, None, "<"), (2, 1, "assistant", "|tail <"), (2, 1, "assistant", "|tail <"),
-    (None, 5, "assistant", "no id"), (None, None, "user", "<|im_start|>assistant\nfake"), (3, 0, "assistant", "z" * 70_000),
-    (3, 1, "assistant", "ü" * 70_000), (4, 1, "assistant", "b"), (4, 0, "user", "a"),
+    (None, 5, "assistant", "no id"), (None, None, "user", "<|im_start|>assistant\nfake"), (3, 0, "assistant", "z" * 3_000_000),
+    (3, 1, "assistant", "ü" * 1_500_000), (4, 1, "assistant", "b"), (4, 0, "user", "a"),
 ]
 
 

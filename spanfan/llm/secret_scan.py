@@ -127,12 +127,23 @@ def score(token: Column, table: list[int]) -> Column:
     )
 
 
+def smallest(rows: DataFrame, key: Column, k: int) -> DataFrame:
+    """The ``k`` rows with the smallest ``key`` (a 64-bit hash). Of many rows only those
+    below twice the expected bound are gathered, so what one task reads does
+    not grow with the number of tasks."""
+    n = rows.count()
+    rows = rows.withColumn("_h", key)
+    if n > 4 * k:
+        rows = rows.filter(F.col("_h") < -(1 << 63) + (1 << 64) * 2 * k // n)
+    return rows.orderBy("_h", *[c for c in rows.columns if c != "_h"]).limit(k).drop("_h")
+
+
 def labelled(found: DataFrame, docs: DataFrame, text: str = "text") -> DataFrame:
     """``token, secret``: the bounded labelled samples described above."""
     spark = found.sparkSession
 
     def bounded(tokens: DataFrame) -> DataFrame:
-        return tokens.distinct().orderBy(F.xxhash64("token"), "token").limit(MAX_SAMPLES)
+        return smallest(tokens.distinct(), F.xxhash64("token"), MAX_SAMPLES)
 
     values = found.select(F.explode(F.concat("assign", "access", "hex")).alias("s")).select(F.col("s.value").alias("token"))
     digest = F.sha2(F.concat(F.lit("random-"), F.col("id").cast("string")), 256)
@@ -140,7 +151,7 @@ def labelled(found: DataFrame, docs: DataFrame, text: str = "text") -> DataFrame
         F.explode(F.array(F.left(digest, F.lit(40)), F.left(F.base64(F.unhex(digest)), F.lit(40)))).alias("token")
     )
     secret = bounded(values.filter("length(token) >= 16")).unionByName(made).withColumn("secret", F.lit(1))
-    sample = docs.select(F.col(text).alias("t")).orderBy(F.xxhash64("t"), "t").limit(TRAIN_DOCS)
+    sample = smallest(docs.select(F.col(text).alias("t")), F.xxhash64("t"), TRAIN_DOCS)
     words = sample.select(F.explode(F.regexp_extract_all(F.coalesce("t", F.lit("")), F.lit(WORD), 0)).alias("token"))
     words = words.filter("token rlike '^[A-Za-z_-]{3,}$'")
     ordinary = bounded(words).withColumn("secret", F.lit(0))

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import numpy as np
 import pyarrow as pa
 from corpus import components
 
@@ -29,3 +30,15 @@ def test_line_sets_hold_the_shingles_of_long_words(spark):
     assert kept_lines(spark, lines) == {lines[i] for i in set(root)}
     read = line_dedup.Lines().read(pa.array(lines, pa.large_string()))
     assert [len(read.set_of(i)) for i in range(len(lines))] == [len(grams(x)) for x in lines]
+
+
+def test_bands_of_small_sets_are_independent():
+    """Sets of four and five shingles (Jaccard 0.8) miss each other as often as independent bands do."""
+    rnd = np.random.default_rng(0)
+    base, more = (rnd.integers(0, 1 << 64, size=(40_000, k), dtype=np.uint64) for k in (4, 1))
+    keys = []
+    for sets in (base, np.concatenate([base, more], axis=1)):
+        lines = line_dedup.Lines()
+        lines.x, lines.start = np.sort(sets, axis=1).ravel(), np.arange(0, sets.size + 1, sets.shape[1])
+        keys.append(lines.bands())
+    assert 1 - (keys[0] == keys[1]).any(axis=1).mean() < 2 * (1 - 0.8**3) ** line_dedup.BANDS

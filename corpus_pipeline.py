@@ -20,9 +20,9 @@ def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Repeated lines go (the first of each component stays), and with them
+    """Repeated lines, short ones too, go (the first of each component stays), and with them
     documents that have no other line; ``n_chars`` follows the text."""
-    out = line_dedup.dedup_lines(docs)
+    out = line_dedup.dedup_lines(docs, short_lines=True)
     n_chars = F.length("text").cast(docs.schema["n_chars"].dataType) if "n_chars" in docs.columns else None
     return out.select(*[n_chars.alias(c) if c == "n_chars" else F.col(f"`{c}`") for c in docs.columns])
 

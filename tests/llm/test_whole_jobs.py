@@ -32,6 +32,15 @@ def test_line_sets_hold_the_shingles_of_long_words(spark):
     assert [len(read.set_of(i)) for i in range(len(lines))] == [len(grams(x)) for x in lines]
 
 
+def test_short_lines_take_part_in_the_pipeline(spark):
+    import corpus_pipeline
+
+    texts = ["all rights reserved.\none", "ALL  rights reserved.\ntwo\n", "three\nAll rights reserved.\nthe.", "the.", None, "  \n"]
+    df = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    got = {r["doc_id"]: r["text"] for r in corpus_pipeline.lines(spark, df, "").collect()}
+    assert got == {0: "all rights reserved.\none", 1: "two\n", 2: "three\nthe.", 4: None, 5: "  \n"}
+
+
 def test_bands_of_small_sets_are_independent():
     """Sets of four and five shingles (Jaccard 0.8) miss each other as often as independent bands do."""
     rnd = np.random.default_rng(0)

@@ -9,7 +9,7 @@ the ratio is kept as whole thousandths, so sums do not depend on their order.
 
 Labelled samples of the query: random strings are the values the base patterns
 find in all documents, and ``N_RANDOM`` strings that are random by construction (encoded
-digests); identifiers are distinct words of ``TRAIN_DOCS`` documents, taken by
+digests); identifiers are distinct words of ``TRAIN_DOCS`` distinct texts, taken by
 smallest hash. At most ``MAX_SAMPLES`` of either kind are used, again by smallest hash.
 
 A span's place comes from the lengths of what ``split`` leaves between matches.
@@ -128,13 +128,15 @@ def score(token: Column, table: list[int]) -> Column:
 
 
 def smallest(rows: DataFrame, key: Column, k: int) -> DataFrame:
-    """The ``k`` rows with the smallest ``key`` (a 64-bit hash). Of many rows only those
-    below twice the expected bound are gathered, so what one task reads does
-    not grow with the number of tasks."""
+    """The ``k`` rows of distinct ``rows`` with the smallest ``key`` (a 64-bit hash). Of many
+    rows only those below twice the expected bound are gathered, so what one task
+    reads does not grow with the number of tasks; all are ordered if the bound
+    leaves fewer than ``k``."""
     n = rows.count()
     rows = rows.withColumn("_h", key)
     if n > 4 * k:
-        rows = rows.filter(F.col("_h") < -(1 << 63) + (1 << 64) * 2 * k // n)
+        below = rows.filter(F.col("_h") < -(1 << 63) + (1 << 64) * 2 * k // n)
+        rows = below if below.count() >= k else rows
     return rows.orderBy("_h", *[c for c in rows.columns if c != "_h"]).limit(k).drop("_h")
 
 
@@ -151,7 +153,9 @@ def labelled(found: DataFrame, docs: DataFrame, text: str = "text") -> DataFrame
         F.explode(F.array(F.left(digest, F.lit(40)), F.left(F.base64(F.unhex(digest)), F.lit(40)))).alias("token")
     )
     secret = bounded(values.filter("length(token) >= 16")).unionByName(made).withColumn("secret", F.lit(1))
-    sample = smallest(docs.select(F.col(text).alias("t")), F.xxhash64("t"), TRAIN_DOCS)
+    texts = docs.select(F.col(text).alias("t")).filter("t is not null").withColumn("tid", F.unhex(F.md5("t")))
+    tids = smallest(texts.select("tid", F.xxhash64("t").alias("h")).distinct(), F.col("h"), TRAIN_DOCS)
+    sample = texts.join(F.broadcast(tids.select("tid")), "tid", "left_semi").groupBy("tid").agg(F.first("t").alias("t"))
     words = sample.select(F.explode(F.regexp_extract_all(F.coalesce("t", F.lit("")), F.lit(WORD), 0)).alias("token"))
     words = words.filter("token rlike '^[A-Za-z_-]{3,}$'")
     ordinary = bounded(words).withColumn("secret", F.lit(0))

@@ -2,11 +2,13 @@
 
 from __future__ import annotations
 
+import re
+
 import numpy as np
 import pyarrow as pa
-from corpus import components
+from corpus import components, corpus
 
-from spanfan.llm import line_dedup
+from spanfan.llm import line_dedup, pii_surrogates, secret_scan
 
 
 def grams(line: str) -> frozenset:
@@ -51,3 +53,15 @@ def test_bands_of_small_sets_are_independent():
         lines.x, lines.start = np.sort(sets, axis=1).ravel(), np.arange(0, sets.size + 1, sets.shape[1])
         keys.append(lines.bands())
     assert 1 - (keys[0] == keys[1]).any(axis=1).mean() < 2 * (1 - 0.8**3) ** line_dedup.BANDS
+
+
+def test_secret_samples_come_from_distinct_texts(spark):
+    """50 texts of ordinary words in 2,000 copies each."""
+    F = secret_scan.F
+    docs = spark.range(100_000).select(
+        F.col("id").alias("doc_id"),
+        F.concat(F.lit("plain words of text number word"), F.translate((F.col("id") % 50).cast("string"), "0123456789", "abcdefghij")).alias("text"),
+    )
+    samples = secret_scan.labelled(secret_scan.found_spans(docs.limit(10)), docs).filter("secret = 0")
+    assert samples.count() == 4 + 50  # words of three letters or more
+    assert secret_scan.smallest(spark.range(100), F.lit(1).cast("long"), 5).count() == 5

@@ -11,7 +11,9 @@ letters keep their script and case, a first name keeps the gender of its title.
 
 Surrogates are checked against each other and against all real entities of
 the kind; those that collide are drawn again with the next attempt, the
-smallest value of a colliding group excepted. So different entities get
+smallest value of a colliding group excepted; a mailbox (compared with those of
+its domain) or a domain gets a letter more with each attempt after the second, so
+that short ones do not run out. So different entities get
 different surrogates, and an entity gets the same one in every document and
 in every form it is written in (coreference: ``Mr. John Smith`` and ``Mr. Smith``).
 
@@ -149,6 +151,15 @@ def surrogate(role: Column, value: Column, attempt: Column, key: str) -> Column:
 
         return F.array_join(F.transform(F.split(s, ""), one), "")
 
+    # mailboxes and domains: every attempt after the second adds a letter, so that there are always more
+    extra = F.array_join(
+        F.transform(
+            F.filter(F.sequence(F.lit(0), attempt.cast("int")), lambda i: i > 1),
+            lambda i: F.substr(F.lit("abcdefghijklmnopqrstuvwxyz"), draw(i + 1000, 26) + 1, F.lit(1)),
+        ),
+        "",
+    )
+
     def digits(s: Column) -> Column:
         """Same length; a leading zero stays, another first digit stays non-zero."""
 
@@ -183,21 +194,24 @@ def surrogate(role: Column, value: Column, attempt: Column, key: str) -> Column:
         F.when(role == "ipv4", octets)
         .when(role == "card-luhn", luhn(value))
         .when(role.isin("card", "phone"), digits(value))
-        .when(role == "domain", F.concat(chars(F.regexp_replace(value, r"\.[^.]+$", "")), top))
-        .when(role == "mailbox", chars(F.split(value, "@")[0]))
+        .when(role == "domain", F.concat(chars(F.regexp_replace(value, r"\.[^.]+$", "")), extra, top))
+        .when(role == "mailbox", F.concat(chars(F.split(value, "@")[0]), extra))
         .otherwise(out)
     )
 
 
-def _space(role: Column) -> Column:
-    """Roles whose surrogates must differ from each other."""
-    return F.regexp_replace(role, "-luhn$", "")
+def _space(role: Column, value: Column) -> Column:
+    """Entities whose surrogates must differ from each other. Domains differ after the
+    mapping as before it, and from all real ones, so that a mailbox is only
+    compared with others of its domain."""
+    mailbox = F.concat(role, F.lit("@"), F.element_at(F.split(value, "@"), -1))
+    return F.when(role == "mailbox", mailbox).otherwise(F.regexp_replace(role, "-luhn$", ""))
 
 
 def mapping(entities: DataFrame, key: str = DEFAULT_KEY, max_attempts: int = 64) -> DataFrame:
     """``role, value, surrogate`` for distinct ``entities(role, value)``, collision-free."""
-    open_ = stored(entities.distinct().withColumn("space", _space(F.col("role"))), "pii-entities")
-    # a mailbox surrogate is compared without its domain
+    open_ = stored(entities.distinct().withColumn("space", _space(F.col("role"), F.col("value"))), "pii-entities")
+    # a mailbox surrogate has no domain
     real = F.when(F.col("role") == "mailbox", F.split("value", "@")[0]).otherwise(F.col("value"))
     taken = open_.select("space", real.alias("surrogate")).distinct()
     done = None

@@ -65,3 +65,15 @@ def test_secret_samples_come_from_distinct_texts(spark):
     samples = secret_scan.labelled(secret_scan.found_spans(docs.limit(10)), docs).filter("secret = 0")
     assert samples.count() == 4 + 50  # words of three letters or more
     assert secret_scan.smallest(spark.range(100), F.lit(1).cast("long"), 5).count() == 5
+
+
+
+def test_short_mailboxes_and_domains_do_not_run_out(spark):
+    """1,000 two-letter mailboxes of one domain, the one-letter ones of many domains, and all one-letter domains."""
+    F = pii_surrogates.F
+    rows = [("mailbox", f"{a}{b}@one.org") for a in "abcdefghijklmnopqrstuvwxyz0123456789" for b in "abcdefghijklmnopqrstuvwxyz01"]
+    rows += [("mailbox", f"h@d{i}.org") for i in range(100)] + [("domain", f"{c}.org") for c in "abcdefghijklmnopqrstuvwxyz"]
+    got = pii_surrogates.mapping(spark.createDataFrame(rows, "role string, value string")).collect()
+    new = [(r["role"], r["value"].split("@")[-1] if r["role"] == "mailbox" else "", r["surrogate"]) for r in got]
+    assert len(got) == len(rows) == len(set(new))
+    assert not {x[2] for x in new if x[1] == "one.org"} & {v.split("@")[0] for _, v in rows if v.endswith("@one.org")}

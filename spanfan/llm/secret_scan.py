@@ -1,16 +1,21 @@
 r"""Secret scan: fixed patterns plus character Markov models, with built-in functions only.
 
 Three base patterns give spans (``assign``, ``access``, ``hex``). Further spans
-(``markov``) are long runs of ``[A-Za-z0-9+/_=-]`` with a letter and a digit that look
+(``markov``) are long runs of ``[A-Za-z0-9+/_=-]`` with a letter that look
 random: two first-order character models, one of random strings and one of
 ordinary identifiers, are compared by the mean log-likelihood ratio per
 transition. The models are counts of character pairs over labelled samples;
 the ratio is kept as whole thousandths, so sums do not depend on their order.
+Runs without a digit must also exceed what all but one in a thousand of the labelled
+words of ``WORD_CHARS`` to 15 characters have, and those all in capitals are scored in
+lower case. Runs without a letter are not scored (of
+random base62 keys of 16 characters 2e-13 have none): the samples of words hold no digits,
+so every long number would pass.
 
 Labelled samples of the query: random strings are the values the base patterns
 find in all documents, and ``N_RANDOM`` strings that are random by construction (encoded
 digests); identifiers are distinct words of ``TRAIN_DOCS`` distinct texts, taken by
-smallest hash. At most ``MAX_SAMPLES`` of either kind are used, again by smallest hash.
+smallest hash, without runs of 16 letters or more. At most ``MAX_SAMPLES`` of either kind are used, again by smallest hash.
 
 A span's place comes from the lengths of what ``split`` leaves between matches.
 
@@ -45,6 +50,7 @@ TRAIN_DOCS = 500
 N_RANDOM = 2_000
 MAX_SAMPLES = 20_000
 THRESHOLD = 500  # thousandths of a nat per transition
+WORD_CHARS = 8
 
 
 def spans(text: Column, kind: int, pattern: str, value: int, least: int, hint: Column) -> Column:
@@ -157,22 +163,33 @@ def labelled(found: DataFrame, docs: DataFrame, text: str = "text") -> DataFrame
     tids = smallest(texts.select("tid", F.xxhash64("t").alias("h")).distinct(), F.col("h"), TRAIN_DOCS)
     sample = texts.join(F.broadcast(tids.select("tid")), "tid", "left_semi").groupBy("tid").agg(F.first("t").alias("t"))
     words = sample.select(F.explode(F.regexp_extract_all(F.coalesce("t", F.lit("")), F.lit(WORD), 0)).alias("token"))
-    words = words.filter("token rlike '^[A-Za-z_-]{3,}$'")
+    words = words.filter("token rlike '^[A-Za-z_-]{3,}$' and not token rlike '^[A-Za-z]{16,}$'")  # these are judged
     ordinary = bounded(words).withColumn("secret", F.lit(0))
     return secret.unionByName(ordinary)
 
 
+def word_bound(samples: DataFrame, table: list[int]) -> int:
+    """The mean ratio that one in a thousand of the labelled words reaches (0 without such words)."""
+    token = F.col("token")
+    words = samples.filter((F.col("secret") == 0) & F.length(token).between(WORD_CHARS, 15))  # longer ones are candidates
+    bound = words.agg(F.percentile(score(token, table) / (F.length(token) - 1), F.lit(0.999))).first()[0]
+    return 0 if bound is None else int(bound) + 1
+
+
 def scan(docs: DataFrame, text: str = "text", doc_id: str = "doc_id", threshold: int = THRESHOLD) -> DataFrame:
     """``doc_id, base, spans``: the base spans and all spans, each sorted by start and kind."""
     found = stored(found_spans(docs, text, doc_id), "secret-found")
-    table = train(labelled(found, docs, text))
+    samples = stored(labelled(found, docs, text), "secret-samples")
+    table = train(samples)
+    plain = max(threshold, word_bound(samples, table))
     base = F.concat("assign", "access", "hex")
     rows = found.select("doc_id", "assign", "access", "hex", "candidates", F.array_sort(base).alias("base"))
 
     def random_looking(s: Column) -> Column:
         v = s["value"]
-        mixed = v.rlike("[0-9]") & v.rlike("[A-Za-z]")
-        return mixed & (score(v, table) >= threshold * (F.length(v) - 1)) & ~F.exists(
+        least = F.when(v.rlike("[0-9]"), threshold).otherwise(plain)
+        spelled = F.when(v.rlike("[0-9a-z]"), v).otherwise(F.lower(v))  # words in capitals are rare in the samples
+        return v.rlike("[A-Za-z]") & (score(spelled, table) >= least * (F.length(v) - 1)) & ~F.exists(
             F.col("base"), lambda b: (b["start"] < s["end"]) & (s["start"] < b["end"])
         )
 

@@ -67,6 +67,13 @@ def test_secret_samples_come_from_distinct_texts(spark):
     assert secret_scan.smallest(spark.range(100), F.lit(1).cast("long"), 5).count() == 5
 
 
+def test_random_runs_without_a_digit_are_found(spark):
+    texts = ["key QXZTVRKWpYHLSNDB end", "order_number_of_the_window and ---------------- 20240101123000123"]
+    texts += [r[1] for r in corpus()[:24]]
+    df = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    spans = {r[0]: r[1] for r in secret_scan.scan(df).select("doc_id", secret_scan.listed(secret_scan.F.col("spans"))).collect()}
+    assert spans.pop(0) == "markov:4:20" and not any(spans.values())
+
 
 def test_short_mailboxes_and_domains_do_not_run_out(spark):
     """1,000 two-letter mailboxes of one domain, the one-letter ones of many domains, and all one-letter domains."""

@@ -4,10 +4,12 @@ One alternation finds e-mail addresses, IPv4 addresses, card and phone
 numbers, and names after a title; ``split`` by the same pattern gives the text
 between. Every detected string is broken into entities (the parts that must
 stay distinct): a mailbox, a mail domain, an address, a digit string, a first
-name or a last name. An entity's surrogate is a keyed function of it (SHA-256
+name or a last name. A name is any number of words or initials after one or more
+titles; all but the last are first names, and an initial gets a whole name. An entity's surrogate is a keyed function of it (SHA-256
 over key, kind, value and attempt) of the same type: digits stay digits in the
 same places and separators, a card that passes the Luhn test keeps passing it,
-letters keep their script and case, a first name keeps the gender of its title.
+letters keep their script and case, a first name keeps the gender of its title
+(after Dr and Prof that of the same name after another title, if there is one).
 
 Surrogates are checked against each other and against all real entities of
 the kind; those that collide are drawn again with the next attempt, the
@@ -35,6 +37,7 @@ from spanfan.llm.common import read_table, stored
 TITLES = {
     "m": ("Mr", "Mister", "Herr", "Monsieur", "Señor", "Sr", "Господин", "Κύριος"),
     "f": ("Mrs", "Ms", "Miss", "Frau", "Madame", "Mme", "Señora", "Sra", "Госпожа", "Κυρία"),
+    "n": ("Dr", "Prof"),  # either
 }
 # first names by gender and script, last names by script
 FIRST = {
@@ -45,19 +48,21 @@ FIRST = {
     ("m", "greek"): "Αλέξης Βασίλης Γιώργος Δημήτρης Ηλίας Θωμάς Κώστας Λεωνίδας Μιχάλης Νίκος".split(),
     ("f", "greek"): "Άννα Βασιλική Γεωργία Δήμητρα Ελένη Ζωή Ιωάννα Κατερίνα Μαρία Νίκη".split(),
 }
+FIRST |= {("n", script): FIRST["m", script] + FIRST["f", script] for script in ("latin", "cyrillic", "greek")}
 LAST = {
     "latin": "Abel Becker Conti Duval Engel Fischer Garner Holt Iversen Jansen Keller Lang Moreau Novak Olsen Porter Quint Rossi Stern Weber".split(),
     "cyrillic": "Белов Волков Громов Дроздов Зимин Котов Лебедев Морозов Носов Орлов".split(),
     "greek": "Αγγέλου Βλάχος Γεωργίου Δήμου Ζήσης Καραγιάννης Λάμπρου Μακρής Νικολάου Παππάς".split(),
 }
 
-NAME = r"\p{Lu}[\p{L}'’-]+"
+NAME = r"\p{Lu}(?:[\p{L}'’-]+|\.(?:-?\p{Lu}\.)*)"  # a word, or initials
 TITLE = "|".join(t for ts in TITLES.values() for t in sorted(ts, key=len, reverse=True))
 EMAIL = r"(?<![\p{L}0-9._%+-])[\p{L}0-9._%+-]{1,64}@[\p{L}0-9-]{1,63}(?:\.[\p{L}0-9-]{1,63}){0,8}\.\p{L}{2,24}"
 IPV4 = r"(?<![0-9.])(?:[0-9]{1,3}\.){3}[0-9]{1,3}(?![0-9]|\.[0-9])"
 CARD = r"(?<![0-9])(?:[0-9]{13,19}|[0-9]{4}(?:[ -][0-9]{4}){2}[ -][0-9]{1,7})(?![0-9])"
 PHONE = r"(?<![0-9])(?:\+[0-9]{1,3}[ -]?)?(?:\([0-9]{2,4}\)[ -]?|[0-9]{2,4}[ -])[0-9]{3,4}[ -]?[0-9]{3,4}(?![0-9])"
-PERSON = rf"(?<!\p{{L}})(?:{TITLE})\.?\x20{NAME}(?:\x20{NAME})?"
+TITLED = rf"(?:(?:{TITLE})\.?\x20)+"
+PERSON = rf"(?<!\p{{L}}){TITLED}{NAME}(?:\x20{NAME})*"
 ANY = "|".join((EMAIL, IPV4, CARD, PHONE, PERSON))
 
 KINDS = (("email", EMAIL), ("ipv4", IPV4), ("card", CARD), ("phone", PHONE))
@@ -83,6 +88,16 @@ def detected(docs: DataFrame, text: str = "text") -> DataFrame:
     return rows.withColumn("kind", kind)
 
 
+def _titles(person: Column) -> Column:
+    """The titles before a name, with the blank after them."""
+    return F.regexp_extract(person, rf"\A{TITLED}(?=\p{{Lu}})", 0)
+
+
+def _names(person: Column) -> Column:
+    """The words of a name after its titles."""
+    return F.split(F.substr(person, F.length(_titles(person)) + 1), " ")
+
+
 def parts(found: DataFrame) -> DataFrame:
     """Adds ``parts``: ``array<struct<role, value>>``, the entities of a match in order."""
     f = F.col("found")
@@ -90,17 +105,19 @@ def parts(found: DataFrame) -> DataFrame:
     def part(role: Column | str, value: Column) -> Column:
         return F.struct((F.lit(role) if isinstance(role, str) else role).alias("role"), value.alias("value"))
 
-    words = F.split(f, " ")
-    title = F.regexp_replace(words[0], r"\.$", "")
-    gender = F.when(title.isin(*TITLES["f"]), "f").otherwise("m")
-    last = F.element_at(words, -1)
-    person = F.when(
-        F.size(words) > 2,
-        F.array(
-            part(F.concat(F.lit("first-"), gender, F.lit("-"), script_of(words[1])), F.lower(words[1])),
-            part(F.concat(F.lit("last-"), script_of(last)), F.lower(last)),
+    words = _names(f)
+    titles = F.transform(F.split(F.trim(_titles(f)), " "), lambda t: F.regexp_replace(t, r"\.$", ""))
+    has = {g: F.arrays_overlap(titles, F.array(*[F.lit(t) for t in TITLES[g]])) for g in "mf"}
+    gender = F.when(has["f"], "f").when(has["m"], "m").otherwise("n")
+    person = F.transform(
+        words,
+        lambda w, i: part(
+            F.when(i == F.size(words) - 1, F.concat(F.lit("last-"), script_of(w))).otherwise(
+                F.concat(F.lit("first-"), gender, F.lit("-"), script_of(w))
+            ),
+            F.lower(w),
         ),
-    ).otherwise(F.array(part(F.concat(F.lit("last-"), script_of(last)), F.lower(last))))
+    )
     mail = F.split(F.lower(f), "@")
     luhn = F.when(luhn_ok(_digits(f)), "card-luhn").otherwise("card")
     return found.withColumn(
@@ -205,7 +222,7 @@ def _space(role: Column, value: Column) -> Column:
     mapping as before it, and from all real ones, so that a mailbox is only
     compared with others of its domain."""
     mailbox = F.concat(role, F.lit("@"), F.element_at(F.split(value, "@"), -1))
-    return F.when(role == "mailbox", mailbox).otherwise(F.regexp_replace(role, "-luhn$", ""))
+    return F.when(role == "mailbox", mailbox).otherwise(F.regexp_replace(F.regexp_replace(role, "-luhn$", ""), "^first-[mfn]-", "first-"))
 
 
 def mapping(entities: DataFrame, key: str = DEFAULT_KEY, max_attempts: int = 64) -> DataFrame:
@@ -242,15 +259,16 @@ def replacements(found: DataFrame, key: str = DEFAULT_KEY) -> DataFrame:
     """``found, kind, replacement`` for every distinct detected string."""
     strings = stored(parts(found.select("found", "kind").distinct()), "pii-strings")
     each = strings.select("found", "kind", F.posexplode("parts").alias("nth", "p")).select("found", "kind", "nth", "p.*")
+    # after a title of either gender: the entity of the gendered title, where there is one
+    plain = F.regexp_replace("role", "^first-[mf]-", "first-n-")
+    known = each.filter("role rlike '^first-[mf]-'").groupBy(plain.alias("role"), "value").agg(F.max("role").alias("known"))
+    each = each.join(known, ["role", "value"], "left").withColumn("role", F.coalesce("known", "role")).drop("known")
     names = mapping(each.select("role", "value"), key)
     back = each.join(names, ["role", "value"]).groupBy("found", "kind").agg(
         F.transform(F.array_sort(F.collect_list(F.struct("nth", "surrogate"))), lambda x: x["surrogate"]).alias("s")
-    )  # at most two parts
+    )  # the parts of one string
     f, s = F.col("found"), F.col("s")
-    words = F.split(f, " ")
-    person = F.when(
-        F.size(s) > 1, F.concat_ws(" ", words[0], _name(words[1], s[0]), _name(words[2], s[1]))
-    ).otherwise(F.concat_ws(" ", words[0], _name(words[1], s[0])))
+    person = F.concat(_titles(f), F.array_join(F.zip_with(_names(f), s, _name), " "), F.when(f.endswith("."), ".").otherwise(""))
     mail = F.concat(s[0], F.lit("@"), F.element_at(s, -1))
     new = (
         F.when(F.col("kind") == "email", F.when(F.upper(f) == f, F.upper(mail)).otherwise(mail))
@@ -263,7 +281,7 @@ def replacements(found: DataFrame, key: str = DEFAULT_KEY) -> DataFrame:
 
 def _name(original: Column, new: Column) -> Column:
     spelled = F.array_join(F.transform(F.split(new, "-"), lambda x: F.initcap(x)), "-")
-    return F.when((F.upper(original) == original) & (F.length(original) > 1), F.upper(new)).otherwise(spelled)
+    return F.when((F.upper(original) == original) & (F.length(original) > 1) & ~original.contains("."), F.upper(new)).otherwise(spelled)
 
 
 def pseudonymise(docs: DataFrame, text: str = "text", key: str = DEFAULT_KEY) -> DataFrame:

@@ -84,3 +84,19 @@ def test_short_mailboxes_and_domains_do_not_run_out(spark):
     new = [(r["role"], r["value"].split("@")[-1] if r["role"] == "mailbox" else "", r["surrogate"]) for r in got]
     assert len(got) == len(rows) == len(set(new))
     assert not {x[2] for x in new if x[1] == "one.org"} & {v.split("@")[0] for _, v in rows if v.endswith("@one.org")}
+
+
+def test_names_of_any_length(spark):
+    texts = [
+        "Mr. John Ronald Smith met Mr. Smith and Mr. J. R. Smith. Then", "Dr. Anna-Maria Vance saw Mrs. Anna-Maria Vance.",
+        "Herr Dr. Vance and Prof. Vance left with Mr. K.", "Mr. JOHN SMITH",
+    ]
+    df = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    got = {r["doc_id"]: r["text"] for r in pii_surrogates.pseudonymise(df).collect()}
+    w = r"([A-Z][\w-]*)"
+    one = re.fullmatch(rf"Mr\. {w} {w} {w} met Mr\. {w} and Mr\. {w} {w} {w}\. Then", got[0])
+    two = re.fullmatch(rf"Dr\. {w} {w} saw Mrs\. {w} {w}\.", got[1])
+    three = re.fullmatch(rf"Herr Dr\. {w} and Prof\. {w} left with Mr\. {w}\.", got[2])
+    assert one and one[3] == one[4] == one[7] and two.group(1, 2) == two.group(3, 4) and three[1] == three[2] == two[2]
+    assert got[3] == f"Mr. {one[1].upper()} {one[3].upper()}"
+    assert not re.search("John|Ronald|Smith|J\\.|R\\.|Anna|Vance|K\\.", " ".join(got.values()))

@@ -7,6 +7,8 @@ with at most *k* edits leaves one piece untouched, so every occurrence has an
 exact piece hit at its place. All pieces of a block of items are found in one
 pass with an Aho-Corasick automaton; around each hit, Myers' bit-parallel
 algorithm gives the smallest edit distance between the item and any substring.
+An item too short for an edit (under 20 characters at 5 %) occurs as whole words only:
+"yes" is not in "eyes", but in every text with the word "yes".
 
 The benchmark is the stated query set: it is read in blocks of at most
 ``BLOCK_CHARS`` characters, each block is broadcast (so its size is bounded)
@@ -111,6 +113,11 @@ class Matcher:
         out = []
         for i, own in windows.items():
             item_id, item, k, peq = self.items[i]
+            if k == 0:  # a short item: whole words only
+                at = f" {text} ".find(f" {item} ")
+                if at >= 0:
+                    out.append((item_id, 0, at + len(item)))
+                continue
             best = min((d, lo + at) for lo, hi in own for d, at in [myers(peq, len(item), text[lo:hi])])
             if best[0] <= k:
                 out.append((item_id, *best))

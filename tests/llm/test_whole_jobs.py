@@ -8,7 +8,7 @@ import numpy as np
 import pyarrow as pa
 from corpus import components, corpus
 
-from spanfan.llm import line_dedup, pii_surrogates, secret_scan
+from spanfan.llm import decontaminate, line_dedup, pii_surrogates, secret_scan
 
 
 def grams(line: str) -> frozenset:
@@ -100,3 +100,9 @@ def test_names_of_any_length(spark):
     assert one and one[3] == one[4] == one[7] and two.group(1, 2) == two.group(3, 4) and three[1] == three[2] == two[2]
     assert got[3] == f"Mr. {one[1].upper()} {one[3].upper()}"
     assert not re.search("John|Ronald|Smith|J\\.|R\\.|Anna|Vance|K\\.", " ".join(got.values()))
+
+
+def test_short_items_match_whole_words():
+    find = decontaminate.Matcher([(1, "Yes"), (2, "a test")])
+    assert find("eyes of a testing day") == [] and find("eyesyes yes") == [(1, 0, 11)]
+    assert sorted(find("yes a test")) == [(1, 0, 3), (2, 0, 10)]

@@ -2,7 +2,19 @@
 
 from __future__ import annotations
 
-from spanfan.llm import chat_format, decontaminate, line_dedup, minhash_near, packing, pii_surrogates, quality_rules, secret_scan, sharding, suffix_dedup
+from spanfan.llm import (
+    chat_format,
+    decontaminate,
+    line_dedup,
+    minhash_near,
+    packing,
+    periodic_runs,
+    pii_surrogates,
+    quality_rules,
+    secret_scan,
+    sharding,
+    suffix_dedup,
+)
 
 QUERIES = {
     "op1_quality_rules": quality_rules.op1_quality_rules,
@@ -15,6 +27,7 @@ QUERIES = {
     "op8_chat_format": chat_format.op8_chat_format,
     "op9_decontaminate": decontaminate.op9_decontaminate,
     "op10_suffix_dedup": suffix_dedup.op10_suffix_dedup,
+    "op13_periodic_runs": periodic_runs.op13_periodic_runs,
 }
 
 SQL = {

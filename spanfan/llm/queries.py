@@ -7,6 +7,7 @@ from spanfan.llm import (
     decontaminate,
     line_dedup,
     minhash_near,
+    neighbours,
     packing,
     periodic_runs,
     pii_surrogates,
@@ -14,6 +15,7 @@ from spanfan.llm import (
     secret_scan,
     sharding,
     suffix_dedup,
+    whitening,
 )
 
 QUERIES = {
@@ -27,6 +29,8 @@ QUERIES = {
     "op8_chat_format": chat_format.op8_chat_format,
     "op9_decontaminate": decontaminate.op9_decontaminate,
     "op10_suffix_dedup": suffix_dedup.op10_suffix_dedup,
+    "op11_neighbours": neighbours.op11_neighbours,
+    "op12_whitening": whitening.op12_whitening,
     "op13_periodic_runs": periodic_runs.op13_periodic_runs,
 }
 

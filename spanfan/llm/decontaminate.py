@@ -28,7 +28,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from spanfan.llm.common import read_table, slices, text_column
+from spanfan.llm.common import read_table, slices, stored, text_column
 
 PERCENT = 5
 BLOCK_CHARS = 8_000_000
@@ -142,8 +142,10 @@ def matches(docs: DataFrame, benchmark: DataFrame, text: str = "text", doc_id: s
     that holds an item within its error budget."""
     schema = "doc_id long, item_id long, n_edits long, end_char long"
     rows = docs.select(F.col(doc_id).cast("long").alias("doc_id"), F.col(text).alias("text"))
-    spark, out = docs.sparkSession, None
-    for block in blocks(benchmark):
+    spark, out, parts = docs.sparkSession, None, blocks(benchmark)
+    block = next(parts, None)
+    while block is not None:
+        after = next(parts, None)
         shared = spark.sparkContext.broadcast(block)
 
         def run(batches: Iterator[pa.RecordBatch], shared=shared) -> Iterator[pa.RecordBatch]:
@@ -159,23 +161,35 @@ def matches(docs: DataFrame, benchmark: DataFrame, text: str = "text", doc_id: s
                     yield pa.RecordBatch.from_arrays(cols, names=["doc_id", "item_id", "n_edits", "end_char"])
 
         part = rows.mapInArrow(run, schema)
+        if out is not None or after is not None:  # of many blocks, one at a time is held
+            part = stored(part, "decontaminate-matches")
+            shared.destroy()
         out = part if out is None else out.unionByName(part)
+        block = after
     return out if out is not None else spark.createDataFrame([], schema)
 
 
 def clean(docs: DataFrame, benchmark: DataFrame, text: str = "text") -> DataFrame:
     """The documents that hold no item, with their own columns."""
     position = docs.columns.index(text)
-    for block in blocks(benchmark):
+    parts = blocks(benchmark)
+    block, first = next(parts, None), True
+    while block is not None:
+        after = next(parts, None)
         shared = docs.sparkSession.sparkContext.broadcast(block)
 
         def run(batches: Iterator[pa.RecordBatch], shared=shared) -> Iterator[pa.RecordBatch]:
             matcher = Matcher(shared.value)
             for batch in batches:
-                texts = batch.column(position).to_pylist()
-                yield batch.filter(pa.array([not matcher(normalise(t)) for t in texts], pa.bool_()))
+                texts = pa.RecordBatch.from_arrays([batch.column(position)], names=["text"])
+                free = [not matcher(normalise(t)) for part in slices([texts]) for t in text_column(part).to_pylist()]
+                yield batch.filter(pa.array(free, pa.bool_()))
 
         docs = docs.mapInArrow(run, docs.schema)
+        if not first or after is not None:
+            docs = stored(docs, "decontaminate-clean")
+            shared.destroy()
+        block, first = after, False
     return docs
 
 

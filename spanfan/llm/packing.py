@@ -22,7 +22,10 @@ table gives no rows; other columns are not read.
 from __future__ import annotations
 
 import os
+import re
 import struct
+import sys
+import types
 from collections.abc import Iterator
 
 import numpy as np
@@ -52,53 +55,96 @@ class Tokens:
     The tokenizer drops white space and never joins across it, so ids are
     kept per run between blanks and line ends. A new run whose characters are all
     in Latin-1 is looked up in lower case and without one mark at its end
-    (the tokenizer lowers case and parts letters from marks itself). The kept
-    ids stay with the worker process from task to task; beyond ``max_words`` runs
-    they start anew. Results do not depend on what is kept.
+    (the tokenizer lowers case and parts letters from marks itself). Runs of
+    ASCII letters are encoded many at a time, joined by blanks: each is one
+    word of the tokenizer, whose last token ends a word, and its normal form
+    and byte form are its own, so only the tokenizer's model is applied.
+
+    The kept ids stay with the worker process from task to task, in a module of their
+    own; beyond ``max_bytes`` (their own size with Python's overhead, as estimated by ``COST``)
+    or ``max_words`` runs they start anew. Results do not depend on what is kept.
     """
 
     MARKS = ".,;:!?"
+    MARKED = re.compile(r"(?<=[^\W\d_])[.,;:!?](?=\n)")
+    AT_ONCE = 4096
+    COST = 150  # bytes of one entry beside its characters and ids: two object heads and a dict slot
 
-    def __init__(self, path: str, max_words: int = 800_000):
+    def __init__(self, path: str, max_words: int = 400_000, max_bytes: int = 64 << 20):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
+        holder = sys.modules.setdefault("spanfan_kept_token_ids", types.ModuleType("spanfan_kept_token_ids"))
+        kept = holder.__dict__.setdefault("by_path", {})  # outlives the task: this package travels by value
+        if path not in kept:
+            kept[path] = *self._open(path), {"": b""}, [0]
+        self.tokenizer, self.letters, self.ends, self.known, self.bytes = kept[path]
+        self.max_words, self.max_bytes = max_words, max_bytes
+
+    @staticmethod
+    def _open(path: str):
+        """The tokenizer, its model alone behind a split at blanks, and which ids end a word."""
         import tokenizers
 
-        kept = tokenizers.__dict__.setdefault("_kept_ids", {})  # outlives the task
-        if path not in kept:
-            kept[path] = (tokenizers.Tokenizer.from_file(path), {"": b""}, {})
-        self.tokenizer, self.known, self.stems = kept[path]
-        self.max_words = max_words
-
-    def _stem(self, word: str) -> tuple[str, str]:
-        try:
-            word.encode("latin-1")
-        except UnicodeEncodeError:
-            return word, ""
-        if "<|" in word:
-            return word, ""
-        if len(word) > 1 and word[-1] in self.MARKS and word[-2].isalpha():
-            return word[:-1].lower(), word[-1]
-        return word.lower(), ""
-
-    def _learn(self, new: set[str]) -> None:
-        cut = {w: self._stem(w) for w in new}
-        ask = list({s for s, _ in cut.values() if s not in self.stems} | {m for m in self.MARKS if m not in self.stems})
-        for w, e in zip(ask, self.tokenizer.encode_batch_fast(ask, add_special_tokens=False)):
-            self.stems[w] = struct.pack(f"<{len(e.ids)}I", *e.ids)
-        for w, (stem, mark) in cut.items():
-            self.known[w] = self.stems[stem] + self.stems[mark] if mark else self.stems[stem]
+        whole = tokenizers.Tokenizer.from_file(path)
+        letters = tokenizers.Tokenizer(whole.model)
+        letters.pre_tokenizer = tokenizers.pre_tokenizers.WhitespaceSplit()
+        ends = np.zeros(whole.get_vocab_size(), dtype=bool)
+        suffix = whole.model.end_of_word_suffix
+        if suffix:
+            ends[[i for t, i in whole.get_vocab().items() if t.endswith(suffix)]] = True
+        return whole, letters, ends
+
+    def _keep(self, words: list[str], ids: list[bytes]) -> None:
+        self.known.update(zip(words, ids))
+        self.bytes[0] += self.COST * len(words) + sum(map(len, words)) + sum(map(len, ids))
+
+    def _one_by_one(self, words: list[str]) -> None:
+        encoded = self.tokenizer.encode_batch_fast(words, add_special_tokens=False)
+        self._keep(words, [struct.pack(f"<{len(e.ids)}I", *e.ids) for e in encoded])
+
+    def _joined(self, words: list[str]) -> None:
+        """Words of ASCII letters in lower case."""
+        for at in range(0, len(words), self.AT_ONCE):
+            some = words[at : at + self.AT_ONCE]
+            ids = np.array(self.letters.encode_batch_fast([" ".join(some)], add_special_tokens=False)[0].ids, dtype="<u4")
+            cuts = 4 * np.flatnonzero(self.ends[ids]) + 4
+            if len(cuts) != len(some):  # a tokenizer without word ends
+                self._one_by_one(some)
+                continue
+            raw, stops = ids.tobytes(), cuts.tolist()
+            self._keep(some, [raw[a:b] for a, b in zip([0, *stops], stops)])
+
+    def _learn(self, new: list[str]) -> None:
+        """Runs that are not known yet."""
+        text = "\n".join(new)
+        if not text.isascii() or "<|" in text:
+            plain, rest = [], []
+            for w in new:
+                (rest if "<|" in w or max(w) > "\xff" else plain).append(w)
+            if rest:
+                self._one_by_one(rest)
+            new, text = plain, "\n".join(plain)
+        if not new:
+            return
+        low = text.lower() + "\n"
+        stems, low = self.MARKED.sub("", low).split("\n")[:-1], low.split("\n")[:-1]
+        ask = set(stems).union(self.MARKS).difference(self.known)
+        joined = [s for s in ask if s.isascii() and s.isalpha()]
+        self._joined(joined)
+        self._one_by_one(list(ask.difference(joined)))
+        known = self.known
+        other = [(w, known[s] if s == x else known[s] + known[x[-1]]) for w, s, x in zip(new, stems, low) if w not in known]
+        self._keep([w for w, _ in other], [ids for _, ids in other])
 
     def __call__(self, texts: list[str]) -> list[bytes]:
         cut = [t.replace("\n", " ").split(" ") for t in texts]
         words = set().union(*cut)
         new = words.difference(self.known)
         if new:
-            if len(self.known) > self.max_words:
+            if len(self.known) > self.max_words or self.bytes[0] > self.max_bytes:
                 self.known.clear()
-                self.stems.clear()
-                self.known[""] = b""
+                self.known[""], self.bytes[0] = b"", 0
                 new = words.difference(self.known)
-            self._learn(new)
+            self._learn(list(new))
         get = self.known.__getitem__
         return [b"".join(map(get, words)) for words in cut]
 

@@ -185,6 +185,24 @@ def test_tokens_equal_the_tokenizer():
         assert own(part) == [np.array(tok.encode(t, add_special_tokens=False).ids, dtype="<u4").tobytes() for t in part]
 
 
+def test_kept_token_ids_stay_below_their_bound():
+    """Many different words in small parts: the kept ids start anew, with the same results."""
+    from tokenizers import Tokenizer
+
+    path = packing.tokenizer_path()
+    tok, own = Tokenizer.from_file(path), packing.Tokens(path, max_bytes=100_000)
+    rnd = np.random.default_rng(2)
+    letters = np.array(list("abcdefghijklmnoABC.'é-7"))
+    sizes = []
+    for _ in range(40):
+        texts = [" ".join("".join(rnd.choice(letters, rnd.integers(1, 9))) for _ in range(60)) for _ in range(4)]
+        assert own(texts) == [np.array(tok.encode(t, add_special_tokens=False).ids, dtype="<u4").tobytes() for t in texts]
+        sizes.append(own.bytes[0])
+        part = sum(len(w) + len(ids) + own.COST for w, ids in own.known.items())
+        assert abs(part - own.bytes[0]) < 1000
+    assert max(sizes) < 100_000 + 4 * 60 * 2 * 250 and min(sizes[1:]) < max(sizes)  # one part beyond the bound at most
+
+
 def test_sum_of_squares_choice():
     p = packing.SumOfSquares(capacity=10)
     p.levels[[3, 6, 7]] = [1, 3, 2]

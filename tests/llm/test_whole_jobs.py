@@ -106,3 +106,14 @@ def test_short_items_match_whole_words():
     find = decontaminate.Matcher([(1, "Yes"), (2, "a test")])
     assert find("eyes of a testing day") == [] and find("eyesyes yes") == [(1, 0, 11)]
     assert sorted(find("yes a test")) == [(1, 0, 3), (2, 0, 10)]
+
+
+def test_blocks_of_items_give_what_one_block_gives(spark, monkeypatch):
+    docs = spark.createDataFrame([(i, r[1]) for i, r in enumerate(corpus()[:30])], "doc_id long, text string")
+    items = [(i, " ".join((t or "").split()[:12])) for i, t in [(0, corpus()[0][1]), (1, corpus()[7][1]), (2, corpus()[12][1]), (3, None)]]
+    benchmark = spark.createDataFrame(items, "item_id long, text string").coalesce(1)
+    whole = sorted(decontaminate.matches(docs, benchmark).collect()), sorted(decontaminate.clean(docs, benchmark).collect())
+    assert len({r["item_id"] for r in whole[0]}) == 3 and len(whole[1]) < 30
+    monkeypatch.setattr(decontaminate.blocks, "__defaults__", ("item_id", "text", 40))
+    assert len(list(decontaminate.blocks(benchmark))) >= 3
+    assert (sorted(decontaminate.matches(docs, benchmark).collect()), sorted(decontaminate.clean(docs, benchmark).collect())) == whole

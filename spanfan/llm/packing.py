@@ -54,19 +54,19 @@ class Tokens:
 
     The tokenizer drops white space and never joins across it, so ids are
     kept per run between blanks and line ends. A new run whose characters are all
-    in Latin-1 is looked up in lower case and without one mark at its end
-    (the tokenizer lowers case and parts letters from marks itself). Runs of
-    ASCII letters are encoded many at a time, joined by blanks: each is one
-    word of the tokenizer, whose last token ends a word, and its normal form
-    and byte form are its own, so only the tokenizer's model is applied.
+    in Latin-1 is looked up in lower case and without the marks at its end
+    (the tokenizer lowers case and parts letters from marks itself). Those of
+    letters only are encoded many at a time, joined by blanks: each is one
+    word of the tokenizer, whose last token ends a word, and is in normal form
+    already, so only the tokenizer's byte form and model are applied.
 
     The kept ids stay with the worker process from task to task, in a module of their
     own; beyond ``max_bytes`` (their own size with Python's overhead, as estimated by ``COST``)
     or ``max_words`` runs they start anew. Results do not depend on what is kept.
     """
 
-    MARKS = ".,;:!?"
-    MARKED = re.compile(r"(?<=[^\W\d_])[.,;:!?](?=\n)")
+    MARKS = re.compile(r"(?<=[^\W\d_])[!-/:-@\[-`{-~]+(?=\n)")  # ASCII marks after a letter, at the end
+    OTHER = re.compile(r"[^\n]*(?:[^\x00-\xff]|<\|)[^\n]*")  # runs beyond Latin-1 or with what may be a special token
     AT_ONCE = 4096
     COST = 150  # bytes of one entry beside its characters and ids: two object heads and a dict slot
 
@@ -86,7 +86,8 @@ class Tokens:
 
         whole = tokenizers.Tokenizer.from_file(path)
         letters = tokenizers.Tokenizer(whole.model)
-        letters.pre_tokenizer = tokenizers.pre_tokenizers.WhitespaceSplit()
+        split = tokenizers.pre_tokenizers
+        letters.pre_tokenizer = split.Sequence([split.WhitespaceSplit(), split.ByteLevel(add_prefix_space=False, use_regex=False)])
         ends = np.zeros(whole.get_vocab_size(), dtype=bool)
         suffix = whole.model.end_of_word_suffix
         if suffix:
@@ -102,7 +103,7 @@ class Tokens:
         self._keep(words, [struct.pack(f"<{len(e.ids)}I", *e.ids) for e in encoded])
 
     def _joined(self, words: list[str]) -> None:
-        """Words of ASCII letters in lower case."""
+        """Words of Latin-1 letters in lower case."""
         for at in range(0, len(words), self.AT_ONCE):
             some = words[at : at + self.AT_ONCE]
             ids = np.array(self.letters.encode_batch_fast([" ".join(some)], add_special_tokens=False)[0].ids, dtype="<u4")
@@ -116,24 +117,22 @@ class Tokens:
     def _learn(self, new: list[str]) -> None:
         """Runs that are not known yet."""
         text = "\n".join(new)
-        if not text.isascii() or "<|" in text:
-            plain, rest = [], []
-            for w in new:
-                (rest if "<|" in w or max(w) > "\xff" else plain).append(w)
-            if rest:
-                self._one_by_one(rest)
-            new, text = plain, "\n".join(plain)
+        rest = set(self.OTHER.findall(text))
+        if rest:
+            self._one_by_one(list(rest))
+            new = list(set(new).difference(rest))
+            text = "\n".join(new)
         if not new:
             return
         low = text.lower() + "\n"
-        stems, low = self.MARKED.sub("", low).split("\n")[:-1], low.split("\n")[:-1]
-        ask = set(stems).union(self.MARKS).difference(self.known)
-        joined = [s for s in ask if s.isascii() and s.isalpha()]
+        marks, known = self.MARKS.findall(low), self.known
+        stems, low = self.MARKS.sub("", low).split("\n")[:-1], low.split("\n")[:-1]
+        ask = set(stems).union(marks).difference(known)
+        joined = [s for s in ask if s.isalpha()]
         self._joined(joined)
         self._one_by_one(list(ask.difference(joined)))
-        known = self.known
-        other = [(w, known[s] if s == x else known[s] + known[x[-1]]) for w, s, x in zip(new, stems, low) if w not in known]
-        self._keep([w for w, _ in other], [ids for _, ids in other])
+        ids = {w: known[s] + known[x[len(s) :]] for w, s, x in zip(new, stems, low) if w not in known}
+        self._keep(list(ids), list(ids.values()))
 
     def __call__(self, texts: list[str]) -> list[bytes]:
         cut = [t.replace("\n", " ").split(" ") for t in texts]

@@ -179,7 +179,7 @@ def test_tokens_equal_the_tokenizer():
     tok, own = Tokenizer.from_file(path), packing.Tokens(path, max_words=40)
     texts = [r[1] or "" for r in corpus()] + [
         "ΑΣ ΣΑΣ. İX, <|ENDOFTEXT|> <|endoftext|>a b<|endoftext|>. don't DON'T. É. é ﬁ, x́. ..a a.. µ. 5. x5. ª. ×.",
-        "a\x1cb a\x85b a\xa0b \x0b.\t, A.B. C!? 'S 'll. <|startoftext|>,", "\n", "  a  ",
+        "a's. a'. b'' c_ d__. e\\ f`~ g<| h<|x don't' x'll. é'S! --- -a- (a) [b]. ß$$$ ñ%%%, 7$$$ x7$ x'", "a\x1cb a\x85b a\xa0b \x0b.\t, A.B. C!? 'S 'll. <|startoftext|>,", "\n", "  a  ",
     ]
     for part in (texts[:20], texts[20:], texts[::-1]):
         assert own(part) == [np.array(tok.encode(t, add_special_tokens=False).ids, dtype="<u4").tobytes() for t in part]

@@ -12,6 +12,7 @@ from ..config import CURVE, HORIZON_DAYS, M3_TO_KWH, RANGE, RELEVANCE, CurveCols
 from ..functions.dates import as_date, day_of_hour
 from ..operators.allocate import build_window
 from ..sources.target import Target
+from .increment import fold
 
 
 def year_windows(years: Iterable[int]) -> list[tuple[str, str]]:
@@ -57,7 +58,14 @@ def load_history(
     is visible when it is done: partitions of its months that get no rows are
     removed, and in a month that it covers in part the stored rows of the other
     days are carried over. So windows may end on any day and be repeated.
-    ``zone`` is the zone of the curve's days."""
+    ``zone`` is the zone of the curve's days. Delta batches are folded first, or
+    dropped after a load of everything. That load, and the first of all, store the curve with the table."""
+    if factor != target.factor:
+        raise ValueError(f"the table has the factor {target.factor}, not {factor}")
+    if windows is not None:
+        fold(target, 0.0)
+        if target.curve() is None:
+            target.put_curve(curve)
     for lo, hi in windows or [(None, None)]:
         rows = build_window(ranges, curve, lo, hi, policy, strategy, as_of, horizon_days, relevance, factor, cols, cc,
                             n_buckets=target.n_buckets)
@@ -73,8 +81,12 @@ def load_history(
                 outside = outside | (day > as_date(hi))
             months = [(F.col("supply_year") == y) & (F.col("supply_month") == m) for y, m in edges]
             in_edge = months[0] if len(months) == 1 else months[0] | months[1]
-            rows = rows.unionByName(target.read(with_bucket=True).filter(in_edge & outside))
+            rows = rows.unionByName(target.read_base(with_bucket=True).filter(in_edge & outside))
         target.replace(rows, touched)
+    if windows is None:
+        target.put_curve(curve)
+        for n in target.batches():
+            target.remove(f"{target.delta_path}/batch={n}")
 
 
 def reload(target: Target, ranges: DataFrame, curve: DataFrame, **kw) -> None:

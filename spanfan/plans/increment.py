@@ -1,5 +1,13 @@
 """Increment: rebuild changed entities (X6) and merge them into a ``Target``
-with retraction (M1), idempotently."""
+with retraction (M1), idempotently.
+
+Two ways to the same rows:
+
+* ``append_increment`` writes a delta batch: the changed keys and their current
+  segments. Its cost follows the change (the ranges are scanned once, nothing of the target is read); readers
+  merge. ``fold`` later writes the buckets whose delta has grown to a share of their base.
+* ``apply_increment`` rewrites the touched partitions of the base at once.
+"""
 
 from __future__ import annotations
 
@@ -10,13 +18,17 @@ from pyspark.sql import functions as F
 
 from ..config import CURVE, HORIZON_DAYS, M3_TO_KWH, RANGE, RELEVANCE, CurveCols, RangeCols
 from ..functions.predicates import relevant
-from ..operators.allocate import build_window
+from ..operators.allocate import build_window, latest_spans
 from ..operators.ranges import month_pieces
 from ..session import remove_dir, work_dir
-from ..sources.target import PART_COLS, Partition, Target, key_bucket
+from ..sources.target import PART_COLS, SEGMENT_COLS, SEGMENT_TYPES, Partition, Target, key_bucket
 
 # keys (one string and one int each) that may be broadcast, about 10 MB
 KEYS_BROADCAST_MAX_ROWS = 100_000
+# the same bound for keys in Parquet files, whose size is known without a job
+KEYS_BROADCAST_MAX_BYTES = 4 << 20
+# share of a bucket's base rows that its delta may stand for before it is folded
+FOLD_SHARE = 0.1
 
 
 def scoped_ranges(ranges: DataFrame, keys: DataFrame, relevance: Iterable[tuple[str, str]] | None = RELEVANCE,
@@ -57,7 +69,7 @@ def affected_partitions(target: Target, keys: DataFrame, scoped: DataFrame, buck
     """Partitions with an old row of ``keys`` (key column of their buckets only)
     or a month piece of their current ranges. At most one row per partition
     of these buckets reaches the driver."""
-    old = target.read(buckets=buckets, with_bucket=True).join(keys, ["key_bucket", cols.key], "left_semi")
+    old = target.read_base(buckets=buckets, with_bucket=True).join(keys, ["key_bucket", cols.key], "left_semi")
     new = month_pieces(scoped, cols, None, None, as_of, horizon_days, keep=[cols.key]).withColumn(
         "key_bucket", key_bucket(cols.key, target.n_buckets)
     )
@@ -89,6 +101,7 @@ def apply_increment(
     are replaced, and a partition left without rows is removed. Applying the
     same keys again gives the same table."""
     spark, key = target.spark, cols.key
+    fold(target, 0.0)
     scratch = work_dir(spark, "increment")
     keys.select(key).filter(F.col(key).isNotNull()).distinct().withColumn(
         "key_bucket", key_bucket(key, target.n_buckets)
@@ -105,8 +118,102 @@ def apply_increment(
     if affected:
         # bounded by the partitions of the buckets
         parts = F.broadcast(spark.createDataFrame(affected, ", ".join(f"{c} int" for c in PART_COLS)))
-        old = target.read(years={p[1] for p in affected}, buckets=buckets, with_bucket=True)
+        old = target.read_base(years={p[1] for p in affected}, buckets=buckets, with_bucket=True)
         carried = old.join(parts, PART_COLS, "left_semi").join(k, ["key_bucket", key], "left_anti")
         rows = carried.unionByName(rows).repartition(*PART_COLS)
     target.replace(rows, affected)
     remove_dir(spark, scratch)
+
+
+def append_increment(
+    target: Target,
+    ranges: DataFrame,
+    keys: DataFrame,
+    curve: DataFrame | None = None,
+    policy: str = "per_day",
+    as_of=None,
+    horizon_days: int | None = HORIZON_DAYS,
+    relevance: Iterable[tuple[str, str]] | None = RELEVANCE,
+    cols: RangeCols = RANGE,
+) -> int:
+    """Write the changed ``keys`` and their current segments as a delta batch; returns its number.
+
+    A key without a current relevant record has its marker only, which retracts it. The same
+    keys again give a newer batch with the same rows. The hours follow the curve stored with the
+    table; ``curve`` (optional) must be that one: another is a change of the second input
+    (``plans.curve_change``), which concerns all keys."""
+    spark, key = target.spark, cols.key
+    if curve is not None and not target.has_curve(curve):
+        if target.curve() is not None:
+            raise ValueError("the curve differs from the table's: apply it with plans.curve_change.apply_curve first")
+        target.put_curve(curve)
+    if target.curve() is None:
+        raise ValueError("the table has no stored curve: load its history first")
+    scratch = work_dir(spark, "increment")
+    keys.select(key).filter(F.col(key).isNotNull()).distinct().withColumn(
+        "key_bucket", key_bucket(key, target.n_buckets)
+    ).write.parquet(f"{scratch}/keys")
+    k = spark.read.schema(f"{key} string, key_bucket int").parquet(f"{scratch}/keys")
+    if target.bytes_of(f"{scratch}/keys") <= KEYS_BROADCAST_MAX_BYTES:
+        k = F.broadcast(k)
+    spans, sf, st = latest_spans(scoped_ranges(ranges, k, relevance, cols), policy, cols, None, None, as_of, horizon_days, target.n_buckets)
+    batch = target.append_delta(_markers(k, cols).unionByName(_segments(spans, sf, st, cols)))
+    remove_dir(spark, scratch)
+    return batch
+
+
+def _segments(spans: DataFrame, sf: str, st: str, cols: RangeCols) -> DataFrame:
+    named = spans.withColumnsRenamed({sf: "seg_from", st: "seg_to"})
+    return named.select("key_bucket", cols.key, *SEGMENT_COLS)
+
+
+def _markers(keys: DataFrame, cols: RangeCols) -> DataFrame:
+    nulls = [F.lit(None).cast(t).alias(c) for c, t in SEGMENT_TYPES.items()]
+    return keys.select("key_bucket", cols.key, *nulls)
+
+
+def fold(target: Target, share: float = FOLD_SHARE, cols: RangeCols = RANGE) -> list[int]:
+    """Write the delta of those buckets into the base in which it stands for at least ``share`` of the base
+    rows (an estimate: 24 hours a day, a month for a retracted key); returns the buckets.
+
+    Partitions with an old row of a changed key or with a segment of one are written anew. Rows of other
+    keys are carried over where they lie: only the new rows are shuffled. The batches' folders of a bucket are removed last, so a
+    reader, or a repeat after a failure, sees the same rows at any time."""
+    delta = target.delta()
+    if delta is None:
+        return []
+    spark, key, batches = target.spark, cols.key, target.batches()
+    marks, segments = target.newest(delta)
+    days = F.sum(F.datediff("seg_to", "seg_from") + 1)
+    hours = (
+        marks.join(segments.groupBy("key_bucket", key).agg((24 * days).alias("hours")), ["key_bucket", key], "left")
+        .groupBy("key_bucket").agg(F.sum(F.coalesce("hours", F.lit(24 * 30))).alias("hours"))
+    )
+    base = target.read_base(with_bucket=True).groupBy("key_bucket").agg(F.count(F.lit(1)).alias("rows"))
+    due = hours.join(base, "key_bucket", "left").filter(F.col("hours") >= share * F.coalesce("rows", F.lit(0)))
+    buckets = sorted(r[0] for r in due.select("key_bucket").collect())  # at most n_buckets
+    if not buckets:
+        return []
+    scratch = work_dir(spark, "fold")
+    mine = F.col("key_bucket").isin(buckets)
+    marks.filter(mine).select("key_bucket", key).write.parquet(f"{scratch}/keys")
+    segments.filter(mine).write.parquet(f"{scratch}/segments")
+    k = spark.read.parquet(f"{scratch}/keys")
+    if target.bytes_of(f"{scratch}/keys") <= KEYS_BROADCAST_MAX_BYTES:
+        k = F.broadcast(k)
+    new = spark.read.parquet(f"{scratch}/segments")
+    old = target.read_base(buckets=buckets, with_bucket=True)
+    parts = old.join(k, ["key_bucket", key], "left_semi").select(*PART_COLS).distinct().unionByName(new.select(*PART_COLS).distinct())
+    affected = sorted(tuple(r) for r in parts.distinct().collect())  # bounded by the partitions of the buckets
+    if affected:
+        touched = F.broadcast(spark.createDataFrame(affected, ", ".join(f"{c} int" for c in PART_COLS)))
+        stay = target.read_base({p[1] for p in affected}, buckets, True).join(touched, PART_COLS, "left_semi")
+        rows = target.hours_of(new.repartition(*PART_COLS).sortWithinPartitions(*PART_COLS))
+        target.replace(stay.join(k, ["key_bucket", key], "left_anti").unionByName(rows), affected)
+    for n in batches:
+        for b in buckets:
+            target.remove(f"{target.delta_path}/batch={n}/key_bucket={b}")
+        if not target._glob(f"{target.delta_path}/batch={n}/key_bucket=*"):
+            target.remove(f"{target.delta_path}/batch={n}")
+    remove_dir(spark, scratch)
+    return buckets

@@ -2,7 +2,9 @@
 
 Layout under ``root``::
 
-    data/key_bucket=B/supply_year=Y/supply_month=M/part-*.parquet
+    data/key_bucket=B/supply_year=Y/supply_month=M/part-*.parquet     the base
+    delta/batch=N/key_bucket=B/part-*.parquet                         increments that are not folded yet
+    curves/N-ROWS-DIGEST/                                             the curve of the table, the highest N counts
     layout/      one row: number of buckets and key column
 
 ``key_bucket = pmod(xxhash64(key), n_buckets)`` spreads entities, so that a
@@ -14,6 +16,14 @@ touched partitions that got no rows (a retraction may empty one; the
 overwrite alone would leave the old rows). Rows may come from the table
 itself: the new files are complete before the first folder is replaced.
 Repeating a ``replace`` after a failure gives the same table.
+
+A delta batch holds, for each key that it changes, one marker row (no segment)
+and the key's current segments: date spans inside one month with their winning
+record, not hours. A reader takes a key from the newest batch that marks it
+instead of from the base, and makes its hours from the segments and the stored curve. So an
+increment writes what changed, once, and no base file is touched until
+``plans.increment.fold`` writes a bucket anew. A batch counts once Spark has put its
+``_SUCCESS`` file; one writer at a time is assumed.
 """
 
 from __future__ import annotations
@@ -23,10 +33,27 @@ from collections.abc import Iterable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..config import DEFAULT_KEY_BUCKETS, RANGE, TARGET_COLUMNS, TARGET_TYPES
+from ..config import DEFAULT_KEY_BUCKETS, FRACTION_TYPE, M3_TO_KWH, QUANTITY_TYPE, RANGE, TARGET_COLUMNS, TARGET_TYPES
 
 PART_COLS = ["key_bucket", "supply_year", "supply_month"]
 Partition = tuple[int, int, int]
+# a segment of a delta batch; a marker row has the key only
+SEGMENT_TYPES = {
+    "profile_category_code": "string", "sja": QUANTITY_TYPE, "sj_unit_of_measure": "string", "__record_timestamp": "timestamp_ntz",
+    "supply_year": "int", "supply_month": "int", "seg_from": "date", "seg_to": "date",
+}
+SEGMENT_COLS = list(SEGMENT_TYPES)
+CURVE_TYPES = {
+    "profile_category_code": "string", "supply_date": "date", "supply_start_date_time_utc": "timestamp_ntz", "supply_hour": "int",
+    "profile_fraction": FRACTION_TYPE, "supply_year": "int", "supply_month": "int",
+}
+CURVE_COLS = list(CURVE_TYPES)
+# bytes of delta files up to which their keys and segments may be broadcast
+DELTA_BROADCAST_MAX_BYTES = 32 << 20
+
+
+def _ddl(types: dict[str, str]) -> str:
+    return ", ".join(f"`{c}` {t}" for c, t in types.items())
 
 
 def key_bucket(key_col: str = RANGE.key, n_buckets: int = DEFAULT_KEY_BUCKETS) -> Column:
@@ -35,14 +62,18 @@ def key_bucket(key_col: str = RANGE.key, n_buckets: int = DEFAULT_KEY_BUCKETS) -
 
 class Target:
     """Handle on a target folder. ``n_buckets`` is used when the table is made;
-    ``None`` takes the stored one (or the default for a new table)."""
+    ``None`` takes the stored one (or the default for a new table). ``factor`` turns volume into
+    energy in all rows of the table."""
 
-    def __init__(self, spark: SparkSession, root: str, n_buckets: int | None = None, key: str = RANGE.key):
+    def __init__(self, spark: SparkSession, root: str, n_buckets: int | None = None, key: str = RANGE.key,
+                 factor: float = M3_TO_KWH):
+        self.factor = factor
         self.spark, self.root, self.key = spark, root.rstrip("/"), key
-        self.data_path = f"{self.root}/data"
+        self.data_path, self.delta_path = f"{self.root}/data", f"{self.root}/delta"
         layout = f"{self.root}/layout"
         if self.exists(layout):
-            stored = spark.read.schema("n_buckets int, key string").parquet(layout).first()
+            stored = spark.read.schema("n_buckets int, key string, factor double").parquet(layout).first()
+            self.factor = stored["factor"] or M3_TO_KWH
             if n_buckets not in (None, stored["n_buckets"]) or key != stored["key"]:
                 raise ValueError(
                     f"{root} has {stored['n_buckets']} buckets of {stored['key']}, not {n_buckets} of {key}"
@@ -50,7 +81,7 @@ class Target:
             self.n_buckets = stored["n_buckets"]
         else:
             self.n_buckets = n_buckets or DEFAULT_KEY_BUCKETS
-            row = spark.range(1).select(F.lit(self.n_buckets).alias("n_buckets"), F.lit(key).alias("key"))
+            row = spark.range(1).select(F.lit(self.n_buckets).alias("n_buckets"), F.lit(key).alias("key"), F.lit(float(factor)).alias("factor"))
             row.write.parquet(layout)
             self._fs(self.data_path)[0].mkdirs(self._fs(self.data_path)[1])
 
@@ -79,10 +110,109 @@ class Target:
             found.append(tuple(int(n.split("=")[1]) for n in names))
         return sorted(found)
 
+    def _glob(self, pattern: str) -> list[str]:
+        fs, p = self._fs(pattern)
+        return sorted(s.getPath().toString() for s in fs.globStatus(p) or [])
+
+    def bytes_of(self, path: str) -> int:
+        """Size of the files below a folder (one call of the file system)."""
+        fs, p = self._fs(path)
+        return fs.getContentSummary(p).getLength() if fs.exists(p) else 0
+
+    def remove(self, path: str) -> None:
+        fs, p = self._fs(path)
+        fs.delete(p, True)
+
+    # ---- curve ----------------------------------------------------------
+    @staticmethod
+    def _digest(curve: DataFrame) -> str:
+        """Rows and an order-free digest of a curve."""
+        typed = [F.col(c).cast(t) for c, t in CURVE_TYPES.items()]
+        row = curve.select(F.xxhash64(*typed).alias("h")).agg(
+            F.count(F.lit(1)), F.bit_xor("h"), F.sum(F.col("h").cast("decimal(20,0)"))).first()
+        return f"{row[0]}-{int(row[1] or 0) % 2**64:016x}{int(row[2] or 0) % 2**64:016x}"
+
+    def _curves(self) -> list[str]:
+        done = [p[: -len("/_SUCCESS")] for p in self._glob(f"{self.root}/curves/*/_SUCCESS")]
+        return sorted(done, key=lambda p: int(p.rsplit("/", 1)[1].split("-")[0]))
+
+    def curve(self) -> DataFrame | None:
+        """The stored curve that the rows of the table follow."""
+        stored = self._curves()
+        if not stored:
+            return None
+        return self.spark.read.schema(_ddl(CURVE_TYPES)).parquet(stored[-1])
+
+    def has_curve(self, curve: DataFrame) -> bool:
+        stored = self._curves()
+        return bool(stored) and stored[-1].rsplit("/", 1)[1].split("-", 1)[1] == self._digest(curve)
+
+    def put_curve(self, curve: DataFrame) -> None:
+        """Store ``curve`` as the one that the table follows; the one before it is kept for running readers."""
+        if self.has_curve(curve):
+            return
+        stored = self._curves()
+        n = int(stored[-1].rsplit("/", 1)[1].split("-")[0]) + 1 if stored else 1
+        path = f"{self.root}/curves/{n}-{self._digest(curve)}"
+        curve.select(*[F.col(c).cast(t).alias(c) for c, t in CURVE_TYPES.items()]).write.mode("overwrite").parquet(path)
+        for old in stored[:-1]:
+            self.remove(old)
+
+    # ---- delta ----------------------------------------------------------
+    def batches(self) -> list[int]:
+        """Numbers of the complete delta batches."""
+        return sorted(int(p.split("batch=")[1].split("/")[0]) for p in self._glob(f"{self.delta_path}/batch=*/_SUCCESS"))
+
+    def delta(self) -> DataFrame | None:
+        """All rows of the delta batches with ``batch`` and ``key_bucket``; ``None`` without any."""
+        live = [f"{self.delta_path}/batch={n}" for n in self.batches()]
+        live = [p for p in live if self._glob(f"{p}/key_bucket=*")]
+        if not live:
+            return None
+        schema = _ddl({self.key: "string", **SEGMENT_TYPES, "batch": "int", "key_bucket": "int"})
+        return self.spark.read.schema(schema).option("basePath", self.delta_path).parquet(*live)
+
+    def append_delta(self, rows: DataFrame) -> int:
+        """Write marker rows and segments (with ``key_bucket``) as the next batch and return its number."""
+        n = max((int(p.split("batch=")[1]) for p in self._glob(f"{self.delta_path}/batch=*")), default=0) + 1
+        rows.write.partitionBy("key_bucket").parquet(f"{self.delta_path}/batch={n}")
+        return n
+
+    def newest(self, delta: DataFrame) -> tuple[DataFrame, DataFrame]:
+        """``key_bucket, key, newest``, the newest batch that marks each key, and the segments that count: those
+        of that batch and later ones (which add days)."""
+        marks = delta.filter(F.col("seg_from").isNull()).groupBy("key_bucket", self.key).agg(F.max("batch").alias("newest"))
+        if self.bytes_of(self.delta_path) <= DELTA_BROADCAST_MAX_BYTES:
+            marks = F.broadcast(marks)
+        segments = delta.filter(F.col("seg_from").isNotNull()).join(marks, ["key_bucket", self.key]).filter(F.col("batch") >= F.col("newest"))
+        return marks, segments.select("key_bucket", self.key, *SEGMENT_COLS).distinct()
+
+    def hours_of(self, segments: DataFrame) -> DataFrame:
+        """Target rows (and ``key_bucket``) of segments with the stored curve."""
+        from ..operators.allocate import allocate_spans
+        from ..operators.join import broadcast_if_small
+
+        return allocate_spans(segments, broadcast_if_small(self.curve()), "months", "seg_from", "seg_to", factor=self.factor)
+
     # ---- read -----------------------------------------------------------
     def read(self, years: Iterable[int] | None = None, buckets: Iterable[int] | None = None,
              with_bucket: bool = False) -> DataFrame:
-        """Rows of the table; ``years`` and ``buckets`` prune partitions."""
+        """Rows of the table; ``years`` and ``buckets`` prune partitions. Keys of delta batches come from these."""
+        base, delta = self.read_base(years, buckets, True), self.delta()
+        columns = [*TARGET_COLUMNS, *(["key_bucket"] if with_bucket else [])]
+        if delta is None:
+            return base.select(*columns)
+        if buckets is not None:
+            delta = delta.filter(F.col("key_bucket").isin([int(b) for b in buckets]))
+        marks, segments = self.newest(delta)
+        if years is not None:
+            segments = segments.filter(F.col("supply_year").isin([int(y) for y in years]))
+        kept = base.join(marks, ["key_bucket", self.key], "left_anti")
+        return kept.select(*columns).unionByName(self.hours_of(segments).select(*columns))
+
+    def read_base(self, years: Iterable[int] | None = None, buckets: Iterable[int] | None = None,
+                  with_bucket: bool = False) -> DataFrame:
+        """Rows of the base alone."""
         schema = ", ".join(f"`{n}` {t}" for n, t in (*TARGET_TYPES, ("key_bucket", "INT")))
         rows = self.spark.read.schema(schema).option("basePath", self.data_path).parquet(self.data_path)
         if years is not None:

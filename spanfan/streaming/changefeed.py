@@ -29,7 +29,7 @@ from pyspark.sql.streaming import StreamingQuery
 
 from ..config import RANGE, RELEVANCE, RangeCols
 from ..functions.predicates import relevant
-from ..plans.increment import apply_increment
+from ..plans.increment import FOLD_SHARE, append_increment, apply_increment, fold
 from ..sources.changes import VERSION, as_of
 from ..sources.target import Target
 
@@ -68,15 +68,22 @@ def pending_keys(target: Target, keys_path: str, merged_path: str, cols: RangeCo
 
 
 def apply_pending(target: Target, log: DataFrame, keys_path: str, merged_path: str, curve: DataFrame,
-                  as_of_date=None, cols: RangeCols = RANGE, **kw) -> int | None:
+                  as_of_date=None, cols: RangeCols = RANGE, merge: str = "rewrite", fold_share: float = FOLD_SHARE,
+                  **kw) -> int | None:
     """S12 + M3: merge the keys of all new sink files, rebuilt from the newest
-    version in ``log``. Returns that version (``None``: nothing to do)."""
+    version in ``log``. Returns that version (``None``: nothing to do). ``merge="delta"`` appends a
+    delta batch and folds the buckets whose delta has reached ``fold_share`` of their base."""
     pending = pending_keys(target, keys_path, merged_path, cols)
     if pending.isEmpty():
         return None
     top = int(log.agg(F.max(VERSION)).first()[0])
     keys = pending.select(cols.key).distinct()
-    apply_increment(target, as_of(log, top, keys, cols.key), curve, keys, as_of=as_of_date, cols=cols, **kw)
+    ranges = as_of(log, top, keys, cols.key)
+    if merge == "delta":
+        append_increment(target, ranges, keys, curve, as_of=as_of_date, cols=cols, **kw)
+        fold(target, fold_share, cols)
+    else:
+        apply_increment(target, ranges, curve, keys, as_of=as_of_date, cols=cols, **kw)
     pending.select("file").distinct().write.mode("append").parquet(merged_path)
     return top
 

@@ -1,17 +1,35 @@
-"""Exact decimal rules of the hourly allocation.
+"""Exact decimal rules of the hourly allocation, and the same rules in whole numbers.
 
 ``quantity(18,3) * fraction(36,8)`` is typed ``decimal(38,6)`` by Spark and
 rounded half-up to 6 places, so the volume cast is a no-op. The energy is the
 rounded volume times a *double* factor, cast back to ``decimal(38,6)``.
+
+Decimals of that width are BigDecimal objects. ``fixed_point`` gives the same values from longs wherever that
+is proven to be exact, row by row:
+
+* the volume in millionths is ``(q * f + half) div 10 ** 5`` of the unscaled quantity (3 places) and
+  fraction (8 places), if ``|q * f|`` is at most 9e18 (the bound is tested in double precision, whose error of 2 ** -52
+  cannot reach 2 ** 63);
+* such a volume is below 2 ** 53 millionths, so its double is the correctly rounded quotient by 10 ** 6, and the product with the
+  factor is the double that the decimal rule gets. That rule rounds the shortest decimal string of this double; the string
+  and ``energy * 10 ** 6`` in doubles differ by less than 0.01 below 8e6, so rounding to the next whole number agrees unless the
+  fraction is within 0.01 of a tie.
+
+All other rows (overflow, near-ties, nulls) take the decimal rule. A long becomes a ``decimal(38,6)`` as a
+number of microseconds, which Spark casts without arithmetic.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import Column
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..config import FRACTION_TYPE, M3_TO_KWH, QUANTITY_TYPE, VOLUME_TYPE
 
+LARGEST_PRODUCT = 9.0e18
+LARGEST_ENERGY = 8.0e6
+NEAR_TIE = 0.01
+
 
 def volume(quantity: Column, fraction: Column) -> Column:
     return (quantity.cast(QUANTITY_TYPE) * fraction.cast(FRACTION_TYPE)).cast(VOLUME_TYPE)
@@ -21,3 +39,35 @@ def energy(quantity: Column, fraction: Column, factor: float = M3_TO_KWH) -> Col
     vol = quantity.cast(QUANTITY_TYPE) * fraction.cast(FRACTION_TYPE)
     return (vol * F.lit(float(factor))).cast(VOLUME_TYPE)
 
+
+def unscaled_quantity(quantity: Column) -> Column:
+    """Thousandths as a long."""
+    return (quantity.cast(QUANTITY_TYPE) * F.lit(1000).cast("decimal(4,0)")).cast("long")
+
+
+def unscaled_fraction(fraction: Column) -> Column:
+    """Hundred-millionths as a long; null for a fraction that has no place in one."""
+    return (fraction.cast(FRACTION_TYPE).try_cast("decimal(18,8)") * F.lit(10**8).cast("decimal(9,0)")).cast("long")
+
+
+def _millionths(value: Column) -> Column:
+    return (F.expr("INTERVAL '0.000001' SECOND") * value).cast(VOLUME_TYPE)
+
+
+def fixed_point(rows: DataFrame, q: str, f: str, quantity: str, fraction: str, factor: float = M3_TO_KWH,
+                names: tuple[str, str] = ("offtake_volume_m3", "offtake_volume_kwh")) -> DataFrame:
+    """``rows`` with volume and energy; ``q`` and ``f`` are the columns of ``unscaled_quantity`` and ``unscaled_fraction``, which
+    are best made before the rows are multiplied. They are dropped."""
+    product = F.col(q) * F.col(f)
+    fits = F.abs(F.col(q).cast("double") * F.col(f).cast("double")) <= LARGEST_PRODUCT
+    half = F.when(product < 0, -50_000).otherwise(50_000)
+    rows = rows.withColumn("_v", F.when(fits, F.call_function("div", product + half, F.lit(100_000).cast("long"))))
+    rows = rows.withColumn("_e", F.col("_v").cast("double") / F.lit(1e6) * F.lit(float(factor)))
+    t = F.col("_e") * F.lit(1e6)
+    clear = (F.abs("_e") < LARGEST_ENERGY) & (F.abs(t - F.floor(t).cast("double") - F.lit(0.5)) > NEAR_TIE)
+    slow = F.col(quantity), F.col(fraction)
+    return (
+        rows.withColumn(names[0], F.when(F.col("_v").isNotNull(), _millionths(F.col("_v"))).otherwise(volume(*slow)))
+        .withColumn(names[1], F.when(clear, _millionths(F.floor(t + F.lit(0.5)))).otherwise(energy(*slow, factor)))
+        .drop(q, f, "_v", "_e")
+    )

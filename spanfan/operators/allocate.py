@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..config import CURVE, HORIZON_DAYS, M3_TO_KWH, RANGE, RELEVANCE, CurveCols, RangeCols
-from ..functions.allocation import energy, volume
+from ..functions.allocation import fixed_point, unscaled_fraction, unscaled_quantity
 from ..functions.dates import next_hour
 from ..functions.predicates import relevant
 from .join import (
@@ -24,8 +24,8 @@ from .latest import latest_days, latest_per_record, latest_segments
 from .ranges import deal_pieces, month_pieces
 
 
-def target_columns(cols: RangeCols = RANGE, cc: CurveCols = CURVE, factor: float = M3_TO_KWH) -> list:
-    """The 13 columns of the hourly target, computed from a joined row."""
+def target_columns(cols: RangeCols = RANGE, cc: CurveCols = CURVE) -> list:
+    """The 13 columns of the hourly target, from a joined row with its volume and energy."""
     q, f = F.col(cols.quantity), F.col(cc.fraction)
     return [
         F.col(cols.key),
@@ -36,8 +36,8 @@ def target_columns(cols: RangeCols = RANGE, cc: CurveCols = CURVE, factor: float
         next_hour(F.col(cc.hour_start)).alias("supply_end_date_time_utc"),
         F.col(cc.hour),
         f.alias(cc.fraction),
-        volume(q, f).alias("offtake_volume_m3"),
-        energy(q, f, factor).alias("offtake_volume_kwh"),
+        F.col("offtake_volume_m3"),
+        F.col("offtake_volume_kwh"),
         F.col("supply_year"),
         F.col("supply_month"),
         F.col(cols.seq),
@@ -47,12 +47,14 @@ def target_columns(cols: RangeCols = RANGE, cc: CurveCols = CURVE, factor: float
 def allocate_days(days: DataFrame, curve: DataFrame, cols: RangeCols = RANGE, cc: CurveCols = CURVE,
                   factor: float = M3_TO_KWH, day_col: str = "supply_date") -> DataFrame:
     """J1 + projection: deduplicated day rows -> hourly target rows."""
+    days, curve = _unscaled(days, curve, cols, cc)
     return _target(join_days(days, curve, cols.category, day_col, cc), cols, cc, factor)
 
 
 def allocate_spans(spans: DataFrame, curve: DataFrame, strategy: str, span_from: str, span_to: str,
                    cols: RangeCols = RANGE, cc: CurveCols = CURVE, factor: float = M3_TO_KWH) -> DataFrame:
     """J2 / J2b + projection: non-overlapping date spans -> hourly rows."""
+    spans, curve = _unscaled(spans, curve, cols, cc)
     if strategy == "range":
         j = join_spans(spans, curve, cols.category, span_from, span_to, cc)
     elif strategy == "months":
@@ -62,10 +64,15 @@ def allocate_spans(spans: DataFrame, curve: DataFrame, strategy: str, span_from:
     return _target(j, cols, cc, factor)
 
 
+def _unscaled(rows: DataFrame, curve: DataFrame, cols: RangeCols, cc: CurveCols) -> tuple[DataFrame, DataFrame]:
+    """Quantity and fraction as longs too, made once a day, span or curve hour, before the fan-out."""
+    return rows.withColumn("_q", unscaled_quantity(F.col(cols.quantity))), curve.withColumn("_f", unscaled_fraction(F.col(cc.fraction)))
+
+
 def _target(joined: DataFrame, cols: RangeCols, cc: CurveCols, factor: float) -> DataFrame:
     """Target columns, and the bucket when the rows carry one."""
     bucket = ["key_bucket"] if "key_bucket" in joined.columns else []
-    return joined.select(*target_columns(cols, cc, factor), *bucket)
+    return fixed_point(joined, "_q", "_f", cols.quantity, cc.fraction, factor).select(*target_columns(cols, cc), *bucket)
 
 
 def latest_spans(ranges: DataFrame, policy: str, cols: RangeCols = RANGE, lo=None, hi=None, as_of=None,

@@ -50,6 +50,7 @@ def load_history(
     cols: RangeCols = RANGE,
     cc: CurveCols = CURVE,
     zone: str = "UTC",
+    keep_delta: bool = False,
 ) -> None:
     """Build the hourly rows of ``ranges`` (a pinned snapshot) window by window.
 
@@ -58,12 +59,13 @@ def load_history(
     is visible when it is done: partitions of its months that get no rows are
     removed, and in a month that it covers in part the stored rows of the other
     days are carried over. So windows may end on any day and be repeated.
-    ``zone`` is the zone of the curve's days. Delta batches are folded first, or
-    dropped after a load of everything. That load, and the first of all, store the curve with the table."""
+    ``zone`` is the zone of the curve's days. Delta batches are folded first (unless
+    ``keep_delta``: their keys then stay as the batches say), or dropped after a load of everything. That load, and the first of all, store the curve with the table."""
     if factor != target.factor:
         raise ValueError(f"the table has the factor {target.factor}, not {factor}")
     if windows is not None:
-        fold(target, 0.0)
+        if not keep_delta:
+            fold(target, 0.0)
         if target.curve() is None:
             target.put_curve(curve)
     for lo, hi in windows or [(None, None)]:

@@ -11,7 +11,20 @@ from __future__ import annotations
 import math
 
 from ..functions import curve_shape as cs
-from .workloads import AS_OF, CHANGED_EVERY, HI, LO, NEW_KEY_OFFSET, YEAR, ZONE
+from .workloads import (
+    AS_OF,
+    CHANGED_EVERY,
+    DOUBLED_MONTH,
+    HI,
+    HORIZON_NEW,
+    LO,
+    NEW_KEY_OFFSET,
+    NO_HOURS,
+    RAISED_DAY,
+    SHORT_HORIZON,
+    YEAR,
+    ZONE,
+)
 
 CAP = f"(DATE '{AS_OF}' + INTERVAL 3650 DAY)::DATE"
 REL = "commodity_type ILIKE 'gas' AND allocation_method ILIKE 'PRF'"
@@ -90,6 +103,16 @@ curve AS (
   FROM shape)"""
 
 
+CHANGED_CURVE = f"""
+curve2 AS (
+  SELECT * REPLACE (CAST(CASE
+           WHEN ascii(profile_category_code) % 2 = 1 AND supply_year = {DOUBLED_MONTH[0]} AND supply_month = {DOUBLED_MONTH[1]}
+             THEN profile_fraction * 2
+           WHEN ascii(profile_category_code) % 2 = 0 AND supply_date = DATE '{RAISED_DAY}' THEN profile_fraction + 0.00000100
+           ELSE profile_fraction END AS DECIMAL(36,8)) AS profile_fraction)
+  FROM curve WHERE supply_date NOT BETWEEN DATE '{NO_HOURS[0]}' AND DATE '{NO_HOURS[1]}')"""
+
+
 def _days(src: str, name: str, lo: str | None = None, hi: str | None = None) -> str:
     """Relevant, valid ranges of ``src`` exploded to (clipped) days."""
     lo_e = f"greatest(effective_from_date, DATE '{lo}')" if lo else "effective_from_date"
@@ -367,6 +390,60 @@ SELECT supply_year, supply_month, count(*) AS n_rows FROM h WHERE supply_year =
 }
 
 
+def _last_day_of_new_horizon() -> str:
+    import datetime as dt
+
+    return (dt.date.fromisoformat(HORIZON_NEW) + dt.timedelta(days=SHORT_HORIZON)).isoformat()
+
+
+# spans of days of a (key, category, winner or kind) that follow each other
+def _runs(src: str, extra: str) -> str:
+    cols = "point_of_delivery_ean, profile_category_code" + extra
+    return f"""
+SELECT {cols}, min(supply_date) AS a, max(supply_date) AS b
+FROM (SELECT *, supply_date - CAST(row_number() OVER (PARTITION BY {cols} ORDER BY supply_date) AS INTEGER) AS island FROM {src})
+GROUP BY {cols}, island"""
+
+
+SQL |= {
+    "increment_delta": HOURLY_V2 + BY_ENTITY_YEAR,
+    "increment_folded": HOURLY_V2 + BY_ENTITY_YEAR,
+    "stream_delta": HOURLY_V2 + BY_ENTITY_YEAR,
+    "reload_with_seam": HOURLY_V2 + BY_ENTITY_YEAR,
+    "merge_bucketed": HOURLY_V2 + BY_ENTITY_YEAR,
+    "reconcile_bucketed": SQL["reconcile_entity_year"],
+    "snapshot_from_base": SQL["snapshot_as_of"],
+    "table_fingerprint_diff": SQL["table_difference"],
+    "curve_change_increment": _with(RANGES_V1, CURVE, CHANGED_CURVE, _days("r1", "d0", hi=_last_day_of_new_horizon()),
+                                    _dedup_day("d0", "d1"))
+    + ",\nh AS (" + _hourly("d1", "curve2") + ")" + BY_ENTITY_YEAR,
+    "range_overlap": """
+WITH a AS (SELECT o_orderkey, CAST(o_custkey AS VARCHAR) AS point_of_delivery_ean, CAST(o_orderdate AS DATE) AS s,
+                  CAST(CAST(o_orderdate AS DATE) + CAST(o_orderkey % 60 AS INTEGER) AS DATE) AS e FROM orders),
+b AS (SELECT l_orderkey, l_linenumber, CAST(o_custkey AS VARCHAR) AS point_of_delivery_ean, CAST(o_orderdate AS DATE) AS s,
+             CAST(l_shipdate AS DATE) AS e
+      FROM lineitem JOIN orders ON l_orderkey = o_orderkey WHERE CAST(l_shipdate AS DATE) >= CAST(o_orderdate AS DATE))
+SELECT point_of_delivery_ean, o_orderkey, l_orderkey, l_linenumber, greatest(a.s, b.s) AS overlap_from, least(a.e, b.e) AS overlap_to
+FROM a JOIN b USING (point_of_delivery_ean) WHERE a.s <= b.e AND b.s <= a.e""",
+    "validity_islands": _with(RANGES_V1, _days("r1", "d0"), _dedup_day("d0", "d1"))
+    + "\nSELECT * RENAME (a AS valid_from, b AS valid_to) FROM (" + _runs("d1", ", sja, sj_unit_of_measure, __record_timestamp") + ")",
+    "coverage_gaps": _with(RANGES_V1, CURVE, CHANGED_CURVE, _days("r1", "d0")) + f""",
+d AS (SELECT DISTINCT point_of_delivery_ean, profile_category_code, supply_date FROM d0 WHERE profile_category_code IS NOT NULL),
+u AS ({_runs("d", "")}),
+g AS (SELECT point_of_delivery_ean, profile_category_code, CAST(b + 1 AS DATE) AS gap_from,
+             CAST(lead(a) OVER (PARTITION BY point_of_delivery_ean, profile_category_code ORDER BY a) - 1 AS DATE) AS gap_to FROM u),
+m AS (SELECT * FROM d WHERE (profile_category_code, supply_date) NOT IN (SELECT profile_category_code, supply_date FROM curve2))
+SELECT *, CAST(gap_to - gap_from + 1 AS INTEGER) AS n_days, 'uncovered' AS kind FROM g WHERE gap_to IS NOT NULL
+UNION ALL
+SELECT point_of_delivery_ean, profile_category_code, a, b, CAST(b - a + 1 AS INTEGER), 'no_curve' FROM ({_runs("m", "")})""",
+    "fanout_after_dedup": _with(RANGES_V1, _days("r1", "d0"), _dedup_day("d0", "d1")) + f""",
+u AS ({_runs("d1", "")})
+SELECT (SELECT count(*) FROM (SELECT DISTINCT point_of_delivery_ean, profile_category_code FROM d1)) AS n_entity_categories,
+       (SELECT count(*) FROM u) AS n_spans, (SELECT count(*) FROM d1) AS n_day_rows_latest,
+       (SELECT count(*) FROM d1) * 24 AS n_hour_rows_latest""",
+}
+
+
 def _allocate_year() -> str:
     return (_with(RANGES_V1, CURVE, _days("r1", "d0", LO, HI), _dedup_day("d0", "d1")) + _hourly("d1"))
 

@@ -32,10 +32,12 @@ from ..operators.checks import (
     reconcile,
     row_counts_by,
     table_difference,
+    table_fingerprint_diff,
 )
 from ..operators.latest import latest_days
 from ..operators.merge import merge_actions, merge_summary, retracted_rows, retracting_merge
 from ..operators.ranges import CLIP_FROM, CLIP_TO, expand_days, valid_ranges
+from ..operators.spans import coverage_gaps, latest_fanout, overlap_join, validity_islands
 from ..functions.predicates import relevant
 from ..session import work_dir
 from ..sources.changes import append_commit, as_of, changed_keys, initial_commit, latest_version, snapshot_diff
@@ -56,6 +58,10 @@ ZONE = "Europe/Amsterdam"
 CHANGED_EVERY = 5       # every 5th customer is edited in v2, another 5th brings new entities
 NEW_KEY_OFFSET = 1_000_000
 N_BUCKETS = 4
+# the curve change: two horizons of 30 days, days that lose their hours, and hours with other fractions
+HORIZON_OLD, HORIZON_NEW, SHORT_HORIZON = "1997-06-01", "1997-08-15", 30
+NO_HOURS = ("1995-07-10", "1995-07-12")
+DOUBLED_MONTH, RAISED_DAY = (1996, 3), "1994-02-28"
 
 
 # ---------------------------------------------------------------- inputs
@@ -119,6 +125,19 @@ def stored_curve(spark: SparkSession, sf_dir: str, ranges: DataFrame | None = No
     return spark.read.parquet(path)
 
 
+def changed_curve(curve: DataFrame) -> DataFrame:
+    """``curve`` without the days ``NO_HOURS``, with doubled fractions in ``DOUBLED_MONTH`` for categories of odd first
+    character, and slightly larger ones on ``RAISED_DAY`` for the others."""
+    odd = F.pmod(F.ascii("profile_category_code"), F.lit(2)) == 1
+    year, month = DOUBLED_MONTH
+    f = F.col("profile_fraction")
+    new = F.when(odd & (F.col("supply_year") == year) & (F.col("supply_month") == month), f * 2).when(
+        ~odd & (F.col("supply_date") == F.lit(RAISED_DAY).cast("date")), f + F.lit("0.00000100").cast("decimal(36,8)")
+    ).otherwise(f)
+    kept = curve.filter(~F.col("supply_date").between(*[F.lit(d).cast("date") for d in NO_HOURS]))
+    return kept.withColumn("profile_fraction", new.cast("decimal(36,8)"))
+
+
 def _history(ranges: DataFrame, curve: DataFrame, policy: str = "per_day", lo=None, hi=None,
              strategy: str = "days") -> DataFrame:
     return build_window(ranges, curve, lo, hi, policy, strategy, as_of=AS_OF)
@@ -418,6 +437,144 @@ def q_reload_equals_history(spark, sf_dir):
     return _by_entity_year(t.read())
 
 
+def _increment(spark, sf_dir) -> Target:
+    """v1 history and commit 2 as a delta batch."""
+    from .increment import append_increment
+
+    t, curve = _loaded_target(spark, sf_dir)
+    log = spark.read.parquet(_log_on_disk(spark, [orders_log(spark, sf_dir)]))
+    keys = changed_keys(log, start_version=2)
+    append_increment(t, as_of(log, 2, keys), keys, curve, as_of=AS_OF)
+    return t
+
+
+def q_increment_delta(spark, sf_dir):
+    """M1 with deltas: read while the changed keys live in a delta batch."""
+    return _by_entity_year(_increment(spark, sf_dir).read())
+
+
+def q_increment_folded(spark, sf_dir):
+    """M1 with deltas: read after all buckets were folded."""
+    from .increment import fold
+
+    t = _increment(spark, sf_dir)
+    fold(t, 0.0)
+    return _by_entity_year(t.read())
+
+
+def q_stream_delta(spark, sf_dir):
+    """The streaming path that appends delta batches and folds the buckets over a tenth."""
+    from ..streaming.changefeed import run_stream_increment
+
+    t, curve = _loaded_target(spark, sf_dir)
+    log_path = _log_on_disk(spark, [orders_log(spark, sf_dir)])
+    run_stream_increment(spark, t, log_path, work_dir(spark, "stream"), curve, start_version=1, as_of_date=AS_OF, merge="delta")
+    return _by_entity_year(t.read())
+
+
+def q_curve_change_increment(spark, sf_dir):
+    """2.13 #5: history, some keys in a delta batch, then another curve and a later horizon: equals the
+    history of the new curve and horizon."""
+    from .curve_change import advance_horizon, apply_curve
+    from .history import load_history
+    from .increment import append_increment
+
+    r, curve = orders_ranges(spark, sf_dir), stored_curve(spark, sf_dir)
+    t = Target(spark, work_dir(spark, "target"), n_buckets=N_BUCKETS)
+    load_history(t, r, curve, as_of=HORIZON_OLD, horizon_days=SHORT_HORIZON)
+    some = r.filter(F.pmod(F.xxhash64(RANGE.key), F.lit(7)) == 0).select(RANGE.key)
+    append_increment(t, r, some, as_of=HORIZON_OLD, horizon_days=SHORT_HORIZON)
+    path = work_dir(spark, "changed-curve")
+    changed_curve(curve).write.parquet(path)
+    apply_curve(t, r, spark.read.parquet(path), as_of=HORIZON_OLD, horizon_days=SHORT_HORIZON)
+    advance_horizon(t, r, HORIZON_OLD, HORIZON_NEW, horizon_days=SHORT_HORIZON)
+    return _by_entity_year(t.read())
+
+
+def q_reload_with_seam(spark, sf_dir):
+    """M4: reload at version 2 with its seam, then a stream run from there."""
+    from ..streaming.changefeed import reload_at, run_from_seam
+
+    t, curve = _loaded_target(spark, sf_dir)
+    log_path = _log_on_disk(spark, [orders_log(spark, sf_dir)])
+    state = work_dir(spark, "state")
+    reload_at(t, log_path, state, curve, 2, as_of_date=AS_OF)
+    run_from_seam(spark, t, log_path, state, curve, as_of_date=AS_OF)
+    return _by_entity_year(t.read())
+
+
+def q_snapshot_from_base(spark, sf_dir):
+    """v2 as a stored base of v1 and the commits after it."""
+    from ..sources.snapshots import SnapshotLog
+
+    log, store = orders_log(spark, sf_dir), SnapshotLog(spark, work_dir(spark, "snapshots"))
+    store.append(log.filter("_commit_version = 1"))
+    store.compact(1)
+    store.append(log.filter("_commit_version = 2"))
+    return store.as_of(2)
+
+
+def _bucketed(spark, df, name):
+    from ..sources.bucketed import save_bucketed
+
+    path = work_dir(spark, name)
+    table = f"{name}_{path.rsplit('-', 1)[1]}"
+    return table, save_bucketed(df, table, path, N_BUCKETS)
+
+
+def q_reconcile_bucketed(spark, sf_dir):
+    """A4 on a bucketed table: no Exchange of the target."""
+    r = orders_ranges(spark, sf_dir)
+    return reconcile(_bucketed(spark, _history(r, stored_curve(spark, sf_dir, r)), "reconcile")[1])
+
+
+def q_merge_bucketed(spark, sf_dir):
+    """M1 on bucketed tables: no Exchange of the target in the merge, nor in the sums after it."""
+    from ..sources.bucketed import bucketed_merge, changed_pairs
+
+    target, rebuilt, keys = _merge_inputs(spark, sf_dir)
+    t, stored = _bucketed(spark, target, "merge_target")
+    n, new = _bucketed(spark, rebuilt, "merge_new")
+    pairs = changed_pairs(stored, new, keys)
+    path = work_dir(spark, "merge_pairs")
+    k = f"merge_pairs_{path.rsplit('-', 1)[1]}"
+    by = [RANGE.key, RANGE.category]
+    pairs.repartition(N_BUCKETS, *by).write.format("parquet").option("path", path).bucketBy(N_BUCKETS, *by).sortBy(*by).saveAsTable(k)
+    return _by_entity_year(bucketed_merge(spark, t, k, n))
+
+
+def q_table_fingerprint_diff(spark, sf_dir):
+    """A7 by fingerprints per key bucket and month: the rows that v1 and v2 do not share."""
+    groups = [F.pmod(F.xxhash64(RANGE.key), F.lit(256)), F.trunc(RANGE.start, "month")]
+    return table_fingerprint_diff(orders_ranges(spark, sf_dir), orders_v2(spark, sf_dir), groups)
+
+
+# ---------------------------------------------------------------- spans
+def q_range_overlap(spark, sf_dir):
+    """J2, span by span: order ranges and line ranges (order date to ship date) of a customer that share a day."""
+    orders, lineitem = read_table(spark, sf_dir, "orders"), read_table(spark, sf_dir, "lineitem")
+    a = ranges_from_orders(orders, carry=("o_orderkey",)).select("o_orderkey", RANGE.key, RANGE.start, RANGE.end)
+    li = lineitem.select("l_orderkey", "l_linenumber", F.to_date("l_shipdate").alias("to_day"))
+    o = orders.select(F.col("o_orderkey").alias("l_orderkey"), F.col("o_custkey").cast("string").alias(RANGE.key), F.to_date("o_orderdate").alias("from_day"))
+    j = overlap_join(a, li.join(o, "l_orderkey"), [RANGE.key], (RANGE.start, RANGE.end), ("from_day", "to_day"))
+    return j.select(F.col(f"left.{RANGE.key}").alias(RANGE.key), "left.o_orderkey", "right.l_orderkey", "right.l_linenumber",
+                    "overlap_from", "overlap_to")
+
+
+def q_validity_islands(spark, sf_dir):
+    return validity_islands(_relevant(orders_ranges(spark, sf_dir)), as_of=AS_OF)
+
+
+def q_coverage_gaps(spark, sf_dir):
+    """J1, days that vanish: against the changed curve, which lacks some days."""
+    r = orders_ranges(spark, sf_dir)
+    return coverage_gaps(_relevant(r), changed_curve(stored_curve(spark, sf_dir, r)), as_of=AS_OF)
+
+
+def q_fanout_after_dedup(spark, sf_dir):
+    return latest_fanout(_relevant(orders_ranges(spark, sf_dir)), as_of=AS_OF)
+
+
 # ---------------------------------------------------------------- draws
 LENGTHS = [(0.5, 1, 30), (0.3, 30, 200), (0.2, 200, 1500)]
 
@@ -472,6 +629,19 @@ QUERIES = {
     "stream_increment": q_stream_increment,
     "stream_late_commit": q_stream_late_commit,
     "reload_equals_history": q_reload_equals_history,
+    "increment_delta": q_increment_delta,
+    "increment_folded": q_increment_folded,
+    "stream_delta": q_stream_delta,
+    "curve_change_increment": q_curve_change_increment,
+    "reload_with_seam": q_reload_with_seam,
+    "snapshot_from_base": q_snapshot_from_base,
+    "reconcile_bucketed": q_reconcile_bucketed,
+    "merge_bucketed": q_merge_bucketed,
+    "table_fingerprint_diff": q_table_fingerprint_diff,
+    "range_overlap": q_range_overlap,
+    "validity_islands": q_validity_islands,
+    "coverage_gaps": q_coverage_gaps,
+    "fanout_after_dedup": q_fanout_after_dedup,
     "weighted_pick": q_weighted_pick,
     "bucketed_length": q_bucketed_length,
 }

@@ -21,6 +21,7 @@ seen. History is loaded at a pinned version ``V`` and the stream starts *at*
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Iterable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -29,6 +30,7 @@ from pyspark.sql.streaming import StreamingQuery
 
 from ..config import RANGE, RELEVANCE, RangeCols
 from ..functions.predicates import relevant
+from ..plans.history import reload
 from ..plans.increment import FOLD_SHARE, append_increment, apply_increment, fold
 from ..sources.changes import VERSION, as_of
 from ..sources.target import Target
@@ -108,3 +110,27 @@ def run_stream_increment(
         return None
     # read now: the listing holds every file the stream has seen
     return apply_pending(target, spark.read.parquet(log_path), keys_path, f"{state_root}/merged", curve, **kw)
+
+
+def reload_at(target: Target, log_path: str, state_root: str, curve: DataFrame, version: int, as_of_date=None, **kw) -> None:
+    """M4, the whole runbook: rebuild the table from the log's state at ``version``, then set the seam: the stream's
+    start version and a new, empty checkpoint with its own sink. The seam is written last, so a failed reload
+    leaves the old stream in place (its increments are then repeated)."""
+    spark = target.spark
+    reload(target, as_of(spark.read.parquet(log_path), version), curve, as_of=as_of_date, **kw)
+    checkpoint = f"{state_root.rstrip('/')}/from-{version}-{uuid.uuid4().hex[:8]}"
+    seam = spark.range(1).select(F.lit(int(version)).cast("long").alias("version"), F.lit(checkpoint).alias("checkpoint"),
+                                 F.current_timestamp().alias("at"))
+    seam.write.mode("append").parquet(f"{state_root}/seam")
+
+
+def seam_of(spark: SparkSession, state_root: str) -> tuple[int, str]:
+    """Start version and state folder of the newest reload."""
+    row = spark.read.parquet(f"{state_root}/seam").orderBy(F.desc("at")).first()
+    return row["version"], row["checkpoint"]
+
+
+def run_from_seam(spark: SparkSession, target: Target, log_path: str, state_root: str, curve: DataFrame, **kw) -> int | None:
+    """A scheduled run that starts at the version of the newest reload, with its checkpoint."""
+    version, state = seam_of(spark, state_root)
+    return run_stream_increment(spark, target, log_path, state, curve, version, **kw)

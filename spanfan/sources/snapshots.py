@@ -6,7 +6,7 @@ Layout under ``root``::
     base/version=N/part-*.parquet             the whole state as of N
 
 ``as_of`` takes the newest base at or below the wanted version and replays the commits after it
-only: the version is a partition column of the log, so older folders are neither listed into the plan nor read.
+only: these folders are named to the reader, so older ones are neither listed nor read.
 ``compact`` writes a base when the last one is ``every`` commits old. A base counts once Spark has put its ``_SUCCESS`` file; it is never
 changed. A commit that arrives for a version at or below a base would be missed, so ``append`` removes the bases it outdates.
 """
@@ -59,11 +59,16 @@ class SnapshotLog:
     def as_of(self, version: int, keys: DataFrame | None = None, key: str = RANGE.key) -> DataFrame:
         """The table as of ``version`` (its rows for ``keys`` only, if given)."""
         base = max((n for n in self.bases() if n <= version), default=None)
-        tail = self.spark.read.parquet(self.log_path).filter(F.col(VERSION) <= F.lit(version))
-        if base is not None:
-            tail = tail.filter(F.col(VERSION) > F.lit(base))
+        after = [n for n in self.versions() if n <= version and (base is None or n > base)]
+        if base is None and not after:
+            raise ValueError(f"the log has no commit up to version {version}")
+        read = self.spark.read
+        state = read.parquet(f"{self.base_path}/version={base}") if base is not None else None
+        if not after:
+            return state if keys is None else state.join(keys.select(key).distinct(), key, "left_semi").select(*state.columns)
+        tail = read.option("basePath", self.log_path).parquet(*[f"{self.log_path}/{VERSION}={n}" for n in after])
         data = [c for c in tail.columns if c not in META]
-        state = self.spark.read.parquet(f"{self.base_path}/version={base}").select(*data) if base is not None else None
+        state = None if state is None else state.select(*data)
         if keys is not None:
             wanted = keys.select(key).distinct()
             tail = tail.join(wanted, key, "left_semi")

@@ -171,7 +171,8 @@ def matches(docs: DataFrame, benchmark: DataFrame, text: str = "text", doc_id: s
 
 def clean(docs: DataFrame, benchmark: DataFrame, text: str = "text") -> DataFrame:
     """The documents that hold no item, with their own columns."""
-    position = docs.columns.index(text)
+    names, position = docs.columns, docs.columns.index(text)
+    docs = docs.toDF(*[f"c{i}" for i in range(len(names))])  # a row passes through Arrow by position
     parts = blocks(benchmark)
     block, first = next(parts, None), True
     while block is not None:
@@ -190,7 +191,7 @@ def clean(docs: DataFrame, benchmark: DataFrame, text: str = "text") -> DataFram
             docs = stored(docs, "decontaminate-clean")
             shared.destroy()
         block, first = after, False
-    return docs
+    return docs.toDF(*names)
 
 
 def op9_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -218,7 +218,8 @@ def set_elements(nodes: DataFrame, texts: DataFrame) -> DataFrame:
 def near_duplicates(docs: DataFrame, text: str = "text", doc_id: str = "doc_id") -> DataFrame:
     """``doc_id, tid, n_shingles, component_id, winner`` for every row; ``tid`` is the
     digest of the text, ``winner`` the (doc_id, tid) of the row that stands for the component."""
-    base = docs.select(F.col(doc_id).cast("long").alias("doc_id"), F.unhex(F.md5(F.coalesce(F.col(text), F.lit("")))).alias("tid"), F.col(text).alias("text"))
+    t = F.col(f"`{text}`")
+    base = docs.select(F.col(f"`{doc_id}`").cast("long").alias("doc_id"), F.unhex(F.md5(F.coalesce(t, F.lit("")))).alias("tid"), t.alias("text"))
     rows = stored(signatures(base).withColumn("rid", F.monotonically_increasing_id()), "near-rows")
     nodes = stored(
         rows.filter("key is not null")
@@ -259,16 +260,18 @@ def keep_one(docs: DataFrame, text: str = "text", doc_id: str = "doc_id") -> Dat
     found = stored(near_duplicates(docs, text, doc_id), "near-found")
     same = F.col("winner.doc_id").eqNullSafe(F.col("doc_id")) & F.col("winner.tid").eqNullSafe(F.col("tid"))
     groups = found.filter("winner is not null").groupBy("doc_id", "tid").agg(F.count("*").alias("n"), F.max(same).alias("won"))
-    lost = stored(groups.filter("not won or n > 1").select(F.col("doc_id").alias("_d"), F.col("tid").alias("_t"), "won"), "near-lost")
-    tid = F.unhex(F.md5(F.coalesce(F.col(text), F.lit(""))))
-    hit = F.col(doc_id).cast("long").eqNullSafe(F.col("_d")) & (tid == F.col("_t"))
-    rest = docs.join(small(lost.drop("won")), hit, "left_anti")
+    lost = stored(groups.filter("not won or n > 1").select("doc_id", "tid", "won"), "near-lost")
+    own = lambda c: F.col(f"row.`{c}`")  # noqa: E731  a row travels as one struct beside our columns
+    rows = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row")).select(
+        "row", own(doc_id).cast("long").alias("doc_id"), F.unhex(F.md5(F.coalesce(own(text), F.lit("")))).alias("tid")
+    )
+    hit = F.col("l.doc_id").eqNullSafe(F.col("r.doc_id")) & (F.col("l.tid") == F.col("r.tid"))
+    rest = rows.alias("l").join(small(lost.drop("won")).alias("r"), hit, "left_anti").select("row")
     repeated = lost.filter("won")
-    if repeated.isEmpty():
-        return rest
-    row = F.struct(*[F.col(f"`{c}`") for c in docs.columns])
-    one = docs.join(small(repeated), hit).groupBy("_d", "_t").agg(F.first(row).alias("r")).select("r.*")
-    return rest.unionByName(one)
+    if not repeated.isEmpty():
+        again = rows.alias("l").join(small(repeated).alias("r"), hit).select("l.*")
+        rest = rest.unionByName(again.groupBy("doc_id", "tid").agg(F.first("row").alias("row")).select("row"))
+    return rest.select(*[own(c).alias(c) for c in docs.columns])
 
 
 def op5_minhash_near(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -30,6 +30,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -117,7 +118,11 @@ class Tokens:
     def _learn(self, new: list[str]) -> None:
         """Runs that are not known yet."""
         text = "\n".join(new)
-        rest = set(self.OTHER.findall(text))
+        try:
+            text.encode("latin-1")
+            rest = set(self.OTHER.findall(text)) if "<|" in text else None
+        except UnicodeEncodeError:
+            rest = set(self.OTHER.findall(text))
         if rest:
             self._one_by_one(list(rest))
             new = list(set(new).difference(rest))
@@ -134,18 +139,30 @@ class Tokens:
         ids = {w: known[s] + known[x[len(s) :]] for w, s, x in zip(new, stems, low) if w not in known}
         self._keep(list(ids), list(ids.values()))
 
-    def __call__(self, texts: list[str]) -> list[bytes]:
-        cut = [t.replace("\n", " ").split(" ") for t in texts]
-        words = set().union(*cut)
-        new = words.difference(self.known)
+    def __call__(self, texts: pa.Array | list[str]) -> list[bytes]:
+        """The ids of every text. Runs are split and told apart by Arrow, so that only the different ones of
+        a slice are looked up, and the ids are gathered by numpy."""
+        if isinstance(texts, list):
+            texts = pa.array(texts, pa.large_string())
+        cut = pc.split_pattern(pc.replace_substring(texts, "\n", " "), " ")
+        runs = cut.flatten().dictionary_encode()
+        names, known = runs.dictionary.to_pylist(), self.known
+        new = [w for w in names if w not in known]
         if new:
-            if len(self.known) > self.max_words or self.bytes[0] > self.max_bytes:
-                self.known.clear()
-                self.known[""], self.bytes[0] = b"", 0
-                new = words.difference(self.known)
-            self._learn(list(new))
-        get = self.known.__getitem__
-        return [b"".join(map(get, words)) for words in cut]
+            if len(known) > self.max_words or self.bytes[0] > self.max_bytes:
+                known.clear()
+                known[""], self.bytes[0] = b"", 0
+                new = [w for w in names if w]
+            self._learn(new)
+        ids = list(map(known.__getitem__, names))
+        size = np.fromiter(map(len, ids), dtype=np.int64, count=len(ids)) // 4
+        start, at = np.cumsum(size) - size, runs.indices.to_numpy()
+        n = size[at]
+        end = np.cumsum(n)
+        flat = np.frombuffer(b"".join(ids), dtype="<u4")
+        raw = flat[np.arange(n.sum()) + np.repeat(start[at] - (end - n), n)].tobytes()
+        cuts = (4 * np.append(0, end)[np.append(0, np.cumsum(pc.list_value_length(cut).to_numpy()))]).tolist()
+        return [raw[x:y] for x, y in zip(cuts, cuts[1:])]
 
 
 class SumOfSquares:
@@ -266,7 +283,7 @@ def pack(docs: DataFrame, text: str = "text", doc_id: str = "doc_id", path: str
 
         def windows():
             for part in slices(batches):
-                ids = tokens(text_column(part).fill_null("").to_pylist())
+                ids = tokens(text_column(part).fill_null(""))
                 for row, x in zip(part.column(0).to_pylist(), ids):
                     yield from packer.add(row, x + end)
             yield from packer.finish()

@@ -285,25 +285,29 @@ def _name(original: Column, new: Column) -> Column:
 
 
 def pseudonymise(docs: DataFrame, text: str = "text", key: str = DEFAULT_KEY) -> DataFrame:
-    """``docs`` with every detected string replaced; ``_n_replaced`` is added as last column."""
+    """``docs`` with every detected string replaced; ``_n_replaced`` (with more underscores if ``docs`` has it) is
+    added as last column."""
     found = stored(detected(docs, text), "pii-found")
     new = replacements(found, key)
     by_text = (
         found.join(new, ["found", "kind"])
         .groupBy("tid")
-        .agg(F.array_sort(F.collect_list(F.struct("idx", "replacement"))).alias("_r"))
-        .select(F.col("tid").alias("_t"), F.transform("_r", lambda x: x["replacement"]).alias("_r"))
+        .agg(F.array_sort(F.collect_list(F.struct("idx", "replacement"))).alias("r"))
+        .select("tid", F.transform("r", lambda x: x["replacement"]).alias("r"))
     )  # one text's matches
-    t = F.col(f"d.`{text}`")
-    has = F.coalesce(F.col(f"`{text}`").rlike(ANY), F.lit(False))
+    own = lambda c: F.col(f"row.`{c}`")  # noqa: E731  a row travels as one struct beside our columns
+    rows = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"))
+    has = F.coalesce(own(text).rlike(ANY), F.lit(False))
     rebuilt = F.array_join(
-        F.zip_with(F.split(t, ANY), "_r", lambda gap, r: F.concat(gap, F.coalesce(r, F.lit("")))), ""
+        F.zip_with(F.split(own(text), ANY), "r", lambda gap, r: F.concat(gap, F.coalesce(r, F.lit("")))), ""
     )
-    own = [F.col(f"d.`{c}`") for c in docs.columns]
-    hit = docs.filter(has).alias("d").join(by_text, F.unhex(F.md5(t)) == F.col("_t"))
-    hit = hit.select(*[rebuilt.alias(c) if c == text else o for c, o in zip(docs.columns, own)], F.size("_r").alias("_n_replaced"))
-    rest = docs.filter(~has).withColumn("_n_replaced", F.lit(0))
-    return rest.unionByName(hit)
+    n_replaced = "_n_replaced"
+    while n_replaced in docs.columns:
+        n_replaced = f"_{n_replaced}"
+    hit = rows.filter(has).withColumn("tid", F.unhex(F.md5(own(text)))).join(by_text, "tid")
+    hit = hit.select("row", rebuilt.alias("new"), F.size("r").alias("n"))
+    out = rows.filter(~has).select("row", own(text).alias("new"), F.lit(0).alias("n")).unionByName(hit)
+    return out.select(*[(F.col("new") if c == text else own(c)).alias(c) for c in docs.columns], F.col("n").alias(n_replaced))
 
 
 def op4_pii_surrogates(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -76,10 +76,10 @@ def test_line_dedup(docs):
     for r in rows:
         for p, line in enumerate((r[1] or "").split("\n") if r[1] is not None else []):
             norm = re.sub(r"[\x20\x09-\x0D]+", " ", line.lower()).strip(" ")
-            if len(norm) >= line_dedup.MIN_CHARS:
+            if norm:
                 lines.append(((r[0] is None, r[0], hashlib.md5(r[1].encode()).digest(), p), norm))
     norms = sorted({n for _, n in lines})
-    heads = [frozenset(n[m.start() : m.start() + 12] for m in re.finditer(r"(?<![^ ])(?=.{12})", n)) | {n[-12:]} for n in norms]
+    heads = [frozenset(n[i : i + 12] for i in range(len(n) - 11)) if len(n) >= line_dedup.MIN_CHARS else frozenset() for n in norms]
     root = dict(zip(norms, components(heads, line_dedup.PERCENT)))
     first: dict = {}
     key = lambda o: (o[0], o[1] or 0, o[2], o[3])

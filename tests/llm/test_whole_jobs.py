@@ -34,7 +34,7 @@ def test_line_sets_hold_the_shingles_of_long_words(spark):
     assert [len(read.set_of(i)) for i in range(len(lines))] == [len(grams(x)) for x in lines]
 
 
-def test_short_lines_take_part_in_the_pipeline(spark):
+def test_short_lines_take_part(spark):
     import corpus_pipeline
 
     texts = ["all rights reserved.\none", "ALL  rights reserved.\ntwo\n", "three\nAll rights reserved.\nthe.", "the.", None, "  \n"]

@@ -22,7 +22,6 @@ table gives no rows; other columns are not read.
 from __future__ import annotations
 
 import os
-import re
 import struct
 import sys
 import types
@@ -35,7 +34,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from spanfan.llm.common import read_table, slices, text_column
+from spanfan.llm.common import raw, read_table, slices, text_column
 
 CAPACITY = 4096
 END_ID = 2
@@ -53,23 +52,23 @@ def tokenizer_path(name: str = TOKENIZER) -> str:
 class Tokens:
     """Token ids of texts as little-endian uint32 bytes.
 
-    The tokenizer drops white space and never joins across it, so ids are
-    kept per run between blanks and line ends. A new run whose characters are all
-    in Latin-1 is looked up in lower case and without the marks at its end
-    (the tokenizer lowers case and parts letters from marks itself). Those of
-    letters only are encoded many at a time, joined by blanks: each is one
+    The tokenizer drops white space and never joins across it, nor across the place where a mark follows a letter, so ids
+    are kept per run between blanks, line ends and such places. Texts that are all
+    in Latin-1 are put in lower case first, as the tokenizer would. ``_runs`` does both with numpy over the
+    bytes of a slice, Arrow tells the runs apart, and numpy gathers the ids of the different ones.
+    New runs of Latin-1 letters in lower case are encoded many at a time, joined by blanks: each is one
     word of the tokenizer, whose last token ends a word, and is in normal form
-    already, so only the tokenizer's byte form and model are applied.
+    already, so only the tokenizer's byte form and model are applied. Texts with what may be a special token are
+    encoded whole.
 
     The kept ids stay with the worker process from task to task, in a module of their
     own; beyond ``max_bytes`` (their own size with Python's overhead, as estimated by ``COST``)
     or ``max_words`` runs they start anew. Results do not depend on what is kept.
     """
 
-    MARKS = re.compile(r"(?<=[^\W\d_])[!-/:-@\[-`{-~]+(?=\n)")  # ASCII marks after a letter, at the end
-    OTHER = re.compile(r"[^\n]*(?:[^\x00-\xff]|<\|)[^\n]*")  # runs beyond Latin-1 or with what may be a special token
     AT_ONCE = 4096
     COST = 150  # bytes of one entry beside its characters and ids: two object heads and a dict slot
+    MARK = np.isin(np.arange(256), list(b"!\"#$%&'()*+,-./:;<=>?@[\\]^_`{|}~"))
 
     def __init__(self, path: str, max_words: int = 400_000, max_bytes: int = 64 << 20):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
@@ -82,7 +81,7 @@ class Tokens:
 
     @staticmethod
     def _open(path: str):
-        """The tokenizer, its model alone behind a split at blanks, and which ids end a word."""
+        """The tokenizer, its byte form and model alone behind a split at blanks, and which ids end a word."""
         import tokenizers
 
         whole = tokenizers.Tokenizer.from_file(path)
@@ -95,13 +94,32 @@ class Tokens:
             ends[[i for t, i in whole.get_vocab().items() if t.endswith(suffix)]] = True
         return whole, letters, ends
 
+    def _runs(self, texts: pa.Array) -> pa.Array:
+        """The texts with line ends as blanks, Latin-1 ones in lower case, and a blank between a letter and a mark."""
+        data, offsets = raw(texts)
+        data = np.where(data == 10, np.uint8(32), data)
+        before = np.concatenate([[np.uint8(0)], data[:-1]])  # a text starts with a whole character, never with half of one
+        beyond = np.concatenate([[0], np.cumsum(data >= 0xC4)])[offsets]
+        latin = np.repeat(beyond[1:] == beyond[:-1], np.diff(offsets))
+        second = before == 0xC3  # of the two bytes of U+00C0 to U+00FF
+        upper = (data >= 65) & (data <= 90) | second & (data <= 0x9E) & (data != 0x97)
+        data = np.where(upper & latin, data + np.uint8(32), data)
+        letter = ((data | np.uint8(32)) - np.uint8(97) < 26) | second & (data != 0x97) & (data != 0xB7)
+        cut = np.zeros(len(data) + 1, dtype=np.int64)  # blanks before a byte
+        cut[1:-1] = letter[:-1] & self.MARK[data[1:]]
+        cut[offsets] = 0
+        cut = np.cumsum(cut)
+        out = np.full(len(data) + int(cut[-1]), 32, dtype=np.uint8)
+        out[np.arange(len(data)) + cut[:-1]] = data
+        return pa.LargeStringArray.from_buffers(len(texts), pa.py_buffer((offsets + cut[offsets]).astype(np.int64)), pa.py_buffer(out))
+
     def _keep(self, words: list[str], ids: list[bytes]) -> None:
         self.known.update(zip(words, ids))
         self.bytes[0] += self.COST * len(words) + sum(map(len, words)) + sum(map(len, ids))
 
-    def _one_by_one(self, words: list[str]) -> None:
-        encoded = self.tokenizer.encode_batch_fast(words, add_special_tokens=False)
-        self._keep(words, [struct.pack(f"<{len(e.ids)}I", *e.ids) for e in encoded])
+    def _encoded(self, texts: list[str]) -> list[bytes]:
+        encoded = self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)
+        return [struct.pack(f"<{len(e.ids)}I", *e.ids) for e in encoded]
 
     def _joined(self, words: list[str]) -> None:
         """Words of Latin-1 letters in lower case."""
@@ -110,59 +128,46 @@ class Tokens:
             ids = np.array(self.letters.encode_batch_fast([" ".join(some)], add_special_tokens=False)[0].ids, dtype="<u4")
             cuts = 4 * np.flatnonzero(self.ends[ids]) + 4
             if len(cuts) != len(some):  # a tokenizer without word ends
-                self._one_by_one(some)
+                self._keep(some, self._encoded(some))
                 continue
-            raw, stops = ids.tobytes(), cuts.tolist()
-            self._keep(some, [raw[a:b] for a, b in zip([0, *stops], stops)])
+            flat, stops = ids.tobytes(), cuts.tolist()
+            self._keep(some, [flat[a:b] for a, b in zip([0, *stops], stops)])
 
     def _learn(self, new: list[str]) -> None:
         """Runs that are not known yet."""
-        text = "\n".join(new)
-        try:
-            text.encode("latin-1")
-            rest = set(self.OTHER.findall(text)) if "<|" in text else None
-        except UnicodeEncodeError:
-            rest = set(self.OTHER.findall(text))
-        if rest:
-            self._one_by_one(list(rest))
-            new = list(set(new).difference(rest))
-            text = "\n".join(new)
-        if not new:
-            return
-        low = text.lower() + "\n"
-        marks, known = self.MARKS.findall(low), self.known
-        stems, low = self.MARKS.sub("", low).split("\n")[:-1], low.split("\n")[:-1]
-        ask = set(stems).union(marks).difference(known)
-        joined = [s for s in ask if s.isalpha()]
-        self._joined(joined)
-        self._one_by_one(list(ask.difference(joined)))
-        ids = {w: known[s] + known[x[len(s) :]] for w, s, x in zip(new, stems, low) if w not in known}
-        self._keep(list(ids), list(ids.values()))
+        plain = [w for w in new if w.isalpha() and w.islower() and max(w) <= "\xff"]
+        rest = list(set(new).difference(plain)) if len(plain) < len(new) else []
+        self._joined(plain)
+        self._keep(rest, self._encoded(rest))
 
     def __call__(self, texts: pa.Array | list[str]) -> list[bytes]:
-        """The ids of every text. Runs are split and told apart by Arrow, so that only the different ones of
-        a slice are looked up, and the ids are gathered by numpy."""
         if isinstance(texts, list):
             texts = pa.array(texts, pa.large_string())
-        cut = pc.split_pattern(pc.replace_substring(texts, "\n", " "), " ")
+        special = pc.match_substring(texts, "<|")
+        if pc.any(special).as_py():
+            whole = iter(self._encoded(texts.filter(special).to_pylist()))
+            rest = iter(self(texts.filter(pc.invert(special))))
+            return [next(whole if x else rest) for x in special.to_pylist()]
+        cut = pc.split_pattern(self._runs(texts), " ")
         runs = cut.flatten().dictionary_encode()
-        names, known = runs.dictionary.to_pylist(), self.known
-        new = [w for w in names if w not in known]
+        names, known = runs.dictionary.to_numpy(zero_copy_only=False).tolist(), self.known
+        ids = list(map(known.get, names))
+        new = [w for w, x in zip(names, ids) if x is None]
         if new:
             if len(known) > self.max_words or self.bytes[0] > self.max_bytes:
                 known.clear()
                 known[""], self.bytes[0] = b"", 0
                 new = [w for w in names if w]
             self._learn(new)
-        ids = list(map(known.__getitem__, names))
+            ids = [known[w] if x is None else x for w, x in zip(names, ids)]
         size = np.fromiter(map(len, ids), dtype=np.int64, count=len(ids)) // 4
         start, at = np.cumsum(size) - size, runs.indices.to_numpy()
         n = size[at]
         end = np.cumsum(n)
         flat = np.frombuffer(b"".join(ids), dtype="<u4")
-        raw = flat[np.arange(n.sum()) + np.repeat(start[at] - (end - n), n)].tobytes()
+        out = flat[np.arange(n.sum()) + np.repeat(start[at] - (end - n), n)].tobytes()
         cuts = (4 * np.append(0, end)[np.append(0, np.cumsum(pc.list_value_length(cut).to_numpy()))]).tolist()
-        return [raw[x:y] for x, y in zip(cuts, cuts[1:])]
+        return [out[x:y] for x, y in zip(cuts, cuts[1:])]
 
 
 class SumOfSquares:

@@ -3,7 +3,8 @@
 Prints one JSON line. Queries are forced in full with the ``noop`` sink (all
 columns computed, nothing collected); the history is also written to the
 partitioned target on disk, and increments of 1 / 100 / 10,000 changed keys are
-merged into that stored table. The curve is built inside the timings of the
+merged into that stored table: as delta batches (``increment_delta_*``, with a full read after each and the
+fold of the last one), and by rewriting the touched partitions (``increment_merge_*``). The curve is built inside the timings of the
 history and the allocations. The text operators run with their production
 parameters when their package is there.
 """
@@ -23,7 +24,7 @@ from spanfan.functions.predicates import relevant  # noqa: E402
 from spanfan.operators.allocate import build_window  # noqa: E402
 from spanfan.operators.latest import latest_days  # noqa: E402
 from spanfan.plans.history import load_history  # noqa: E402
-from spanfan.plans.increment import apply_increment  # noqa: E402
+from spanfan.plans.increment import append_increment, apply_increment, fold  # noqa: E402
 from spanfan.plans.workloads import AS_OF, HI, LO, orders_ranges, stored_curve  # noqa: E402
 from spanfan.session import local_session, remove_dir, work_dir  # noqa: E402
 from spanfan.sources.target import Target  # noqa: E402
@@ -33,6 +34,12 @@ def forced(df) -> None:
     df.write.format("noop").mode("overwrite").save()
 
 
+def drop_delta(target: Target) -> None:
+    """The next increment starts from the base again."""
+    for n in target.batches():
+        target.remove(f"{target.delta_path}/batch={n}")
+
+
 def timed(action) -> float:
     t = time.time()
     action()
@@ -78,6 +85,14 @@ def main() -> None:
 
     curve = stored_curve(spark, sf_dir, r)
     keys = rel.select("point_of_delivery_ean").distinct().orderBy("point_of_delivery_ean")
+    q["read_base"] = timed(lambda: forced(target.read()))
+    for n in (1, 100, 10_000):
+        q[f"increment_delta_{n}_keys"] = timed(lambda: append_increment(target, r, keys.limit(n), as_of=AS_OF))
+        q[f"read_after_delta_{n}_keys"] = timed(lambda: forced(target.read()))
+        extra[f"delta_{n}_keys_below_history"] = round(q["history_to_disk"] / q[f"increment_delta_{n}_keys"], 1)
+        if n < 10_000:
+            drop_delta(target)
+    q["fold_10000_keys"] = timed(lambda: fold(target, 0.0))
     for n in (1, 100, 10_000):
         q[f"increment_merge_{n}_keys"] = timed(lambda: apply_increment(target, r, curve, keys.limit(n), as_of=AS_OF))
     remove_dir(spark, root)

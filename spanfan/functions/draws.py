@@ -19,6 +19,16 @@ def arithmetic_unif(key: Column, mult: int, modulus: int) -> Column:
     return F.pmod(key.cast("long") * F.lit(mult), F.lit(modulus)).cast("double") / F.lit(float(modulus))
 
 
+def hash_unif(*keys: Column, salt: int = 0) -> Column:
+    """A draw that depends on the keys and the salt only: the same on every run, executor and retry."""
+    return F.pmod(F.xxhash64(*keys, F.lit(salt)), F.lit(1 << 53)).cast("double") / F.lit(float(1 << 53))
+
+
+def entity_code(number: Column, prefix: str = "871", digits: int = 15) -> Column:
+    """An entity key in the format of the range table: a prefix and the number, filled with zeros."""
+    return F.concat(F.lit(prefix), F.lpad(number.cast("string"), digits, "0"))
+
+
 def share_index(draw: Column, shares: Sequence[float]) -> Column:
     """0-based index of the share that ``draw`` falls into; ``shares`` sum to 1."""
     if not shares or abs(sum(shares) - 1) > 1e-9:

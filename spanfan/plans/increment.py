@@ -120,7 +120,7 @@ def apply_increment(
         parts = F.broadcast(spark.createDataFrame(affected, ", ".join(f"{c} int" for c in PART_COLS)))
         old = target.read_base(years={p[1] for p in affected}, buckets=buckets, with_bucket=True)
         carried = old.join(parts, PART_COLS, "left_semi").join(k, ["key_bucket", key], "left_anti")
-        rows = carried.unionByName(rows).repartition(*PART_COLS)
+        rows = carried.unionByName(rows)  # the new rows lie by partition already, the carried ones stay where they are
     target.replace(rows, affected)
     remove_dir(spark, scratch)
 

@@ -436,6 +436,7 @@ m AS (SELECT * FROM d WHERE (profile_category_code, supply_date) NOT IN (SELECT
 SELECT *, CAST(gap_to - gap_from + 1 AS INTEGER) AS n_days, 'uncovered' AS kind FROM g WHERE gap_to IS NOT NULL
 UNION ALL
 SELECT point_of_delivery_ean, profile_category_code, a, b, CAST(b - a + 1 AS INTEGER), 'no_curve' FROM ({_runs("m", "")})""",
+    "entity_codes": "SELECT c_custkey, '871' || lpad(CAST(c_custkey AS VARCHAR), 15, '0') AS point_of_delivery_ean FROM customer",
     "fanout_after_dedup": _with(RANGES_V1, _days("r1", "d0"), _dedup_day("d0", "d1")) + f""",
 u AS ({_runs("d1", "")})
 SELECT (SELECT count(*) FROM (SELECT DISTINCT point_of_delivery_ean, profile_category_code FROM d1)) AS n_entity_categories,

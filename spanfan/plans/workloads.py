@@ -22,7 +22,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..config import RANGE
-from ..functions.draws import arithmetic_unif, bucketed_length, weighted_pick
+from ..functions.draws import arithmetic_unif, bucketed_length, entity_code, weighted_pick
 from ..operators.allocate import allocate_daily, build_window
 from ..operators.checks import (
     curve_normalisation,
@@ -592,6 +592,11 @@ def q_bucketed_length(spark, sf_dir):
     return c.select("c_custkey", bucketed_length(b, w, LENGTHS).alias("range_days"))
 
 
+def q_entity_codes(spark, sf_dir):
+    c = read_table(spark, sf_dir, "customer")
+    return c.select("c_custkey", entity_code(F.col("c_custkey")).alias(RANGE.key))
+
+
 QUERIES = {
     "range_explode_days": q_range_explode_days,
     "range_clip_window": q_range_clip_window,
@@ -644,4 +649,5 @@ QUERIES = {
     "fanout_after_dedup": q_fanout_after_dedup,
     "weighted_pick": q_weighted_pick,
     "bucketed_length": q_bucketed_length,
+    "entity_codes": q_entity_codes,
 }

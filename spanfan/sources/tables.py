@@ -15,8 +15,11 @@ columns, inclusive ``[start, end]`` dates and a sequence timestamp.
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from ..config import QUANTITY_TYPE
 
@@ -29,6 +32,56 @@ SEQ_BASE = "TIMESTAMP_NTZ'2023-01-01 00:00:00'"
 ORDER_RANGE_DAYS = 60
 
 
+class SchemaChange(ValueError):
+    """A write whose columns differ from the stored table's."""
+
+
+def schema_changes(stored: StructType, new: StructType) -> list[str]:
+    """What differs, as text: added, missing and retyped columns (order and nullability do not count)."""
+    old, now = ({f.name: f.dataType.simpleString() for f in s} for s in (stored, new))
+    out = [f"added {c} {t}" for c, t in now.items() if c not in old] + [f"missing {c} {t}" for c, t in old.items() if c not in now]
+    return out + [f"{c}: {old[c]} became {t}" for c, t in now.items() if c in old and old[c] != t]
+
+
+def write_table(df: DataFrame, path: str, mode: str = "append", on_change: str = "refuse", partition_by: tuple[str, ...] = ()) -> None:
+    """Append to or overwrite a Parquet table, with a rule for another schema.
+
+    * ``refuse``: any difference raises ``SchemaChange`` before a file is touched;
+    * ``add``: new columns are accepted (older rows read as null; read with ``mergeSchema``), missing ones are written as null, a
+      changed type is refused;
+    * ``replace`` (overwrite only): the table takes the new schema and partitioning.
+
+    The rows are written to a folder beside the table first and moved in when they are complete, so an overwrite
+    may read the table itself, and a failure before the swap leaves it as it was."""
+    if mode not in ("append", "overwrite") or on_change not in ("refuse", "add", "replace") or (on_change, mode) == ("replace", "append"):
+        raise ValueError(f"no write with mode {mode!r} and on_change {on_change!r}")
+    spark = df.sparkSession
+    p = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    fs = p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    exists = fs.exists(p)
+    if exists and on_change != "replace":
+        stored = spark.read.option("mergeSchema", "true").parquet(path).schema
+        changes = schema_changes(stored, df.schema)
+        if on_change == "add":
+            df = df.select(*df.columns, *[F.lit(None).cast(f.dataType).alias(f.name) for f in stored if f.name not in df.columns])
+            changes = [c for c in changes if not c.startswith(("added ", "missing "))]
+        if changes:
+            raise SchemaChange(f"{path}: " + "; ".join(changes))
+    if mode == "append":
+        df.write.mode("append").partitionBy(*partition_by).parquet(path)
+        return
+    beside = f"{path.rstrip('/')}-{uuid.uuid4().hex[:8]}"
+    df.write.partitionBy(*partition_by).parquet(beside)
+    if exists:
+        fs.delete(p, True)
+    fs.rename(spark.sparkContext._jvm.org.apache.hadoop.fs.Path(beside), p)
+
+
+def read_source(spark: SparkSession, source: str) -> DataFrame:
+    """A catalog table or view (``db.name``) or, if the name holds a slash, a Parquet folder."""
+    return spark.read.parquet(source) if "/" in source else spark.table(source)
+
+
 def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 

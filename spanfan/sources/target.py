@@ -28,6 +28,7 @@ increment writes what changed, once, and no base file is touched until
 
 from __future__ import annotations
 
+import re
 from collections.abc import Iterable
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -37,6 +38,9 @@ from ..config import DEFAULT_KEY_BUCKETS, FRACTION_TYPE, M3_TO_KWH, QUANTITY_TYP
 
 PART_COLS = ["key_bucket", "supply_year", "supply_month"]
 Partition = tuple[int, int, int]
+PART_NAMES = re.compile("/".join(rf"{c}=(-?\d+)" for c in PART_COLS))
+FILE_NAMES = re.compile(PART_NAMES.pattern + r"/([^/,\]]+)")
+FEW_PARTITIONS = 16
 # a segment of a delta batch; a marker row has the key only
 SEGMENT_TYPES = {
     "profile_category_code": "string", "sja": QUANTITY_TYPE, "sj_unit_of_measure": "string", "__record_timestamp": "timestamp_ntz",
@@ -101,14 +105,27 @@ class Target:
         fs, p = self._fs(self._folder(part))
         return {s.getPath().getName() for s in fs.listStatus(p)} if fs.exists(p) else set()
 
+    def _listing(self, pattern: str) -> str:
+        """The paths that match, as one text: a listing on the file system's side and a single answer, however many."""
+        jvm, (fs, p) = self.spark.sparkContext._jvm, self._fs(pattern)
+        found = fs.globStatus(p)
+        return jvm.java.util.Arrays.toString(jvm.org.apache.hadoop.fs.FileUtil.stat2Paths(found)) if found else ""
+
     def partitions(self) -> list[Partition]:
         """The partitions that have a folder (a listing of names, no data)."""
-        fs, p = self._fs(self.data_path + "".join(f"/{c}=*" for c in PART_COLS))
-        found = []
-        for status in fs.globStatus(p):
-            names = status.getPath().toString().split("/")[-3:]
-            found.append(tuple(int(n.split("=")[1]) for n in names))
-        return sorted(found)
+        names = self._listing(self.data_path + "".join(f"/{c}=*" for c in PART_COLS))
+        return sorted(tuple(map(int, m)) for m in set(PART_NAMES.findall(names)))
+
+    def files(self, parts: Iterable[Partition]) -> dict[Partition, set[str]]:
+        """Names of the files of those of ``parts`` that have any: one call a partition for a few, one listing for many."""
+        parts = set(parts)
+        if len(parts) <= FEW_PARTITIONS:
+            return {p: names for p in parts if (names := self._files(p))}
+        out: dict[Partition, set[str]] = {}
+        for *part, name in FILE_NAMES.findall(self._listing(self.data_path + "".join(f"/{c}=*" for c in PART_COLS) + "/*")):
+            if (key := tuple(map(int, part))) in parts:
+                out.setdefault(key, set()).add(name)
+        return out
 
     def _glob(self, pattern: str) -> list[str]:
         fs, p = self._fs(pattern)
@@ -225,7 +242,7 @@ class Target:
     def replace(self, rows: DataFrame, touched: Iterable[Partition]) -> None:
         """Write ``rows`` (target columns and ``key_bucket``) over their partitions and
         remove those of ``touched`` that got none."""
-        before = {p: names for p in touched if (names := self._files(p))}
+        before = self.files(touched)
         (
             rows.select(*TARGET_COLUMNS, "key_bucket")
             .write.mode("overwrite")
@@ -233,7 +250,7 @@ class Target:
             .partitionBy(*PART_COLS)
             .parquet(self.data_path)
         )
+        after = self.files(before)
         for part, names in before.items():
-            if names & self._files(part):  # not written: its old files are still there
-                fs, p = self._fs(self._folder(part))
-                fs.delete(p, True)
+            if names & after.get(part, set()):  # not written: its old files are still there
+                self.remove(self._folder(part))

@@ -222,3 +222,73 @@ def test_snapshots_read_the_tail_only(spark):
     assert log.bases() == [] and rows_of(log.as_of(5)) == rows_of(dfs[4].union(ranges_df(spark, [row("L", "G1A", 1, 2)])))
     log.append(late.limit(0))
     assert rows_of(ranges_of(spark).filter(relevant())) != []
+
+
+# ------------------------------------------------------------- draws, tables and their schemas
+def test_hash_draws_and_entity_codes(spark):
+    from spanfan.functions.draws import entity_code, hash_unif
+
+    df = spark.range(20_000).select("id", hash_unif(F.col("id")).alias("u"), hash_unif(F.col("id"), salt=1).alias("v"), entity_code(F.col("id")).alias("e"))
+    again = df.repartition(7).select(*df.columns)
+    assert table_difference(df, again).count() == 0  # no state, no order
+    s = df.agg(F.min("u").alias("lo"), F.max("u").alias("hi"), F.avg("u").alias("m"), F.corr("u", "v").alias("c"), F.countDistinct("e").alias("n"),
+               F.min(F.length("e")).alias("a"), F.max(F.length("e")).alias("b")).first()
+    assert 0 <= s["lo"] < 0.001 and 0.999 < s["hi"] < 1 and abs(s["m"] - 0.5) < 0.01 and abs(s["c"]) < 0.03
+    assert (s["n"], s["a"], s["b"]) == (20_000, 18, 18) and df.filter("id = 42").first()["e"] == "871000000000000042"
+
+
+def test_seeded_noise_keeps_the_profile_in_its_bounds(spark, january_curve):
+    from spanfan.sources.curve import standard_profile
+
+    spine = january_curve.select("profile_category_code", "supply_start_date_time_utc", "supply_year", "supply_month", "supply_date", "supply_hour")
+    plain = standard_profile(spine).select("realized_temperature", "supply_start_date_time_utc", "profile_category_code", "profile_fraction")
+    noisy = standard_profile(spine, noise=F.rand(3)).withColumnsRenamed({"realized_temperature": "t", "profile_fraction": "f"})
+    both = plain.join(noisy, ["supply_start_date_time_utc", "profile_category_code"]).withColumn("d", F.col("t") - F.col("realized_temperature"))
+    s = both.agg(F.min("d").alias("lo"), F.max("d").alias("hi"), F.countDistinct("d").alias("n"), F.sum((F.col("f") != F.col("profile_fraction")).cast("int")).alias("x")).first()
+    assert s["hi"] - s["lo"] > 0 and s["n"] > 500 and s["x"] == 0
+
+
+def test_writes_follow_the_schema_rule(spark):
+    from spanfan.sources.tables import SchemaChange, read_source, schema_changes, write_table
+
+    path = work_dir(spark, "table")
+    one = spark.createDataFrame([(1, "a")], "k int, v string")
+    write_table(one, path)
+    write_table(one.select("v", "k"), path)  # another order is no change
+    read_source(spark, path).createOrReplaceTempView("source_view")
+    assert rows_of(read_source(spark, "source_view")) == rows_of(one.union(one))
+    wide = spark.createDataFrame([(2, "b", 1.5)], "k int, v string, w double")
+    other = spark.createDataFrame([("x", "b")], "k string, v string")
+    read = lambda: sorted(map(tuple, spark.read.option("mergeSchema", "true").parquet(path).collect()), key=str)
+    for df, mode in ((wide, "append"), (other, "append"), (wide, "overwrite"), (one.drop("v"), "append")):
+        with pytest.raises(SchemaChange):
+            write_table(df, path, mode)
+    assert read() == [(1, "a")] * 2  # nothing was touched
+    with pytest.raises(SchemaChange, match="k: int became string"):
+        write_table(other, path, "append", "add")
+    write_table(wide, path, "append", "add")
+    write_table(one.drop("v"), path, "append", "add")
+    assert read() == sorted([(1, "a", None)] * 2 + [(2, "b", 1.5), (1, None, None)], key=str)
+    write_table(spark.read.option("mergeSchema", "true").parquet(path).filter("k = 2"), path, "overwrite")  # from itself
+    assert read() == [(2, "b", 1.5)]
+    write_table(other, path, "overwrite", "replace", ("v",))
+    assert spark.read.parquet(path).columns == ["k", "v"] and read() == [("x", "b")] and "v=b" in spark.read.parquet(path).inputFiles()[0]
+    assert schema_changes(one.schema, wide.schema) == ["added w double"] and schema_changes(one.schema, one.schema) == []
+    with pytest.raises(ValueError, match="no write"):
+        write_table(one, path, "append", "replace")
+
+
+def test_listing_of_many_partitions_in_one_answer(spark, january_curve, monkeypatch):
+    from spanfan.plans.history import load_history
+    from spanfan.sources import target
+    from spanfan.sources.target import Target
+
+    t = Target(spark, work_dir(spark, "t"), n_buckets=5)
+    assert t.partitions() == [] and t.files([(0, 2024, 1)]) == {}
+    load_history(t, ranges_df(spark, BASE_ROWS), january_curve, as_of=AS_OF)
+    parts = t.partitions()
+    few = t.files(parts)
+    monkeypatch.setattr(target, "FEW_PARTITIONS", 0)
+    assert t.files(parts) == few and set(few) == set(parts) and t.files(parts[:1]) == {parts[0]: few[parts[0]]}
+    load_history(t, ranges_df(spark, BASE_ROWS[:1]), january_curve, as_of=AS_OF)
+    assert t.read().count() == 480 and len(t.partitions()) == 1

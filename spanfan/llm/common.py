@@ -11,7 +11,7 @@ from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from spanfan.session import work_dir
@@ -158,41 +158,14 @@ def _could_link(left: str, right: str, percent: int) -> F.Column:
     return (100 * m >= percent * (n - m)) & (100 * o >= percent * (n - o))
 
 
-def prefix_pairs(nodes: DataFrame, elements: DataFrame, percent: int) -> DataFrame:
-    """``a, b``: all pairs of ``nodes(node, comp)`` in different components that may have a Jaccard similarity
-    of ``percent``, by prefix filtering over their sets ``elements(node, n, x)``.
-
-    With the elements of every set in one order, rare ones first, two sets that are alike share one of the first
-    ``n - ceil(percent * n) + 1`` of each. An element that one set only has is in no intersection, so it uses up places
-    without making a pair, and a set with as many of them is like no other. Prefix elements are the
-    buckets; in one, members of its largest component meet the others only."""
-    freq = elements.groupBy("x").agg(F.count("*").alias("c")).filter("c > 1")
-    shared = elements.join(freq, "x")
-    rank = Window.partitionBy("node").orderBy("c", "x")
-    shared = shared.withColumn("at", F.row_number().over(rank)).withColumn("m", F.count("*").over(Window.partitionBy("node")))
-    need = F.ceil(F.lit(percent) * F.col("n") / 100)
-    first = shared.filter(F.col("at") <= F.col("m") - need + 1).select(F.col("x").alias("bucket"), "node", "n", "m")
-    first = stored(_split_components(first.join(nodes, "node")), "prefixes")
-    of_comp = first.groupBy("bucket", "comp").agg(F.count("*").alias("c"))
-    main = of_comp.groupBy("bucket").agg(F.max(F.struct("c", "comp")).alias("x")).select("bucket", F.col("x.comp").alias("main"))
-    outside = first.join(main, "bucket").filter("comp <> main")
-    both, low = F.col("l.n") + F.col("r.n"), F.least(F.col("l.m"), F.col("r.m"))
-    return (
-        first.alias("l").join(outside.alias("r"), F.col("l.bucket") == F.col("r.bucket"))
-        .filter((F.col("l.comp") != F.col("r.comp")) & (100 * low >= percent * (both - low)))
-        .select(F.col("l.node").alias("a"), F.col("r.node").alias("b"))
-    )
-
-
 def resolve(
     members: DataFrame,
     verify: Callable[[DataFrame], DataFrame],
-    elements: Callable[[DataFrame], DataFrame],
+    elements: Callable[[DataFrame], DataFrame] | None,
     percent: int,
     may_link: Callable[[str, str], F.Column] | None = None,
     rounds: int = 2,
     name: str = "links",
-    prefixes: bool = False,
 ) -> DataFrame:
     """Components over the verified links between nodes that share a bucket.
 
@@ -209,8 +182,8 @@ def resolve(
     them meets all members of other components, and is compared with those that an
     exact bound allows. So every pair that shares a bucket is compared,
     already connected, or too different. ``may_link(l, r)`` is a necessary
-    condition on two aliases of ``members`` for the stars. With ``prefixes`` what is left meets by
-    shared rare elements (``prefix_pairs``) and not by bucket: that misses no link either.
+    condition on two aliases of ``members`` for the stars, and, without ``elements``, the exact bound for what
+    is left.
     """
     cond = may_link or (lambda left, right: F.lit(True))
     size = members.groupBy("bucket").agg(F.count("*").alias("c"))
@@ -235,18 +208,18 @@ def resolve(
         return met.groupBy("a").agg(F.min(F.struct("h", "b")).alias("p")).select("a", F.col("p.b").alias("b"))
 
     def rest() -> DataFrame:
-        nodes = members.select("node").distinct()
-        if prefixes:
-            own = stored(members.select("node", "comp").distinct(), f"{name}-left")
-            return prefix_pairs(own, stored(elements(own.select("node")), f"{name}-elements"), percent)
-        known = stored(profiles(elements(nodes)), f"{name}-profiles")
-        full = members.select("bucket", "node", "comp").join(known, "node")
+        if elements is None:
+            full, allowed = members, cond
+        else:
+            known = stored(profiles(elements(members.select("node").distinct())), f"{name}-profiles")
+            full = members.select("bucket", "node", "comp").join(known, "node")
+            allowed = lambda left, right: _could_link(left, right, percent)
         of_comp = full.groupBy("bucket", "comp").agg(F.count("*").alias("c"))
         main = of_comp.groupBy("bucket").agg(F.max(F.struct("c", "comp")).alias("x")).select("bucket", F.col("x.comp").alias("main"))
         outside = full.join(main, "bucket").filter("comp <> main")
         return (
             full.alias("l").join(outside.alias("r"), F.col("l.bucket") == F.col("r.bucket"))
-            .filter((F.col("l.comp") != F.col("r.comp")) & _could_link("l", "r", percent))
+            .filter((F.col("l.comp") != F.col("r.comp")) & allowed("l", "r"))
             .select(F.col("l.node").alias("a"), F.col("r.node").alias("b"))
         )
 

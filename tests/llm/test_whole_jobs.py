@@ -117,3 +117,27 @@ def test_blocks_of_items_give_what_one_block_gives(spark, monkeypatch):
     monkeypatch.setattr(decontaminate.blocks, "__defaults__", ("item_id", "text", 40))
     assert len(list(decontaminate.blocks(benchmark))) >= 3
     assert (sorted(decontaminate.matches(docs, benchmark).collect()), sorted(decontaminate.clean(docs, benchmark).collect())) == whole
+
+
+def test_bit_map_bound_never_excludes_a_link(spark):
+    """Pairs of near lines: whatever is alike passes the bound, and most of what is not does not."""
+    rnd = np.random.default_rng(7)
+    lines = []
+    for _ in range(30):
+        base = "".join(rnd.choice(list("abcdefghij klmno"), int(rnd.integers(40, 400)))).strip()
+        for _ in range(5):
+            x = list(base)
+            for _ in range(int(rnd.integers(0, 4))):
+                x[int(rnd.integers(0, len(x)))] = "Z"
+            lines.append(" ".join("".join(x).lower().split()))
+    df = spark.createDataFrame(list(enumerate(lines)), "node long, line string")
+    known = line_dedup.line_profiles(df).cache()
+    sets = [grams(x) for x in lines]
+    assert {r["node"]: r["n"] for r in known.collect()} == {i: len(s) for i, s in enumerate(sets)}
+    passed = known.alias("l").join(known.alias("r"), line_dedup.F.col("l.node") < line_dedup.F.col("r.node")).filter(line_dedup.may_be_alike("l", "r"))
+    passed = {(r[0], r[1]) for r in passed.select("l.node", "r.node").collect()}
+    alike = {(i, j) for i in range(len(lines)) for j in range(i + 1, len(lines))
+             if 100 * len(sets[i] & sets[j]) >= line_dedup.PERCENT * len(sets[i] | sets[j])}
+    assert alike <= passed and len(passed) < 3 * len(alike)
+    pairs = spark.createDataFrame([(i, j) for i, j in passed], "a long, b long")
+    assert {tuple(r) for r in line_dedup.confirmed(pairs, df).collect()} == alike

@@ -161,11 +161,12 @@ def _could_link(left: str, right: str, percent: int) -> F.Column:
 def resolve(
     members: DataFrame,
     verify: Callable[[DataFrame], DataFrame],
-    elements: Callable[[DataFrame], DataFrame] | None,
+    elements: Callable[[DataFrame], DataFrame],
     percent: int,
     may_link: Callable[[str, str], F.Column] | None = None,
     rounds: int = 2,
     name: str = "links",
+    whole_stars: bool = False,
 ) -> DataFrame:
     """Components over the verified links between nodes that share a bucket.
 
@@ -182,14 +183,18 @@ def resolve(
     them meets all members of other components, and is compared with those that an
     exact bound allows. So every pair that shares a bucket is compared,
     already connected, or too different. ``may_link(l, r)`` is a necessary
-    condition on two aliases of ``members`` for the stars, and, without ``elements``, the exact bound for what
-    is left.
+    condition on two aliases of ``members`` for the stars.
+
+    With ``whole_stars`` every node meets the pivots of all its buckets in a round (at most one pair per member row), and a
+    pivot then leaves its bucket: it has met all others. So a bucket of two is done after one round even if they are not
+    alike, and only large buckets are left for the last step, where ``may_link``, which must be an exact bound, holds too.
     """
     cond = may_link or (lambda left, right: F.lit(True))
     size = members.groupBy("bucket").agg(F.count("*").alias("c"))
     score = members.select("bucket", "node").join(size, "bucket").groupBy("node").agg(F.sum("c").alias("score"))
     members = stored(members.join(score, "node").withColumn("comp", F.col("node")), f"{name}-scored")
     links = comp = None
+    done: list[DataFrame] = []  # (bucket, node) rows that have met their bucket
 
     def star(r: int) -> DataFrame:
         draw = F.xxhash64("node", F.lit(r))
@@ -205,13 +210,17 @@ def resolve(
             .filter((F.col("l.comp") != F.col("r.comp")) & cond("l", "r"))
             .select(F.col("l.node").alias("a"), F.col("r.node").alias("b"), F.col("r.h").alias("h"))
         )
+        if whole_stars:
+            done.append(stored(pivot.select("bucket", "node"), f"{name}-pivots{r}"))
+            return met.select("a", "b")
         return met.groupBy("a").agg(F.min(F.struct("h", "b")).alias("p")).select("a", F.col("p.b").alias("b"))
 
     def rest() -> DataFrame:
-        if elements is None:
-            full, allowed = members, cond
+        known = stored(profiles(elements(members.select("node").distinct())), f"{name}-profiles")
+        if whole_stars:  # the columns of ``may_link`` stay, beside the size
+            full = members.drop("n", "score").join(known, "node")
+            allowed = lambda left, right: _could_link(left, right, percent) & cond(left, right)
         else:
-            known = stored(profiles(elements(members.select("node").distinct())), f"{name}-profiles")
             full = members.select("bucket", "node", "comp").join(known, "node")
             allowed = lambda left, right: _could_link(left, right, percent)
         of_comp = full.groupBy("bucket", "comp").agg(F.count("*").alias("c"))
@@ -224,8 +233,12 @@ def resolve(
         )
 
     for r in range(rounds + 1):
-        if comp is not None:
-            members = stored(_split_components(_labelled(members, comp)), f"{name}-split{r}")
+        if comp is not None or done:
+            if done:
+                members = members.join(done.pop(), ["bucket", "node"], "left_anti").select(*members.columns)
+            if comp is not None:
+                members = _labelled(members, comp)
+            members = stored(_split_components(members), f"{name}-split{r}")
         if members.isEmpty():
             break
         pairs = star(r) if r < rounds else rest()

@@ -39,7 +39,7 @@ from ..config import DEFAULT_KEY_BUCKETS, FRACTION_TYPE, M3_TO_KWH, QUANTITY_TYP
 PART_COLS = ["key_bucket", "supply_year", "supply_month"]
 Partition = tuple[int, int, int]
 PART_NAMES = re.compile("/".join(rf"{c}=(-?\d+)" for c in PART_COLS))
-FILE_NAMES = re.compile(PART_NAMES.pattern + r"/([^/,\]]+)")
+FILE_NAMES = re.compile(PART_NAMES.pattern + r"/([^/,}]+)")
 FEW_PARTITIONS = 16
 # a segment of a delta batch; a marker row has the key only
 SEGMENT_TYPES = {
@@ -109,7 +109,7 @@ class Target:
         """The paths that match, as one text: a listing on the file system's side and a single answer, however many."""
         jvm, (fs, p) = self.spark.sparkContext._jvm, self._fs(pattern)
         found = fs.globStatus(p)
-        return jvm.java.util.Arrays.toString(jvm.org.apache.hadoop.fs.FileUtil.stat2Paths(found)) if found else ""
+        return jvm.org.apache.commons.lang3.ArrayUtils.toString(jvm.org.apache.hadoop.fs.FileUtil.stat2Paths(found)) if found else ""
 
     def partitions(self) -> list[Partition]:
         """The partitions that have a folder (a listing of names, no data)."""

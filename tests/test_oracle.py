@@ -21,6 +21,9 @@ FAST = [
     "year_row_counts", "duplicate_keys", "fanout_estimate", "snapshot_diff",
     "snapshot_as_of", "latest_version", "changed_keys", "rebuild_changed", "retracting_merge", "merge_actions",
     "retracted_rows", "weighted_pick", "bucketed_length",
+    "increment_delta", "increment_folded", "stream_delta", "curve_change_increment", "reload_with_seam", "snapshot_from_base",
+    "reconcile_bucketed", "merge_bucketed", "table_fingerprint_diff", "range_overlap", "validity_islands", "coverage_gaps",
+    "fanout_after_dedup", "entity_codes",
 ]
 
 

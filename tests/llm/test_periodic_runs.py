@@ -105,3 +105,14 @@ def test_long_text_of_one_word(spark):
     row = periodic_runs.collapse(spark.createDataFrame([(1, text)], "doc_id long, text string")).first()
     assert [tuple(r) for r in row["runs"]] == [(0, 300_000, 1)] and row["n_words"] == 600_000
     assert row["collapsed"] == "a " + " ".join(map(str, range(300_000)))
+
+
+def test_best_run_is_not_the_first(spark, tmp_path):
+    """The greatest exponent in the first, a middle and the last run; ties go to the smallest start."""
+    texts = ["x " + "a b " * 4 + "c " + "d " * 9 + "e " + "f g h " * 5, "p q r s " * 4 + "z " + "k " * 7,
+             "m " * 8 + "n o " * 5 + "p", "q r " * 5 + "s " + "t u " * 5]
+    ids = [i for i in range(1, 200) if zlib.crc32(str(i).encode()) % 10][: len(texts)]
+    spark.createDataFrame(list(zip(ids, texts)), "doc_id long, text string").write.parquet(f"{tmp_path}/documents.parquet")
+    got = periodic_runs.op13_periodic_runs(spark, str(tmp_path)).orderBy("doc_id")
+    assert [tuple(r) for r in got.select("n_runs", "start", "length", "period", "exponent_milli").collect()] == [
+        (3, 10, 9, 1, 9000), (2, 17, 7, 1, 7000), (2, 0, 8, 1, 8000), (2, 0, 10, 2, 5000)]

@@ -2,9 +2,9 @@
 
 An entity is not rebuilt when the curve changes. ``apply_curve`` compares the new curve with the one stored with
 the table, hour by hour; the changed (category, day) pairs say which months are touched. In these, the ranges that cover a
-changed day give its hours again, with the new curve, and all other stored rows are carried over; months
+changed day give it again if the new curve has hours for it, and the other stored days are carried over; months
 without a change are neither read nor written. Delta batches hold date spans, which
-a curve does not change: their readers take the new curve as soon as it is stored, which is
+a curve does not change. All readers take the new curve as soon as it is stored, which is
 the last step. A repeat after a failure finds the old curve stored and does the same again.
 
 ``advance_horizon`` adds the days that enter the horizon when ``as_of`` moves on: ranges that reach beyond the old
@@ -20,16 +20,16 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..config import CURVE, HORIZON_DAYS, RANGE, RELEVANCE, RangeCols
-from ..functions.dates import as_date, day_of_hour
+from ..functions.dates import as_date
 from ..functions.predicates import relevant
-from ..operators.allocate import build_window, latest_spans
+from ..operators.allocate import latest_spans
 from ..operators.join import MONTH
 from ..operators.latest import latest_per_record
-from ..operators.ranges import month_pieces
+from ..operators.ranges import expand_pieces, month_pieces
 from ..session import remove_dir, work_dir
-from ..sources.target import CURVE_COLS, Target
+from ..sources.target import CURVE_COLS, PART_COLS, Target
 from .history import load_history
-from .increment import KEYS_BROADCAST_MAX_BYTES, _segments
+from .increment import KEYS_BROADCAST_MAX_BYTES, _segments, table_segments
 
 CATEGORY, DAY = CURVE.category, CURVE.day
 
@@ -51,10 +51,9 @@ def apply_curve(
     horizon_days: int | None = HORIZON_DAYS,
     relevance: Iterable[tuple[str, str]] | None = RELEVANCE,
     cols: RangeCols = RANGE,
-    zone: str = "UTC",
 ) -> list[tuple[int, int]]:
     """Bring the table to ``curve``; returns the (year, month) pairs that were written. ``ranges`` and
-    ``as_of`` are those of the table; ``zone`` is the zone of the curve's days."""
+    ``as_of`` are those of the table."""
     stored = target.curve()
     if stored is None:
         raise ValueError("the table has no stored curve to compare with: load its history first")
@@ -73,24 +72,33 @@ def apply_curve(
     if policy == "per_record":
         r = latest_per_record(r, cols)
     pieces = month_pieces(r, cols, bounds["lo"], bounds["hi"], as_of, horizon_days)
-    touched = pieces.join(days.select(F.col(CATEGORY).alias(cols.category), *MONTH).distinct(), [cols.category, *MONTH], "left_semi")
-    cut = touched.drop(*MONTH).withColumnsRenamed({"piece_from": cols.start, "piece_to": cols.end})
-    new_hours = curve.join(days.select(CATEGORY, DAY), [CATEGORY, DAY], "left_semi")
-    rows = build_window(cut, new_hours, None, None, "per_day", "months", None, None, None, target.factor, cols, n_buckets=target.n_buckets)
+    changed = days.select(F.col(CATEGORY).alias(cols.category), DAY)
+    own = [cols.category, *MONTH]
+    changed_months = days.select(F.col(CATEGORY).alias(cols.category), *MONTH).distinct()
+    cut = pieces.join(changed_months, own, "left_semi").drop(*MONTH).withColumnsRenamed({"piece_from": cols.start, "piece_to": cols.end})
+    new_days = curve.select(F.col(CATEGORY).alias(cols.category), DAY).join(changed, [cols.category, DAY], "left_semi").distinct()
+    rows = _by_day(table_segments(target, cut, curve, None, None, "per_day", None, None, None, cols)).join(
+        new_days, [cols.category, DAY], "left_semi"
+    )
 
     parts = [p for p in target.partitions() if p[1:] in set(months)]
     month = F.struct(*MONTH)
     wanted = [F.struct(F.lit(y).alias(MONTH[0]), F.lit(m).alias(MONTH[1])) for y, m in months]
-    base = target.read_base(years={y for y, _ in months}, with_bucket=True).filter(month.isin(*wanted))
-    same = base.withColumn(DAY, day_of_hour(F.col(CURVE.hour_start), zone)).join(
-        days.select(F.col(CATEGORY).alias(cols.category), DAY), [cols.category, DAY], "left_anti"
-    )
-    target.replace(same.drop(DAY).unionByName(rows), parts)
+    base = target.read_segments(years={y for y, _ in months}).filter(month.isin(*wanted))
+    same = _by_day(base.join(changed_months, own, "left_semi")).join(changed, [cols.category, DAY], "left_anti")
+    one_day = same.unionByName(rows).withColumn("seg_from", F.col(DAY)).withColumn("seg_to", F.col(DAY)).drop(DAY)
+    segments = base.join(changed_months, own, "left_anti").unionByName(one_day)
+    target.replace(segments.repartition(*PART_COLS).sortWithinPartitions(*PART_COLS), parts)
     target.put_curve(curve)
     remove_dir(spark, scratch)
     return months
 
 
+def _by_day(segments: DataFrame) -> DataFrame:
+    """One row a day of the segments."""
+    return expand_pieces(segments.withColumnsRenamed({"seg_from": "piece_from", "seg_to": "piece_to"}), DAY)
+
+
 def advance_horizon(
     target: Target,
     ranges: DataFrame,
@@ -100,7 +108,6 @@ def advance_horizon(
     horizon_days: int = HORIZON_DAYS,
     relevance: Iterable[tuple[str, str]] | None = RELEVANCE,
     cols: RangeCols = RANGE,
-    zone: str = "UTC",
 ) -> None:
     """Add the days after ``old_as_of + horizon_days`` up to ``as_of + horizon_days``. Repeating it
     gives the same table."""
@@ -120,5 +127,5 @@ def advance_horizon(
         scoped = r.join(keys, cols.key, "left_semi")
         spans, sf, st = latest_spans(scoped, policy, cols, window[0], window[1], as_of, horizon_days, target.n_buckets)
         target.append_delta(_segments(spans, sf, st, cols))
-    load_history(target, ranges, target.curve(), [tuple(window)], policy, "months", as_of, horizon_days, relevance, target.factor,
-                 cols, zone=zone, keep_delta=True)
+    load_history(target, ranges, target.curve(), [tuple(window)], policy, as_of, horizon_days, relevance, target.factor,
+                 cols, keep_delta=True)

@@ -19,6 +19,7 @@ from pyspark.sql import functions as F
 from ..config import CURVE, HORIZON_DAYS, M3_TO_KWH, RANGE, RELEVANCE, CurveCols, RangeCols
 from ..functions.predicates import relevant
 from ..operators.allocate import build_window, latest_spans
+from ..operators.join import MONTH, prune_curve
 from ..operators.ranges import month_pieces
 from ..session import remove_dir, work_dir
 from ..sources.target import PART_COLS, SEGMENT_COLS, SEGMENT_TYPES, Partition, Target, key_bucket
@@ -69,7 +70,7 @@ def affected_partitions(target: Target, keys: DataFrame, scoped: DataFrame, buck
     """Partitions with an old row of ``keys`` (key column of their buckets only)
     or a month piece of their current ranges. At most one row per partition
     of these buckets reaches the driver."""
-    old = target.read_base(buckets=buckets, with_bucket=True).join(keys, ["key_bucket", cols.key], "left_semi")
+    old = target.read_segments(buckets=buckets).join(keys, ["key_bucket", cols.key], "left_semi")
     new = month_pieces(scoped, cols, None, None, as_of, horizon_days, keep=[cols.key]).withColumn(
         "key_bucket", key_bucket(cols.key, target.n_buckets)
     )
@@ -83,7 +84,6 @@ def apply_increment(
     curve: DataFrame,
     keys: DataFrame,
     policy: str = "per_day",
-    strategy: str = "days",
     as_of=None,
     horizon_days: int | None = HORIZON_DAYS,
     relevance: Iterable[tuple[str, str]] | None = RELEVANCE,
@@ -91,7 +91,7 @@ def apply_increment(
     cols: RangeCols = RANGE,
     cc: CurveCols = CURVE,
 ) -> None:
-    """Merge the rebuilt rows of ``keys`` into ``target``.
+    """Merge the rebuilt segments of ``keys`` into ``target``. ``curve`` must be the table's.
 
     The keys and the scoped range rows are written to the shared folder once:
     both are used twice, and it cuts the lineage back to the change log. Only
@@ -100,7 +100,10 @@ def apply_increment(
     are rewritten: rows of other keys are carried over, the changed keys' rows
     are replaced, and a partition left without rows is removed. Applying the
     same keys again gives the same table."""
+    if factor != target.factor:
+        raise ValueError(f"the table has the factor {target.factor}, not {factor}")
     spark, key = target.spark, cols.key
+    target.follow(curve)
     fold(target, 0.0)
     scratch = work_dir(spark, "increment")
     keys.select(key).filter(F.col(key).isNotNull()).distinct().withColumn(
@@ -113,12 +116,11 @@ def apply_increment(
         k = F.broadcast(k)
     buckets = [r[0] for r in k.select("key_bucket").distinct().collect()]  # at most n_buckets
     affected = affected_partitions(target, k, scoped, buckets, as_of, horizon_days, cols)
-    rows = build_window(scoped, curve, None, None, policy, strategy, as_of, horizon_days, None, factor, cols, cc,
-                        n_buckets=target.n_buckets)
+    rows = table_segments(target, scoped, curve, None, None, policy, as_of, horizon_days, None, cols, cc)
     if affected:
         # bounded by the partitions of the buckets
         parts = F.broadcast(spark.createDataFrame(affected, ", ".join(f"{c} int" for c in PART_COLS)))
-        old = target.read_base(years={p[1] for p in affected}, buckets=buckets, with_bucket=True)
+        old = target.read_segments(years={p[1] for p in affected}, buckets=buckets)
         carried = old.join(parts, PART_COLS, "left_semi").join(k, ["key_bucket", key], "left_anti")
         rows = carried.unionByName(rows)  # the new rows lie by partition already, the carried ones stay where they are
     target.replace(rows, affected)
@@ -143,10 +145,8 @@ def append_increment(
     table; ``curve`` (optional) must be that one: another is a change of the second input
     (``plans.curve_change``), which concerns all keys."""
     spark, key = target.spark, cols.key
-    if curve is not None and not target.has_curve(curve):
-        if target.curve() is not None:
-            raise ValueError("the curve differs from the table's: apply it with plans.curve_change.apply_curve first")
-        target.put_curve(curve)
+    if curve is not None:
+        target.follow(curve)
     if target.curve() is None:
         raise ValueError("the table has no stored curve: load its history first")
     scratch = work_dir(spark, "increment")
@@ -162,6 +162,28 @@ def append_increment(
     return batch
 
 
+def table_segments(
+    target: Target,
+    ranges: DataFrame,
+    curve: DataFrame,
+    lo=None,
+    hi=None,
+    policy: str = "per_day",
+    as_of=None,
+    horizon_days: int | None = HORIZON_DAYS,
+    relevance: Iterable[tuple[str, str]] | None = RELEVANCE,
+    cols: RangeCols = RANGE,
+    cc: CurveCols = CURVE,
+) -> DataFrame:
+    """X3 as the table stores it: the segments of the days ``lo..hi`` in months for which the curve has hours, dealt and
+    ordered as the partitions want them. Their hours are those of ``build_window``."""
+    r = ranges if relevance is None else ranges.filter(relevant(relevance))
+    spans, sf, st = latest_spans(r, policy, cols, lo, hi, as_of, horizon_days, target.n_buckets)
+    months = prune_curve(curve, lo, hi, cc).select(F.col(cc.category).alias(cols.category), *MONTH).distinct()
+    rows = _segments(spans, sf, st, cols).join(F.broadcast(months), [cols.category, *MONTH], "left_semi")
+    return rows.sortWithinPartitions(*PART_COLS, cols.key)
+
+
 def _segments(spans: DataFrame, sf: str, st: str, cols: RangeCols) -> DataFrame:
     named = spans.withColumnsRenamed({sf: "seg_from", st: "seg_to"})
     return named.select("key_bucket", cols.key, *SEGMENT_COLS)
@@ -189,7 +211,7 @@ def fold(target: Target, share: float = FOLD_SHARE, cols: RangeCols = RANGE) ->
         marks.join(segments.groupBy("key_bucket", key).agg((24 * days).alias("hours")), ["key_bucket", key], "left")
         .groupBy("key_bucket").agg(F.sum(F.coalesce("hours", F.lit(24 * 30))).alias("hours"))
     )
-    base = target.read_base(with_bucket=True).groupBy("key_bucket").agg(F.count(F.lit(1)).alias("rows"))
+    base = target.read_segments().groupBy("key_bucket").agg((24 * days).alias("rows"))
     due = hours.join(base, "key_bucket", "left").filter(F.col("hours") >= share * F.coalesce("rows", F.lit(0)))
     buckets = sorted(r[0] for r in due.select("key_bucket").collect())  # at most n_buckets
     if not buckets:
@@ -202,13 +224,13 @@ def fold(target: Target, share: float = FOLD_SHARE, cols: RangeCols = RANGE) ->
     if target.bytes_of(f"{scratch}/keys") <= KEYS_BROADCAST_MAX_BYTES:
         k = F.broadcast(k)
     new = spark.read.parquet(f"{scratch}/segments")
-    old = target.read_base(buckets=buckets, with_bucket=True)
+    old = target.read_segments(buckets=buckets)
     parts = old.join(k, ["key_bucket", key], "left_semi").select(*PART_COLS).distinct().unionByName(new.select(*PART_COLS).distinct())
     affected = sorted(tuple(r) for r in parts.distinct().collect())  # bounded by the partitions of the buckets
     if affected:
         touched = F.broadcast(spark.createDataFrame(affected, ", ".join(f"{c} int" for c in PART_COLS)))
-        stay = target.read_base({p[1] for p in affected}, buckets, True).join(touched, PART_COLS, "left_semi")
-        rows = target.hours_of(new.repartition(*PART_COLS).sortWithinPartitions(*PART_COLS))
+        stay = target.read_segments({p[1] for p in affected}, buckets).join(touched, PART_COLS, "left_semi")
+        rows = new.repartition(*PART_COLS).sortWithinPartitions(*PART_COLS)
         target.replace(stay.join(k, ["key_bucket", key], "left_anti").unionByName(rows), affected)
     for n in batches:
         for b in buckets:

@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..config import CURVE, HORIZON_DAYS, RANGE, RELEVANCE, TARGET_KEY, CurveCols, RangeCols
+from ..functions.allocation import exact_sum
 from ..functions.predicates import relevant
 from ..session import work_dir
 from .ranges import CLIP_FROM, CLIP_TO, STATUS, classify
@@ -24,6 +25,23 @@ def duplicate_keys(df: DataFrame, key: list[str] = TARGET_KEY) -> DataFrame:
     return df.groupBy(*key).agg(F.count(F.lit(1)).alias("n_rows")).filter(F.col("n_rows") > 1)
 
 
+def duplicate_hours(days: DataFrame, curve: DataFrame, cols: RangeCols = RANGE, cc: CurveCols = CURVE,
+                    day_col: str = "supply_date") -> DataFrame:
+    """A3 on the fan-out of ``days`` (of ``latest_days``) with ``curve``, without making all hours. An hour occurs more than
+    once only if its day does, or if the curve has more than one row of its category and hour. The hours of
+    these are made and counted; for unique days and a unique curve there are none. The days are counted where they lie."""
+    hour = [cc.category, cc.hour_start]
+    c = curve.select(*hour, cc.day)
+    twice = c.groupBy(*hour).agg(F.count(F.lit(1)).alias("n")).filter("n > 1").select(*hour)
+    d = days.select(F.col(cols.key), F.col(cols.category).alias(cc.category), F.col(day_col).alias(cc.day), "supply_year", "supply_month")
+    counted = d.groupBy(cols.key, cc.category, "supply_year", "supply_month", cc.day).agg(F.count(F.lit(1)).alias("n"))
+    own = [cols.key, cc.category, cc.day]
+    repeated = counted.filter("n > 1").withColumn("i", F.explode(F.sequence(F.lit(1).cast("long"), "n"))).select(*own)
+    on = [cc.category, cc.day]
+    hours = repeated.join(c.join(twice, hour, "left_anti"), on).unionByName(d.select(*own).join(c.join(twice, hour, "left_semi"), on))
+    return duplicate_keys(hours.select(cols.key, F.col(cc.category).alias(cols.category), cc.hour_start), [cols.key, cols.category, cc.hour_start])
+
+
 def reconcile(hourly: DataFrame, cols: RangeCols = RANGE, tolerance: float = 0.02) -> DataFrame:
     """A4: per entity, category and year: hours, summed volume and energy,
     the volume as a ``share`` of the annual quantity (largest of the year), and a
@@ -31,8 +49,8 @@ def reconcile(hourly: DataFrame, cols: RangeCols = RANGE, tolerance: float = 0.0
     the share is within ``tolerance`` of 1 and ``mismatch`` if not."""
     g = hourly.groupBy(cols.key, cols.category, "supply_year").agg(
         F.count(F.lit(1)).alias("n_hours"),
-        F.sum("offtake_volume_m3").alias("sum_m3"),
-        F.sum("offtake_volume_kwh").alias("sum_kwh"),
+        exact_sum(hourly, "offtake_volume_m3").alias("sum_m3"),
+        exact_sum(hourly, "offtake_volume_kwh").alias("sum_kwh"),
         F.max(cols.quantity).alias("max_quantity"),
     )
     year = F.col("supply_year")

@@ -1,6 +1,7 @@
-"""The hourly target as a Spark bucketed table (catalog tables as source and target).
+"""The target as a Spark bucketed table (catalog tables as source and target).
 
-``save_bucketed`` writes hourly rows into a catalog table that is bucketed by key and category and sorted by hour within a
+``save_bucketed`` writes rows (hours, or the segments that ``operators.allocate.segment_hours`` makes them of: a broadcast join, which
+keeps the buckets) into a catalog table that is bucketed by key and category and sorted by hour or first day within a
 bucket. Whatever groups or joins by these columns, with others or without, finds the rows where they are:
 duplicate keys, reconciliation per entity and year, and the merge with changed keys in a table bucketed
 the same way plan no Exchange of the target. Key columns come first in every grouping, as the
@@ -14,7 +15,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..config import CURVE, RANGE, TARGET_COLUMNS, CurveCols, RangeCols
+from ..config import CURVE, RANGE, CurveCols, RangeCols
 
 
 def save_bucketed(rows: DataFrame, table: str, path: str, n_buckets: int, cols: RangeCols = RANGE, cc: CurveCols = CURVE,
@@ -25,7 +26,7 @@ def save_bucketed(rows: DataFrame, table: str, path: str, n_buckets: int, cols:
     (
         rows.repartition(n_buckets, *by)
         .write.mode(mode).format("parquet").option("path", path)
-        .bucketBy(n_buckets, *by).sortBy(*by, cc.hour_start).saveAsTable(table)
+        .bucketBy(n_buckets, *by).sortBy(*by, cc.hour_start if cc.hour_start in rows.columns else "seg_from").saveAsTable(table)
     )
     return rows.sparkSession.table(table)
 
@@ -39,7 +40,7 @@ def bucketed_merge(spark: SparkSession, target: str, keys: str, rebuilt: str, co
     add up rows of both parts."""
     by = [cols.key, cols.category]
     kept = spark.table(target).join(spark.table(keys).hint("merge"), by, "left_anti")
-    return kept.select(*TARGET_COLUMNS).unionByName(spark.table(rebuilt).select(*TARGET_COLUMNS))
+    return kept.unionByName(spark.table(rebuilt).select(*kept.columns))
 
 
 def changed_pairs(target: DataFrame, rebuilt: DataFrame, keys: DataFrame, cols: RangeCols = RANGE) -> DataFrame:

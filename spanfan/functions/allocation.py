@@ -60,7 +60,7 @@ def _millionths(value: Column) -> Column:
     return (F.expr("INTERVAL '0.000001' SECOND") * value).cast(VOLUME_TYPE)
 
 
-MILLIONTHS, REST = "_millionths", "_rest"
+MILLIONTHS, REST, THOUSANDTHS = "_millionths", "_rest", "_thousandths"
 
 
 def parts(name: str) -> list[str]:
@@ -70,17 +70,25 @@ def parts(name: str) -> list[str]:
 
 def exact_sum(rows: DataFrame, name: str) -> Column:
     """``sum(name)``, a decimal(38,6). Rows that carry its parts are added up as longs in two halves of 32 bits (which cannot
-    overflow below 2 ** 31 rows a group), so no decimal object is made for them."""
+    overflow below 2 ** 31 rows a group), so no decimal object is made for them. The rest is added up under a filter: without
+    one, Spark reads and writes the decimal of the running sum for every row, null or not."""
     long, rest = parts(name)
     if long not in rows.columns:
         return F.sum(name)
     whole = lambda c: c.cast("decimal(20,0)")
     high, low = F.sum(F.shiftright(long, 32)), F.sum(F.col(long).bitwiseAND(F.lit(0xFFFFFFFF)))
     quick = ((whole(high) * F.lit(2**32).cast("decimal(10,0)") + whole(low)) * F.lit("0.000001").cast("decimal(6,6)")).cast(VOLUME_TYPE)
-    slow = F.sum(rest)
+    slow = F.expr(f"sum(`{rest}`) FILTER (WHERE `{rest}` IS NOT NULL)")
     return F.when(slow.isNull(), quick).otherwise((slow + F.coalesce(quick, F.lit(0).cast(VOLUME_TYPE))).cast(VOLUME_TYPE))
 
 
+def exact_max(rows: DataFrame, name: str) -> Column:
+    """``max(name)`` of a quantity. Rows that carry its thousandths are compared as longs."""
+    if name + THOUSANDTHS not in rows.columns or rows.schema[name].dataType.simpleString() != QUANTITY_TYPE:
+        return F.max(name)
+    return (F.max(name + THOUSANDTHS).cast("decimal(20,0)") * F.lit("0.001").cast("decimal(3,3)")).cast(QUANTITY_TYPE)
+
+
 def fixed_point(rows: DataFrame, q: str, f: str, quantity: str, fraction: str, factor: float = M3_TO_KWH,
                 names: tuple[str, str] = ("offtake_volume_m3", "offtake_volume_kwh")) -> DataFrame:
     """``rows`` with volume and energy and their ``parts``; ``q`` and ``f`` are the columns of ``unscaled_quantity`` and

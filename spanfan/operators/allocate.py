@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..config import CURVE, FRACTION_TYPE, HORIZON_DAYS, M3_TO_KWH, RANGE, RELEVANCE, CurveCols, RangeCols
-from ..functions.allocation import fixed_point, narrow_fraction, parts, unscaled_fraction, unscaled_quantity
+from ..functions.allocation import THOUSANDTHS, fixed_point, narrow_fraction, parts, unscaled_fraction, unscaled_quantity
 from ..functions.dates import next_hour
 from ..functions.predicates import relevant
 from .join import (
@@ -47,7 +47,8 @@ def target_columns(cols: RangeCols = RANGE, cc: CurveCols = CURVE) -> list:
 
 def allocate_days(days: DataFrame, curve: DataFrame, cols: RangeCols = RANGE, cc: CurveCols = CURVE,
                   factor: float = M3_TO_KWH, day_col: str = "supply_date", with_parts: bool = False) -> DataFrame:
-    """J1 + projection: deduplicated day rows -> hourly target rows. ``with_parts`` keeps what ``exact_sum`` adds up."""
+    """J1 + projection: deduplicated day rows -> hourly target rows. ``with_parts`` keeps what ``exact_sum`` adds up and
+    ``exact_max`` compares."""
     days, curve = _unscaled(days, curve, cols, cc)
     return _target(join_days(days, curve, cols.category, day_col, cc), cols, cc, factor, with_parts)
 
@@ -82,10 +83,11 @@ def _with_longs(rows: DataFrame, cols: RangeCols) -> DataFrame:
 
 
 def _target(joined: DataFrame, cols: RangeCols, cc: CurveCols, factor: float, with_parts: bool) -> DataFrame:
-    """Target columns, the bucket when the rows carry one, and the parts of volume and energy if wanted."""
+    """Target columns, the bucket when the rows carry one, and the parts of volume, energy and quantity if wanted."""
     more = ["key_bucket"] if "key_bucket" in joined.columns else []
     if with_parts:
-        more += [*parts("offtake_volume_m3"), *parts("offtake_volume_kwh")]
+        more += [*parts("offtake_volume_m3"), *parts("offtake_volume_kwh"), cols.quantity + THOUSANDTHS]
+        joined = joined.withColumn(cols.quantity + THOUSANDTHS, F.col("_q"))
     if "_narrow" in joined.columns:
         joined = joined.withColumn(cc.fraction, F.coalesce(F.col("_narrow").cast(FRACTION_TYPE), F.col(cc.fraction)))
     return fixed_point(joined, "_q", "_f", cols.quantity, cc.fraction, factor).select(*target_columns(cols, cc), *more)

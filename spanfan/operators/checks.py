@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..config import CURVE, HORIZON_DAYS, RANGE, RELEVANCE, TARGET_KEY, CurveCols, RangeCols
-from ..functions.allocation import exact_sum
+from ..functions.allocation import exact_max, exact_sum
 from ..functions.predicates import relevant
 from ..session import work_dir
 from .ranges import CLIP_FROM, CLIP_TO, STATUS, classify
@@ -51,7 +51,7 @@ def reconcile(hourly: DataFrame, cols: RangeCols = RANGE, tolerance: float = 0.0
         F.count(F.lit(1)).alias("n_hours"),
         exact_sum(hourly, "offtake_volume_m3").alias("sum_m3"),
         exact_sum(hourly, "offtake_volume_kwh").alias("sum_kwh"),
-        F.max(cols.quantity).alias("max_quantity"),
+        exact_max(hourly, cols.quantity).alias("max_quantity"),
     )
     year = F.col("supply_year")
     leap = ((year % 4 == 0) & (year % 100 != 0)) | (year % 400 == 0)
